@@ -3,6 +3,7 @@ from tabwright.functions.scalars import (
     guarded_ratio,
     hash_bucket,
     hash_uniform,
+    is_missing,
     logistic,
     sanitize_identifier,
     seconds_of,
@@ -13,6 +14,7 @@ __all__ = [
     "guarded_ratio",
     "hash_bucket",
     "hash_uniform",
+    "is_missing",
     "logistic",
     "sanitize_identifier",
     "seconds_of",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,14 @@ def as_number(column: Column) -> Column:
     return F.when(~F.isnan(number), number)
 
 
+def is_missing(df: DataFrame, name: str) -> Column:
+    """Null, or NaN in a floating-point column."""
+    column = F.col(f"`{name}`")
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return column.isNull() | F.isnan(column)
+    return column.isNull()
+
+
 def seconds_of(name: str, data_type: T.DataType) -> Column:
     """A time or number column as a double that keeps its order.
 

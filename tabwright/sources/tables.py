@@ -10,6 +10,8 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabwright.session import work_path
+
 
 def scan(spark: SparkSession, table: str) -> DataFrame:
     """A catalog table by name, or a parquet table by path."""
@@ -51,6 +53,17 @@ def write_predictions(
     return df.sparkSession.table(table)
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` to the shared work folder and returns the written table.
+
+    For tables that several passes read: later passes read only the columns they need,
+    and what executors computed outlives them.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def preview(df: DataFrame, keys: Sequence[str], n: int = 10) -> DataFrame:
     """The first ``n`` rows by key; a limit without an order would pick any rows."""
     return df.orderBy(*keys).limit(n)
