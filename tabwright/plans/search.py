@@ -68,8 +68,13 @@ def sample_parameters(
     )
 
 
+# The names of the runs in the log.
+SEED_RUN_NAME = "seed_parameters_trial"
+TRIAL_RUN_NAME = "optuna_trial_%03d"
+
+
 def run_name(number: int) -> str:
-    return "seed_parameters_trial" if number == 0 else f"optuna_trial_{number:03d}"
+    return TRIAL_RUN_NAME % number if number else SEED_RUN_NAME
 
 
 @dataclass(frozen=True)

@@ -40,7 +40,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def orders_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with 8 numeric and 8 categorical features and a learnable 0/1 label."""
+    """Orders with 8 numeric and 8 categorical features and a learnable 0/1 label.
+
+    Averages are rounded so that equal ones stay equal whatever the order of the sum.
+    """
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     lines, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
@@ -50,10 +53,10 @@ def orders_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             F.count("*").alias("n_lines"),
             F.sum("l_quantity").alias("sum_qty"),
-            F.avg("l_discount").alias("avg_discount"),
-            F.avg("l_tax").alias("avg_tax"),
-            F.avg("p_size").alias("avg_size"),
-            F.avg("p_retailprice").alias("avg_retail"),
+            F.round(F.avg("l_discount"), 6).alias("avg_discount"),
+            F.round(F.avg("l_tax"), 6).alias("avg_tax"),
+            F.round(F.avg("p_size"), 6).alias("avg_size"),
+            F.round(F.avg("p_retailprice"), 6).alias("avg_retail"),
             F.min("p_type").alias("ptype"),
             F.max("l_returnflag").alias("rflag"),
             F.min("l_linestatus").alias("lstat"),
