@@ -27,8 +27,8 @@ def equal_width_bins(df: DataFrame, columns: Sequence[str], bins: int) -> DataFr
     for c in columns:
         x, lo, hi = as_number(F.col(c)), F.col(f"_range.lo_{c}"), F.col(f"_range.hi_{c}")
         place = F.try_divide((x - lo) * F.lit(float(bins)), hi - lo)
-        place = F.when(x.isNotNull(), F.coalesce(place, F.lit(0.0)))
-        made[f"_bin_{c}"] = F.least(F.floor(place), F.lit(bins - 1)).cast("int")
+        inside = F.least(F.floor(F.coalesce(place, F.lit(0.0))), F.lit(bins - 1)).cast("int")
+        made[f"_bin_{c}"] = F.when(x.isNotNull(), inside)
     return out.withColumns(made)
 
 
