@@ -16,7 +16,14 @@ from pyspark.sql import functions as F
 
 from tabwright.functions import as_number, bivariate, is_missing
 from tabwright.functions.bivariate import phi_k_from_cells
-from tabwright.operators.pairs import all_pairs, equal_width_bins, pair_counts, pair_name
+from tabwright.operators.pairs import (
+    all_pairs,
+    constants,
+    equal_width_bins,
+    pair_counts,
+    pair_name,
+    pair_rows,
+)
 from tabwright.operators.slices import cut_points, running_totals
 from tabwright.operators.values import rank_table
 
@@ -29,32 +36,21 @@ DIGIT_BITS = 4
 DIGITS = 2**DIGIT_BITS
 
 
-def _corr_table(
-    df: DataFrame, names: Sequence[tuple[str, str]], sides: Sequence[tuple[Column, Column]], name: str
-) -> DataFrame:
-    """Pearson per pair over the rows where both sides are present; null when either
-    does not vary.
+def _corr_table(rows: DataFrame, pairs: Sequence[tuple[str, str]], name: str) -> DataFrame:
+    """Pearson of ``x`` and ``y`` per ``pair``; null when either does not vary.
 
-    Each row is laid out once per pair and added up before the shuffle. A few moments
-    in a group per pair compile to tight code; hundreds side by side in one row do not.
+    A few moments in a group per pair compile to tight code; hundreds side by side in
+    one aggregate row do not.
     """
-    entries = [
-        F.struct(F.lit(i).alias("pair"), x.alias("x"), y.alias("y")) for i, (x, y) in enumerate(sides)
-    ]
     spread = F.stddev_pop("x") * F.stddev_pop("y")
-    found = (
-        df.select(F.inline(F.array(*entries)))
-        .filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-        .groupBy("pair")
-        .agg(F.try_divide(F.covar_pop("x", "y"), spread).alias(name))
-    )
-    return _named(df, names, found, name)
+    found = rows.groupBy("pair").agg(F.try_divide(F.covar_pop("x", "y"), spread).alias(name))
+    return _named(rows, pairs, found, name)
 
 
 def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    numbers = df.select(*[as_number(F.col(c)).alias(c) for c in columns])
     pairs = all_pairs(columns)
-    return _corr_table(numbers, pairs, [(F.col(a), F.col(b)) for a, b in pairs], "pearson")
+    rows = pair_rows(df, {c: as_number(F.col(c)) for c in columns}, pairs)
+    return _corr_table(rows, pairs, "pearson")
 
 
 def missing_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -63,28 +59,19 @@ def missing_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Rows are counted by their pattern of missing columns first; the pairs are taken
     from the patterns.
     """
-    flags = F.array(*[is_missing(df, c).cast("int") for c in columns])
-    patterns = df.groupBy(flags.alias("flags")).agg(F.count("*").alias("n"))
-    place = {c: i for i, c in enumerate(columns)}
+    flags = [is_missing(df, c).cast("int").alias(c) for c in columns]
+    patterns = df.groupBy(*flags).agg(F.count("*").alias("_n"))
     pairs = all_pairs(columns)
-    entries = [
-        F.struct(
-            F.lit(i).alias("pair"),
-            F.col("flags").getItem(place[a]).alias("x"),
-            F.col("flags").getItem(place[b]).alias("y"),
-        )
-        for i, (a, b) in enumerate(pairs)
-    ]
+    marks = pair_rows(patterns, {c: F.col(c) for c in columns}, pairs, "_n")
     n, x, y, both = (F.col(c).cast("double") for c in ("n", "nx", "ny", "nxy"))
     spread = F.sqrt(n * x - x * x) * F.sqrt(n * y - y * y)
     found = (
-        patterns.select("n", F.inline(F.array(*entries)))
-        .groupBy("pair")
+        marks.groupBy("pair")
         .agg(
-            F.sum("n").alias("n"),
-            F.sum(F.col("n") * F.col("x")).alias("nx"),
-            F.sum(F.col("n") * F.col("y")).alias("ny"),
-            F.sum(F.col("n") * F.col("x") * F.col("y")).alias("nxy"),
+            F.sum("_n").alias("n"),
+            F.sum(F.col("_n") * F.col("x")).alias("nx"),
+            F.sum(F.col("_n") * F.col("y")).alias("ny"),
+            F.sum(F.col("_n") * F.col("x") * F.col("y")).alias("nxy"),
         )
         .select("pair", F.try_divide(n * both - x * y, spread).alias("missing_corr"))
     )
@@ -98,34 +85,65 @@ def _numbers_with_cuts(
     return numbers, cut_points(numbers, {c: F.col(c) for c in columns}, slices)
 
 
+def _gap_patterns(numbers: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
+    """For each column with missing values the first column missing on the same rows.
+
+    One row per column pair comes to the driver.
+    """
+    if len(columns) < 2:
+        return dict.fromkeys(columns)
+    flags = [F.col(c).isNull().alias(c) for c in columns]
+    patterns = numbers.groupBy(*flags).agg(F.count("*").alias("_n"))
+    pairs = all_pairs(columns)
+    found = (
+        pair_rows(patterns, {c: F.col(c) for c in columns}, pairs)
+        .groupBy("pair")
+        .agg(
+            F.bool_or("x").alias("left"),
+            F.bool_or("y").alias("right"),
+            F.bool_and(F.col("x") == F.col("y")).alias("same"),
+        )
+        .collect()
+    )
+    first: dict[str, str | None] = dict.fromkeys(columns)
+    for row in sorted(found, key=lambda r: r["pair"]):
+        a, b = pairs[row["pair"]]
+        if row["left"]:
+            first[a] = first[a] or a
+        if row["right"]:
+            first[b] = first[b] or (first[a] if row["same"] else None)
+    for row in found:
+        b = pairs[row["pair"]][1]
+        if row["right"] and first[b] is None:
+            first[b] = b
+    return first
+
+
 def spearman(df: DataFrame, columns: Sequence[str], slices: int | None = None) -> DataFrame:
     """Pearson of average ranks; every pair is ranked over its own complete rows.
 
-    Only distinct values are ranked, and the ranks are joined back by value: once per
+    A column gets one rank per pattern of gaps among the other columns. Only distinct values are ranked, and the ranks are joined back by value: once per
     column, broadcast by Spark where the values are few, otherwise a join that
     adaptive execution splits at frequent values.
     """
     numbers, cuts = _numbers_with_cuts(df, columns, slices)
-    gaps = numbers.agg(*[F.bool_or(F.col(c).isNull()).alias(c) for c in columns]).first()
-    with_gaps = [c for c in columns if gaps[c]]
-    ranked = numbers
+    gaps = _gap_patterns(numbers, columns)
+    ranked, rank_of = numbers, {}
     for c in columns:
-        companions = [o for o in with_gaps if o != c]
+        companions = sorted({g for g in gaps.values() if g and g != gaps[c]})
+        names = {None: f"_rank_{c}", **{g: f"_rank_{c}_{g}" for g in companions}}
         table = rank_table(numbers, c, companions, cuts[c]).select(
             F.col("value").alias(f"_value_{c}"),
-            F.col("rank").alias(f"_rank_{c}"),
-            *[F.col(f"rank_{o}").alias(f"_rank_{c}_by_{o}") for o in companions],
+            F.col("rank").alias(names[None]),
+            *[F.col(f"rank_{g}").alias(names[g]) for g in companions],
         )
         ranked = ranked.join(table, F.col(c) == F.col(f"_value_{c}"), "left").drop(f"_value_{c}")
-
-    def sides(a: str, b: str) -> tuple[Column, Column]:
-        return (
-            F.col(f"_rank_{a}_by_{b}" if b in with_gaps else f"_rank_{a}"),
-            F.col(f"_rank_{b}_by_{a}" if a in with_gaps else f"_rank_{b}"),
-        )
-
+        rank_of |= {(c, o): names.get(gaps[o], names[None]) for o in columns}
     pairs = all_pairs(columns)
-    return _corr_table(ranked, pairs, [sides(a, b) for a, b in pairs], "spearman")
+    sides = [(rank_of[a, b], rank_of[b, a]) for a, b in pairs]
+    every = dict.fromkeys(name for side in sides for name in side)
+    rows = pair_rows(ranked, {name: F.col(name) for name in every}, sides)
+    return _corr_table(rows, pairs, "spearman")
 
 
 def kendall(df: DataFrame, columns: Sequence[str], slices: int | None = None) -> DataFrame:
@@ -150,33 +168,43 @@ def kendall(df: DataFrame, columns: Sequence[str], slices: int | None = None) ->
     pairs = all_pairs(columns)
     sizes = numbers.agg(*[F.count_distinct(c).alias(c) for c in columns]).first()
 
+    # One entry per pair and digit place: which columns, and which digit of the second.
+    place_of = {c: i for i, c in enumerate(columns)}
     entries, widths = [], []
     for i, pair in enumerate(pairs):
         # Fewer distinct values mean fewer digit places; tau-b is symmetric.
         x, y = sorted(pair, key=lambda c: -sizes[c])
-        width, places = 1, DIGITS
-        while places < sizes[y]:
-            width, places = width + 1, places * DIGITS
+        width, reach = 1, DIGITS
+        while reach < sizes[y]:
+            width, reach = width + 1, reach * DIGITS
         widths.append(width)
-        for place in range(width):
-            code = F.col(f"_code_{y}")
-            entries.append(
-                F.struct(
-                    F.lit(i).alias("pair"),
-                    F.lit(place).alias("place"),
-                    F.shiftright(code, DIGIT_BITS * (place + 1)).alias("above"),
-                    F.shiftright(code, DIGIT_BITS * place).bitwiseAND(F.lit(DIGITS - 1)).alias("digit"),
-                    F.col(f"_slice_{x}").alias("slice"),
-                    F.col(f"_code_{x}").alias("x"),
-                )
-            )
+        entries += [(i, place, place_of[x], place_of[y]) for place in range(width)]
+    pair_at, place_at, x_at, y_at = (
+        F.get(constants(side), F.col("entry")) for side in zip(*entries)
+    )
     by_digit = [f"d{d}" for d in range(DIGITS)]
     group = ["pair", "place", "above"]
     per_x = (
-        coded.select(F.inline(F.array(*entries)))
-        .filter(F.col("x").isNotNull() & F.col("digit").isNotNull())
-        .groupBy(*group, "slice", "x")
-        .agg(*[F.count_if(F.col("digit") == d).alias(name) for d, name in enumerate(by_digit)])
+        coded.select(
+            F.array(*[f"_code_{c}" for c in columns]).alias("codes"),
+            F.array(*[f"_slice_{c}" for c in columns]).alias("slices"),
+        )
+        .select("codes", "slices", F.explode(constants(range(len(entries)))).alias("entry"))
+        .select(
+            pair_at.alias("pair"),
+            place_at.alias("place"),
+            F.get("slices", x_at).alias("slice"),
+            F.get("codes", x_at).alias("x"),
+            F.call_function("shiftright", F.get("codes", y_at), place_at * DIGIT_BITS).alias("rest"),
+        )
+        .filter(F.col("x").isNotNull() & F.col("rest").isNotNull())
+        .groupBy("pair", "place", F.shiftright("rest", DIGIT_BITS).alias("above"), "slice", "x")
+        .agg(
+            *[
+                F.count_if(F.col("rest").bitwiseAND(F.lit(DIGITS - 1)) == d).alias(name)
+                for d, name in enumerate(by_digit)
+            ]
+        )
     )
     here = [F.col(d).cast("double") for d in by_digit]
     before = [F.col(f"{d}_before").cast("double") for d in by_digit]
@@ -188,7 +216,7 @@ def kendall(df: DataFrame, columns: Sequence[str], slices: int | None = None) ->
         F.lit(0.0),
     )
     all_here = sum(here, F.lit(0.0))
-    top = F.element_at(F.array(*[F.lit(w - 1) for w in widths]), F.col("pair") + 1)
+    top = F.get(constants([w - 1 for w in widths]), F.col("pair"))
     on_top = F.when(F.col("place") == top, all_here)
     along = (
         running_totals(per_x, group, "x", by_digit, sliced)
@@ -245,7 +273,7 @@ def cramers_v(
     """
     binned, levels = _binned(df, numeric, categorical, bins)
     pairs = list(pairs) if pairs is not None else all_pairs([*numeric, *categorical])
-    cells = pair_counts(binned, [(levels[a], levels[b]) for a, b in pairs])
+    cells = pair_counts(binned, levels, pairs)
     rows = cells.groupBy("pair", "x").agg(F.sum("n").alias("in_row"))
     columns = cells.groupBy("pair", "y").agg(F.sum("n").alias("in_column"))
     o, r, c = (F.col(k).cast("double") for k in ("n", "in_row", "in_column"))
@@ -309,7 +337,7 @@ def phi_k(
     categorical = few_levels(df, categorical, max_levels)
     binned, levels = _binned(df, numeric, categorical, bins)
     pairs = all_pairs([*numeric, *categorical])
-    cells = pair_counts(binned, [(levels[a], levels[b]) for a, b in pairs])
+    cells = pair_counts(binned, levels, pairs)
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:
         table = group.pivot_table(index="x", columns="y", values="n", fill_value=0, aggfunc="sum")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -32,29 +32,50 @@ def equal_width_bins(df: DataFrame, columns: Sequence[str], bins: int) -> DataFr
     return out.withColumns(made)
 
 
+def constants(values: Sequence[object]) -> Column:
+    """A constant array."""
+    return F.array(*[F.lit(v) for v in values])
+
+
 def pair_name(names: Sequence[tuple[str, str]], side: int) -> Column:
     """The left (0) or right (1) column name of the row's ``pair`` number."""
-    return F.element_at(F.array(*[F.lit(p[side]) for p in names]), F.col("pair") + 1)
+    return F.get(constants([p[side] for p in names]), F.col("pair"))
 
 
 def all_pairs(columns: Sequence[str]) -> list[tuple[str, str]]:
     return list(combinations(columns, 2))
 
 
-def pair_counts(df: DataFrame, pairs: Sequence[tuple[Column, Column]]) -> DataFrame:
-    """``pair, x, y, n``: the non-empty cells of each pair of expressions.
+def pair_rows(
+    df: DataFrame, columns: Mapping[str, Column], pairs: Sequence[tuple[str, str]], *keep: str
+) -> DataFrame:
+    """``pair, x, y`` for every row and pair where both columns are present.
 
-    Every row meets every pair once, and is counted before the shuffle.
+    The columns become one array per row and a pair picks two of its places. All have
+    one type. ``keep`` names columns of ``df`` to carry along.
     """
-    cells = [
-        F.struct(
-            F.lit(i).alias("pair"), x.cast("string").alias("x"), y.cast("string").alias("y")
-        )
-        for i, (x, y) in enumerate(pairs)
-    ]
+    place = {name: i for i, name in enumerate(columns)}
+    left, right = ([place[p[side]] for p in pairs] for side in (0, 1))
+    pair = F.col("pair")
     return (
-        df.select(F.inline(F.array(*cells)))
+        df.select(*keep, F.array(*columns.values()).alias("_row"))
+        .select(*keep, "_row", F.explode(constants(range(len(pairs)))).alias("pair"))
+        .select(
+            *keep,
+            "pair",
+            F.get("_row", F.get(constants(left), pair)).alias("x"),
+            F.get("_row", F.get(constants(right), pair)).alias("y"),
+        )
         .filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-        .groupBy("pair", "x", "y")
-        .agg(F.count("*").alias("n"))
     )
+
+
+def pair_counts(
+    df: DataFrame, levels: Mapping[str, Column], pairs: Sequence[tuple[str, str]]
+) -> DataFrame:
+    """``pair, x, y, n``: the non-empty cells of each pair of columns.
+
+    Every row meets every pair once, and is counted before the shuffle.
+    """
+    texts = {name: c.cast("string") for name, c in levels.items()}
+    return pair_rows(df, texts, pairs).groupBy("pair", "x", "y").agg(F.count("*").alias("n"))

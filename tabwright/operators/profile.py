@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tabwright.functions import as_number, guarded_ratio, is_missing, seconds_of
 from tabwright.operators.correlate import auto_correlation
-from tabwright.operators.pairs import all_pairs, equal_width_bins, pair_name
+from tabwright.operators.pairs import all_pairs, equal_width_bins, pair_name, pair_rows
 from tabwright.operators.values import NumberCounts, value_counts
 
 QUANTILES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
@@ -124,13 +124,15 @@ def numeric_stats(df: DataFrame, columns: Sequence[str], slices: int | None = No
         )
     )
     numbers = NumberCounts(df, {c: F.col(c) for c in columns}, slices)
-    middles = numbers.quantiles({"median": 0.5})
-    # One number per column comes to the driver.
-    median = {r["column"]: r["median"] for r in middles.select("column", "median").collect()}
+    # One row per column comes to the driver.
+    middles = numbers.quantiles({"median": 0.5}).collect()
     from_median = {
-        c: F.abs(as_number(F.col(c)) - F.lit(median[c])) for c in columns if median.get(c) is not None
+        r["column"]: F.abs(as_number(F.col(r["column"])) - F.lit(r["median"])) for r in middles
     }
-    joined = moments.join(numbers.totals().select("column", "distinct"), "column", "left")
+    counted = df.sparkSession.createDataFrame(
+        [(r["column"], r["distinct"]) for r in middles], "column string, distinct bigint"
+    )
+    joined = moments.join(F.broadcast(counted), "column", "left")
     if from_median:
         apart = NumberCounts(df, from_median, slices).quantiles({"mad": 0.5})
         joined = joined.join(apart.select("column", "mad"), "column", "left")
@@ -276,15 +278,10 @@ def interactions(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataF
     """Row counts of the 2-D bins of every pair of number columns."""
     pairs = all_pairs(columns)
     binned = equal_width_bins(df.select(*columns), columns, bins)
-    cells = [
-        F.struct(
-            F.lit(i).alias("pair"), F.col(f"_bin_{a}").alias("x_bin"), F.col(f"_bin_{b}").alias("y_bin")
-        )
-        for i, (a, b) in enumerate(pairs)
-    ]
+    bin_of = {c: F.col(f"_bin_{c}") for c in columns}
     return (
-        binned.select(F.inline(F.array(*cells)))
-        .filter(F.col("x_bin").isNotNull() & F.col("y_bin").isNotNull())
+        pair_rows(binned, bin_of, pairs)
+        .withColumnsRenamed({"x": "x_bin", "y": "y_bin"})
         .groupBy("pair", "x_bin", "y_bin")
         .agg(F.count("*").alias("n"))
         .select(

@@ -59,32 +59,33 @@ def add_slices(df: DataFrame, cuts: Mapping[str, Sequence[float]], prefix: str)
 def running_totals(
     df: DataFrame, group: Sequence[str], order: str, sums: Sequence[str], sliced: bool
 ) -> DataFrame:
-    """Adds ``{s}_before``: the sum of ``s`` over the group's rows before this one.
+    """Adds ``{s}_before``, the sum of ``s`` over the group's rows before this one, and
+    ``{s}_total``, the sum over the whole group.
 
     ``df`` has a ``slice`` column whose order agrees with ``order``, and no two rows
     of a group share a value of ``order``.
     """
-    inside = (
-        Window.partitionBy(*group, "slice")
-        .orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    part = Window.partitionBy(*group, "slice")
+    earlier_rows = part.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     out = df.select(
-        "*", *[F.coalesce(F.sum(s).over(inside), F.lit(0)).alias(f"{s}_before") for s in sums]
+        "*",
+        *[F.coalesce(F.sum(s).over(earlier_rows), F.lit(0)).alias(f"{s}_before") for s in sums],
+        *[F.sum(s).over(part).alias(f"{s}_total") for s in sums if not sliced],
     )
     if not sliced:
         return out
+    # Few rows: one per group and slice.
     per_slice = df.groupBy(*group, "slice").agg(*[F.sum(s).alias(s) for s in sums])
-    earlier = (
-        Window.partitionBy(*(group or [F.lit(0)]))
-        .orderBy("slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    whole = Window.partitionBy(*(group or [F.lit(0)]))
+    earlier_slices = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_slice.select(
         *group,
         "slice",
-        *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"{s}_offset") for s in sums],
+        *[F.coalesce(F.sum(s).over(earlier_slices), F.lit(0)).alias(f"{s}_offset") for s in sums],
+        *[F.sum(s).over(whole).alias(f"{s}_total") for s in sums],
     )
     return out.join(offsets, [*group, "slice"]).select(
-        *df.columns, *[(F.col(f"{s}_before") + F.col(f"{s}_offset")).alias(f"{s}_before") for s in sums]
+        *df.columns,
+        *[(F.col(f"{s}_before") + F.col(f"{s}_offset")).alias(f"{s}_before") for s in sums],
+        *[f"{s}_total" for s in sums],
     )

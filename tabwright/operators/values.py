@@ -55,32 +55,22 @@ class NumberCounts:
             .agg(F.count("*").alias("n"))
         )
 
-    def totals(self) -> DataFrame:
-        """``column, total, distinct``: one row per column that has a value."""
-        return self.counts.groupBy("column").agg(
-            F.sum("n").alias("total"), F.count("*").alias("distinct")
-        )
-
     def quantiles(self, probabilities: Mapping[str, float]) -> DataFrame:
-        """Exact quantiles, interpolated between neighbours: one row per column."""
+        """Exact quantiles, interpolated between neighbours: one row per column, with
+        the number of values (``total``) and of distinct ones (``distinct``)."""
         placed = running_totals(self.counts, ["column"], "value", ["n"], self.sliced)
-        # One row per column.
-        placed = placed.join(F.broadcast(self.totals()), "column")
         first, after = F.col("n_before"), F.col("n_before") + F.col("n")
-        picks, results = [], []
+        total = F.col("n_total")
+        picks, results = [F.max("n_total").alias("total"), F.count("*").alias("distinct")], []
         for name, p in probabilities.items():
-            place = F.lit(float(p)) * (F.col("total") - 1)
-            for side, index in (("lo", F.floor(place)), ("hi", F.ceil(place))):
+            for side, nearest in (("lo", F.floor), ("hi", F.ceil)):
+                index = nearest(F.lit(float(p)) * (total - 1))
                 here = (first <= index) & (index < after)
                 picks.append(F.max(F.when(here, F.col("value"))).alias(f"_{name}_{side}"))
             low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-            fraction = place - F.floor(place)
-            results.append((low + (high - low) * fraction).alias(name))
-        return (
-            placed.groupBy("column", "total", "distinct")
-            .agg(*picks)
-            .select("column", "total", "distinct", *results)
-        )
+            place = F.lit(float(p)) * (F.col("total") - 1)
+            results.append((low + (high - low) * (place - F.floor(place))).alias(name))
+        return placed.groupBy("column").agg(*picks).select("column", "total", "distinct", *results)
 
 
 def rank_table(
