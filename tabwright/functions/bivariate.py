@@ -63,13 +63,12 @@ def phi_k_from_cells(observed: np.ndarray) -> float | None:
     expected = row_share[:, None] * column_share[None, :]
     phi2 = float(((observed / n - expected) ** 2 / expected).sum())
     noise = (observed.shape[0] - 1) * (observed.shape[1] - 1) / n
-    most = min(observed.shape) - 1
-    if phi2 <= noise:
+    wanted = phi2 - noise
+    if wanted <= 0:
         return 0.0
+    most = min(min(observed.shape) - 1, _phi_square_at_one(row_share, column_share, expected))
     if phi2 >= most - 1e-9:
         return 1.0
-    at_one = _phi_square_at_one(row_share, column_share, expected)
-    wanted = (phi2 - noise) / (most - noise) * at_one if most > noise else at_one
     x_cut, y_cut = _cut(row_share), _cut(column_share)
     low, high = 0.0, 1.0
     for _ in range(40):

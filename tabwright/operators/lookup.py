@@ -58,8 +58,11 @@ def _hot_keys(moments: DataFrame, keys: Sequence[str], rows_per_slice: int) -> D
     )
 
 
-def _resolve(moments: DataFrame, lookup: FeatureLookup, rows: int, rows_per_slice: int) -> DataFrame:
-    """For each fact moment the time (and tie rank) of the feature row that applies."""
+def _resolve(moments: DataFrame, lookup: FeatureLookup, rows_per_slice: int | None) -> DataFrame:
+    """For each fact moment the time (and tie rank) of the feature row that applies.
+
+    ``rows_per_slice`` is what a key may have before its time is cut; None: no limit.
+    """
     keys, ts = lookup.keys, lookup.timestamp_lookup_key
     found = F.when(F.col("_rows") > 1, F.raise_error(F.lit(_TIED)).cast("boolean")).otherwise(
         F.col("_rows") == 1
@@ -69,7 +72,7 @@ def _resolve(moments: DataFrame, lookup: FeatureLookup, rows: int, rows_per_slic
         *keys, ts, "_fact", F.when(found, F.struct(F.col(ts).alias("ts"), *tie)).alias("_match")
     )
     hot_count, hot_moments = 0, 0
-    if rows > rows_per_slice:
+    if rows_per_slice is not None:
         hot = _hot_keys(moments, keys, rows_per_slice)
         sizes = hot.agg(F.count("*"), F.coalesce(F.sum("_moments"), F.lit(0))).first()
         hot_count, hot_moments = sizes[0], sizes[1]
@@ -126,7 +129,7 @@ def point_in_time_lookup(
     facts: DataFrame,
     lookup: FeatureLookup,
     matched_ts: str | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    rows_per_slice: int | None = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Every fact row once, with the latest feature row of its key not after its time.
 
@@ -136,12 +139,12 @@ def point_in_time_lookup(
     Which row applies is settled on (key, time) alone, each pair once; the feature
     columns move only in the last join, where they meet the facts that use them. Both
     joins keep the facts on the left, so a hot key can be split by adaptive execution;
-    keys with more than ``rows_per_slice`` moments are cut in time before that.
+    keys with more than ``rows_per_slice`` moments are cut in time before that. None
+    leaves out the search for such keys, for tables known to have none.
     """
     keys, ts, tie = lookup.keys, lookup.timestamp_lookup_key, lookup.tie_break
     added = _added_names(facts, lookup)
-    rows = facts.count() + lookup.features.count()
-    resolved = _resolve(_moments(facts, lookup), lookup, rows, rows_per_slice)
+    resolved = _resolve(_moments(facts, lookup), lookup, _hot_bound(facts, lookup, rows_per_slice))
     with_time = facts.join(resolved, [*keys, ts], "left")
     right = lookup.features.select(
         *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
@@ -160,6 +163,16 @@ def point_in_time_lookup(
     )
 
 
+def _hot_bound(facts: DataFrame, lookup: FeatureLookup, rows_per_slice: int | None) -> int | None:
+    """The bound, or None where the tables together are too small to exceed it."""
+    if rows_per_slice is None:
+        return None
+    rows = facts.count()
+    if rows <= rows_per_slice:
+        rows += lookup.features.count()
+    return rows_per_slice if rows > rows_per_slice else None
+
+
 def _added_names(facts: DataFrame, lookup: FeatureLookup) -> list[str]:
     added = [lookup.rename.get(c, c) for c in lookup.feature_names]
     clash = set(added) & set(facts.columns)

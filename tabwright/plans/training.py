@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.operators.prep import check_levels, helper_columns, preprocessing_stages
+from tabwright.sources.tables import stage
 from tabwright.spec import FeatureSpec
 
 Learner = Callable[[Mapping[str, float], FeatureSpec], Estimator]
@@ -64,11 +65,19 @@ def fit_classifier(
     params: Mapping[str, float],
     learner: Learner | None = None,
     impute: str | None = "mean",
+    stage_input: bool = False,
 ) -> PipelineModel:
-    """Preprocessing and learner fitted on ``train`` as one pipeline."""
-    check_levels(train, spec)
+    """Preprocessing and learner fitted on ``train`` as one pipeline.
+
+    Fitting passes over its input several times. ``stage_input`` writes the columns it
+    needs to the shared folder first: worth it where ``train`` is a join, such as a
+    training set with lookups, and not where it is a plain table.
+    """
     learner = learner or boosted_trees()
     needed = train.select(*spec.features, spec.label).filter(F.col(spec.label).isNotNull())
+    if stage_input:
+        needed = stage(needed, "training-set")
+    check_levels(needed, spec)
     return Pipeline(stages=[*preprocessing_stages(spec, impute), learner(params, spec)]).fit(needed)
 
 
