@@ -377,19 +377,40 @@ def slots(c: str, where: str = "true") -> str:
       from feats f left join ({category_index(c, "feats", where)}) i on f.{c} = i.value"""
 
 
-def assembled() -> str:
-    parts = [
-        f"select o_orderkey, {i}::bigint as slot, {c}::double as value from feats "
-        f"where {c} is null or {c} <> 0"
-        for i, c in enumerate(NUMERIC)
-    ]
-    offset = str(len(NUMERIC))
+def one_hots(start: int) -> tuple[list[str], str]:
+    """Selects of the one-hot elements from place ``start`` on, and the place after them."""
+    parts, offset = [], str(start)
     for c in CATEGORICAL:
         parts.append(
             f"select o_orderkey, ({offset} + slot)::bigint as slot, 1.0e0 as value from ({slots(c)})"
         )
         offset += f" + (select count(distinct {c}) + 1 from feats)"
-    return union(parts)
+    return parts, offset
+
+
+def assembled() -> str:
+    numbers = [
+        f"select o_orderkey, {i}::bigint as slot, {c}::double as value from feats "
+        f"where {c} is null or {c} <> 0"
+        for i, c in enumerate(NUMERIC)
+    ]
+    return union([*numbers, *one_hots(len(NUMERIC))[0]])
+
+
+def prepared() -> str:
+    """Imputed numbers, one-hot slots, then missing flags."""
+    hots, after = one_hots(len(NUMERIC))
+    numbers = [
+        f"select o_orderkey, {i}::bigint as slot, "
+        f"coalesce({c}::double, avg({c}::double) over ()) as value from feats"
+        for i, c in enumerate(NUMERIC)
+    ]
+    flags = [
+        f"select o_orderkey, ({after} + {i})::bigint as slot, 1.0e0 as value from feats "
+        f"where {c} is null"
+        for i, c in enumerate(NUMERIC)
+    ]
+    return union([*numbers, *hots, *flags])
 
 
 def imputed(c: str) -> str:
@@ -433,6 +454,9 @@ ORACLE: dict[str, str] = {
       with {SCORED} select event_id, ts, user_id, event_type, value, props, label,
         {sig("p_one")} as p_one, prediction, rival_prediction from scored""",
     "s3_preview": "select * from orders order by o_orderkey limit 10",
+    "s5_model_save_load": f"""
+      select o_orderkey, true as same_prediction from orders
+      where {split("o_orderkey", WEIGHTS, NAMES)} = 'test'""",
     "s6_run_log": f"""
       with {SCORED} {sig_metrics(
           threshold_metrics(),
@@ -524,6 +548,9 @@ ORACLE: dict[str, str] = {
     "f4_unseen_category": f"""
       with {ORDERS} {union(slots(c, "r_name <> 'AFRICA'") for c in ("n_name", "ptype"))}""",
     "f5_missing_numbers": f"with {ORDERS} {union(map(imputed, NUMERIC))}",
+    "f6_stage_list": f"""
+      with {ORDERS} select slot, count(*) as rows, {sig("sum(value)")} as total
+      from ({prepared()}) where value <> 0 group by slot""",
     "t2_search_space": f"""
       select o_orderkey as trial, {parameter("eta", 0.01, 0.3, "log")},
              {parameter("max_depth", 3, 12, "int")}, {parameter("min_child_weight", 1.0, 10.0)},
@@ -553,6 +580,7 @@ ORACLE: dict[str, str] = {
     "x1_stream_score": f"""
       with {SCORED} select event_id, ts, user_id, event_type, {sig("value")} as value, props, label,
         {sig("p_one")} as p_one, prediction, rival_prediction from scored""",
+    "x1_stream_score_model": "select event_id, true as same from events",
     "x2_stream_late_labels": f"""
       with {SCORED} select s.event_id, s.ts, s.prediction, l.label_ts, l.true_label
       from scored s join {LATE_LABELS} l on s.event_id = l.event_id""",

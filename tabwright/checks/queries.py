@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tabwright.functions import guarded_ratio, logistic, sanitize_identifier
 from tabwright.operators import correlate, lookup, metrics, prep, profile, project, split
-from tabwright.plans import duel, search, training
+from tabwright.plans import duel, lifecycle, search, training
 from tabwright.session import work_path
 from tabwright.sources import registry, runlog, tables
 from tabwright.sources.fixtures import (
@@ -106,7 +106,7 @@ def s5_model_save_load(spark, sf_dir):
         *test.columns, F.col("prediction").alias("before")
     )
     return training.score(again, before, ORDERS_SPEC).select(
-        "o_orderkey", "before", F.col("prediction").alias("after")
+        "o_orderkey", (F.col("before") == F.col("prediction")).alias("same_prediction")
     )
 
 
@@ -470,7 +470,11 @@ def f6_stage_list(spark, sf_dir):
     orders = staged_orders(spark, sf_dir)
     prepared = fitted(orders, prep.preprocessing_stages(ORDERS_SPEC))
     elements = prep.vector_elements(prepared, ["o_orderkey"])
-    return elements.groupBy("slot").agg(F.count("*").alias("rows"), F.sum("value").alias("total"))
+    return rounded(
+        elements.groupBy(F.col("slot").cast("bigint").alias("slot")).agg(
+            F.count("*").alias("rows"), F.sum("value").alias("total")
+        )
+    )
 
 
 # --- training, search, scoring, lifecycle --------------------------------------------
@@ -498,6 +502,30 @@ def t3_search(spark, sf_dir):
     return search.trials_table(train, trials)
 
 
+@query
+def t3_train_and_register(spark, sf_dir):
+    """Lookup, split, search, refit, test and registration; the stored holdout scores."""
+    orders = staged_orders(spark, sf_dir)
+    labelled, holdout = split.hash_split(orders, (0.7, 0.3), SEED + 1, ORDERS_SPEC.keys)
+    facts = labelled.select("o_orderkey", "entity_id", "ts", "label")
+    features = FeatureLookup(
+        labelled.select("o_orderkey", "ts", *ORDERS_SPEC.features),
+        tuple(ORDERS_SPEC.features),
+        "o_orderkey",
+        "ts",
+    )
+    models = registry.ModelRegistry(spark, work_path(spark, "registry"), "orders")
+    log = runlog.RunLog(spark, work_path(spark, "run-log"))
+    lifecycle.train_and_register(
+        facts, [features], ORDERS_SPEC, models, log, n_trials=2, seed_params=QUICK, learner=quick_trees()
+    )
+    stored = lifecycle.predict_and_store(
+        holdout, ORDERS_SPEC, models, "orders_predictions", work_path(spark, "predictions")
+    )
+    lifecycle.evaluate_stored(stored, ORDERS_SPEC, models, log)
+    return log.runs().join(log.metrics(), "run_id").select("run_name", "key", "value")
+
+
 @query
 def t4_refit_best(spark, sf_dir):
     train, valid, test = orders_splits(spark, sf_dir)
@@ -608,18 +636,25 @@ def x1_stream_score(spark, sf_dir):
 
 @query
 def x1_stream_score_model(spark, sf_dir):
-    """A fitted pipeline scores events one file at a time; labels are purchases or not."""
+    """A fitted pipeline scores events as a stream, and the batch scores them the same."""
     spec = FeatureSpec(("value",), ("event_type",), "label", ("event_id",))
     batch = rule_scored_events(spark, sf_dir)
     model = training.fit_classifier(batch, spec, QUICK, training.boosted_trees(trees=1))
     path = work_path(spark, "stream-model-scored")
     stream = scoring.score_stream(
         event_stream(spark, sf_dir),
-        lambda df: training.score(model, df, spec).select("event_id", "prediction", "probability"),
+        lambda df: training.score(model, df, spec).select("event_id", "prediction"),
         path,
         work_path(spark, "stream-checkpoint"),
     )
-    return finished(spark, stream, path)
+    in_batch = training.score(model, table(spark, sf_dir, "events"), spec).select(
+        "event_id", F.col("prediction").alias("batch_prediction")
+    )
+    return (
+        finished(spark, stream, path)
+        .join(in_batch, "event_id", "full")
+        .select("event_id", F.col("prediction").eqNullSafe(F.col("batch_prediction")).alias("same"))
+    )
 
 
 @query

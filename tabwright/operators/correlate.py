@@ -36,6 +36,11 @@ DIGIT_BITS = 4
 DIGITS = 2**DIGIT_BITS
 
 
+def _no_pairs(df: DataFrame, name: str) -> DataFrame:
+    schema = f"left_col string, right_col string, {name} double"
+    return df.sparkSession.createDataFrame([], schema)
+
+
 def _corr_table(rows: DataFrame, pairs: Sequence[tuple[str, str]], name: str) -> DataFrame:
     """Pearson of ``x`` and ``y`` per ``pair``; null when either does not vary.
 
@@ -49,6 +54,8 @@ def _corr_table(rows: DataFrame, pairs: Sequence[tuple[str, str]], name: str) ->
 
 def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = all_pairs(columns)
+    if not pairs:
+        return _no_pairs(df, "pearson")
     rows = pair_rows(df, {c: as_number(F.col(c)) for c in columns}, pairs)
     return _corr_table(rows, pairs, "pearson")
 
@@ -59,6 +66,8 @@ def missing_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Rows are counted by their pattern of missing columns first; the pairs are taken
     from the patterns.
     """
+    if len(columns) < 2:
+        return _no_pairs(df, "missing_corr")
     flags = [is_missing(df, c).cast("int").alias(c) for c in columns]
     patterns = df.groupBy(*flags).agg(F.count("*").alias("_n"))
     pairs = all_pairs(columns)
@@ -90,8 +99,6 @@ def _gap_patterns(numbers: DataFrame, columns: Sequence[str]) -> dict[str, str |
 
     One row per column pair comes to the driver.
     """
-    if len(columns) < 2:
-        return dict.fromkeys(columns)
     flags = [F.col(c).isNull().alias(c) for c in columns]
     patterns = numbers.groupBy(*flags).agg(F.count("*").alias("_n"))
     pairs = all_pairs(columns)
@@ -126,6 +133,8 @@ def spearman(df: DataFrame, columns: Sequence[str], slices: int | None = None) -
     column, broadcast by Spark where the values are few, otherwise a join that
     adaptive execution splits at frequent values.
     """
+    if len(columns) < 2:
+        return _no_pairs(df, "spearman")
     numbers, cuts = _numbers_with_cuts(df, columns, slices)
     gaps = _gap_patterns(numbers, columns)
     ranked, rank_of = numbers, {}
@@ -155,6 +164,8 @@ def kendall(df: DataFrame, columns: Sequence[str], slices: int | None = None) ->
     the first column tell how many earlier rows have a smaller and how many a greater
     digit. Each row is used once per place: the work is rows x log(distinct values).
     """
+    if len(columns) < 2:
+        return _no_pairs(df, "kendall")
     numbers, cuts = _numbers_with_cuts(df, columns, slices)
     sliced = any(cuts.values())
     coded = numbers
@@ -273,6 +284,8 @@ def cramers_v(
     """
     binned, levels = _binned(df, numeric, categorical, bins)
     pairs = list(pairs) if pairs is not None else all_pairs([*numeric, *categorical])
+    if not pairs:
+        return _no_pairs(df, "cramers_v")
     cells = pair_counts(binned, levels, pairs)
     rows = cells.groupBy("pair", "x").agg(F.sum("n").alias("in_row"))
     columns = cells.groupBy("pair", "y").agg(F.sum("n").alias("in_column"))
@@ -283,8 +296,9 @@ def cramers_v(
         .groupBy("pair")
         .agg(F.sum(o * o / (r * c)).alias("share"), F.sum("n").alias("n"))
     )
-    heights = rows.groupBy("pair").agg(F.count("*").alias("r"))
-    widths = columns.groupBy("pair").agg(F.count("*").alias("c"))
+    # Counting the totals, not rows, keeps the same shuffled tables in use.
+    heights = rows.groupBy("pair").agg(F.count("in_row").alias("r"))
+    widths = columns.groupBy("pair").agg(F.count("in_column").alias("c"))
     phi2 = F.greatest(F.col("share") - 1, F.lit(0.0))
     r, c, n = F.col("r").cast("double"), F.col("c").cast("double"), F.col("n").cast("double")
     if bias_correction:
@@ -335,8 +349,10 @@ def phi_k(
     squared cells, and solving for phi_k is a small task per pair.
     """
     categorical = few_levels(df, categorical, max_levels)
-    binned, levels = _binned(df, numeric, categorical, bins)
     pairs = all_pairs([*numeric, *categorical])
+    if not pairs:
+        return _no_pairs(df, "phi_k")
+    binned, levels = _binned(df, numeric, categorical, bins)
     cells = pair_counts(binned, levels, pairs)
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:

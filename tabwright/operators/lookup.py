@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions import seconds_of
 from tabwright.operators.slices import ROWS_PER_SLICE, add_slices, cut_points, slice_count
+from tabwright.sources.tables import stage
 from tabwright.spec import FeatureLookup
 
 _TIED = "feature rows share key and time; name a tie_break column"
@@ -81,6 +82,9 @@ def _resolve(moments: DataFrame, lookup: FeatureLookup, rows_per_slice: int | No
         so_far = Window.partitionBy(*keys).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
         resolved = moments.withColumn("_match", F.last("_match", ignorenulls=True).over(so_far))
     else:
+        # The steps ahead read the narrow moments several times.
+        moments = stage(moments, "lookup-moments")
+        hot = _hot_keys(moments, keys, rows_per_slice)
         resolved = _resolve_hot(moments, lookup, hot, slice_count(hot_moments, rows_per_slice))
     return resolved.filter("_fact").select(
         *keys,
@@ -106,16 +110,16 @@ def _resolve_hot(
     )
     cuts = cut_points(flagged.filter("_hot"), {"_when": F.col("_when")}, slices)
     sliced = add_slices(flagged, cuts, "_slice").withColumn(
-        "slice", F.when(F.col("_hot"), F.col("_slice_when")).otherwise(F.lit(0.0))
+        "slice", F.when(F.col("_hot"), F.col("_slice_when")).otherwise(F.lit(0))
     )
     so_far = Window.partitionBy(*keys, "slice").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
     earlier = (
         Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = (
-        sliced.filter("_hot")
-        .groupBy(*keys, "slice")
-        .agg(F.max("_match").alias("_last"))
+        sliced.groupBy(*keys, "slice")
+        .agg(F.max("_match").alias("_last"), F.bool_or("_hot").alias("_was_hot"))
+        .filter("_was_hot")
         .select(*keys, "slice", F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
     )
     inside = sliced.withColumn("_match", F.last("_match", ignorenulls=True).over(so_far))

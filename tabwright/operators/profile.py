@@ -14,8 +14,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.functions import as_number, guarded_ratio, is_missing, seconds_of
-from tabwright.operators.correlate import auto_correlation
+from tabwright.operators.correlate import (
+    auto_correlation,
+    cramers_v,
+    few_levels,
+    kendall,
+    missing_correlation,
+    pearson,
+    phi_k,
+    spearman,
+)
 from tabwright.operators.pairs import all_pairs, equal_width_bins, pair_name, pair_rows
+from tabwright.operators.split import union_by_name
 from tabwright.operators.values import NumberCounts, value_counts
 
 QUANTILES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
@@ -322,8 +332,6 @@ def alerts(
     ``correlations`` may hand in the result of ``auto_correlation`` when it exists.
     """
     t = thresholds
-    stats = numeric_stats(df, numeric, slices)
-    levels = categorical_stats(df, categorical)
     missing = missing_counts(df, [*numeric, *categorical])
     pairs = correlations
     if pairs is None:
@@ -340,28 +348,83 @@ def alerts(
     zero_share = guarded_ratio(F.col("zeros"), rows)
     distinct = F.col("distinct")
     unique = (distinct == F.col("count")) & (F.col("count") > 1)
-    of_numbers = found(
-        stats,
-        {
-            "constant": (distinct == 1, distinct),
-            "unique": (unique, distinct),
-            "zeros": (zero_share > t.zero_share, zero_share),
-            "skewed": (F.abs("skewness") > t.skewness, F.col("skewness")),
-        },
-    )
-    of_levels = found(
-        levels,
-        {
-            "constant": (distinct == 1, distinct),
-            "unique": (unique, distinct),
-            "high_cardinality": (distinct > t.high_cardinality, distinct),
-            "imbalance": (F.col("imbalance") > t.imbalance, F.col("imbalance")),
-        },
-    )
-    of_missing = found(missing, {"missing": (F.col("share") > t.missing_share, F.col("share"))})
-    of_pairs = pairs.filter(F.abs("value") > t.correlation).select(
-        F.concat_ws(" x ", "left_col", "right_col").alias("column"),
-        F.lit("high_correlation").alias("alert"),
-        "value",
-    )
-    return of_numbers.unionByName(of_levels).unionByName(of_missing).unionByName(of_pairs)
+    raised = [
+        found(missing, {"missing": (F.col("share") > t.missing_share, F.col("share"))}),
+        pairs.filter(F.abs("value") > t.correlation).select(
+            F.concat_ws(" x ", "left_col", "right_col").alias("column"),
+            F.lit("high_correlation").alias("alert"),
+            "value",
+        ),
+    ]
+    if numeric:
+        raised.append(
+            found(
+                numeric_stats(df, numeric, slices),
+                {
+                    "constant": (distinct == 1, distinct),
+                    "unique": (unique, distinct),
+                    "zeros": (zero_share > t.zero_share, zero_share),
+                    "skewed": (F.abs("skewness") > t.skewness, F.col("skewness")),
+                },
+            )
+        )
+    if categorical:
+        raised.append(
+            found(
+                categorical_stats(df, categorical),
+                {
+                    "constant": (distinct == 1, distinct),
+                    "unique": (unique, distinct),
+                    "high_cardinality": (distinct > t.high_cardinality, distinct),
+                    "imbalance": (F.col("imbalance") > t.imbalance, F.col("imbalance")),
+                },
+            )
+        )
+    return union_by_name(*raised)
+
+
+
+def report(
+    df: DataFrame,
+    keys: Sequence[str],
+    thresholds: AlertThresholds = AlertThresholds(),
+    max_levels: int = 100,
+    slices: int | None = None,
+) -> dict[str, DataFrame]:
+    """The whole profile of a table, one frame per section.
+
+    Columns are treated by the kind their type gives them; ``keys`` order the sample
+    and take no part in the correlations, nor do category columns of more than
+    ``max_levels`` values. The table is read many times: pass one that is stored.
+    """
+    kinds = column_kinds(df)
+    of_kind = {k: [c for c in df.columns if kinds[c] == k] for k in set(kinds.values())}
+    numeric, texts = of_kind.get("numeric", []), of_kind.get("categorical", [])
+    measured = [c for c in numeric if c not in set(keys)]
+    leveled = few_levels(df, [c for c in texts if c not in set(keys)], max_levels)
+    times = of_kind.get("datetime", [])
+    sections = {"overview": overview(df), "missing": missing_counts(df)}
+    sections["missing_correlation"] = missing_correlation(df, df.columns)
+    if numeric:
+        sections["numbers"] = numeric_stats(df, numeric, slices)
+        sections["quantiles"] = numeric_quantiles(df, numeric, slices)
+        sections["histogram"] = histogram(df, numeric)
+    if texts:
+        sections["categories"] = categorical_stats(df, texts)
+        sections["top_values"] = top_values(df, texts)
+        sections["text_lengths"] = text_lengths(df, texts, slices)
+    if times:
+        sections["times"] = datetime_stats(df, times)
+    sections["duplicates"] = top_duplicates(df)
+    sections["sample"] = head_and_tail(df, keys)
+    auto = auto_correlation(df, measured, leveled, slices=slices)
+    sections["auto"] = auto
+    sections["pearson"] = pearson(df, measured)
+    sections["spearman"] = spearman(df, measured, slices)
+    sections["kendall"] = kendall(df, measured, slices)
+    sections["cramers"] = cramers_v(df, leveled, measured)
+    sections["phi_k"] = phi_k(df, measured, leveled, max_levels=max_levels)
+    if len(measured) > 1:
+        sections["interactions"] = interactions(df, measured)
+    sections["alerts"] = alerts(df, numeric, texts, thresholds, auto, slices)
+    return sections

@@ -52,8 +52,10 @@ def add_slices(df: DataFrame, cuts: Mapping[str, Sequence[float]], prefix: str)
             outputCols=[f"{prefix}{c}" for c in cut],
             handleInvalid="keep",
         ).transform(df)
-    whole = {f"{prefix}{c}": F.lit(0.0) for c in cuts if c not in cut}
-    return df.withColumns(whole) if whole else df
+    numbers = {
+        f"{prefix}{c}": F.col(f"{prefix}{c}").cast("int") if c in cut else F.lit(0) for c in cuts
+    }
+    return df.withColumns(numbers) if numbers else df
 
 
 def running_totals(
@@ -84,7 +86,8 @@ def running_totals(
         *[F.coalesce(F.sum(s).over(earlier_slices), F.lit(0)).alias(f"{s}_offset") for s in sums],
         *[F.sum(s).over(whole).alias(f"{s}_total") for s in sums],
     )
-    return out.join(offsets, [*group, "slice"]).select(
+    # A left join adds no null filter, so both sides share the shuffled input.
+    return out.join(offsets, [*group, "slice"], "left").select(
         *df.columns,
         *[(F.col(f"{s}_before") + F.col(f"{s}_offset")).alias(f"{s}_before") for s in sums],
         *[f"{s}_total" for s in sums],

@@ -15,8 +15,8 @@ def split_label(
 ) -> Column:
     """The name of the split a row falls in, from a salted hash of its keys.
 
-    The seed salts the hash, so splits under different seeds are independent. Rows
-    with equal keys always share a split.
+    The seed salts the hash: splits under different seeds are independent, and a part
+    that is to be split again needs another seed. Rows with equal keys share a split.
     """
     if len(weights) != len(names) or not weights or min(weights) < 0 or sum(weights) <= 0:
         raise ValueError("weights must be one non-negative number per split name")

@@ -1,9 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright import FeatureSpec
+from tabwright import FeatureLookup, FeatureSpec
 from tabwright.operators import metrics, prep, split
-from tabwright.plans import duel, search, training
+from tabwright.plans import duel, lifecycle, search, training
 from tabwright.session import work_path
 from tabwright.sources import registry, runlog, tables
 from tabwright.sources.fixtures import ORDERS_SPEC, orders_features, rule_scored, table
@@ -188,3 +188,48 @@ def test_a_stream_scores_each_file_once(spark, tiny):
 def test_work_path_follows_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert work_path(spark, "x").startswith(root) and work_path(spark, "x") != work_path(spark, "x")
+
+
+def test_the_whole_life_of_a_model(spark, orders):
+    labelled, holdout = split.hash_split(orders, (0.7, 0.3), 7, ["o_orderkey"])
+    facts = labelled.select("o_orderkey", "ts", "label")
+    features = FeatureLookup(
+        labelled.drop("label"), tuple(ORDERS_SPEC.features), "o_orderkey", timestamp_lookup_key="ts"
+    )
+    models = registry.ModelRegistry(spark, work_path(spark, "registry"), "orders")
+    log = runlog.RunLog(spark, work_path(spark, "log"))
+    done = lifecycle.train_and_register(
+        facts, [features], ORDERS_SPEC, models, log,
+        n_trials=2, seed_params=PARAMS, learner=training.boosted_trees(trees=5),
+    )
+    assert done.f1 >= 0.8 and models.version_of("champion") == done.version == 1
+    matrix = log.artifact(done.run_id, "test_confusion_matrix")
+    assert matrix.agg(F.sum("rows")).first()[0] == split.hash_split(
+        labelled, (0.6, 0.2, 0.2), 42, ["o_orderkey"]
+    )[2].count()
+    names = {r["run_name"] for r in log.runs().collect()}
+    assert names == {"parameter_search", "seed_parameters_trial", "optuna_trial_001", "best_model"}
+
+    stored = lifecycle.predict_and_store(
+        holdout.drop("label"), ORDERS_SPEC, models, "whole_life", work_path(spark, "stored")
+    )
+    labels = holdout.select("o_orderkey", "label")
+    figures = lifecycle.evaluate_stored(stored, ORDERS_SPEC, models, log, labels).first()
+    assert figures["example_count"] == holdout.count() and figures["f1_score"] >= 0.8
+    assert log.runs().filter("run_name = 'orders_v1_evaluation'").count() == 1
+    apart = registry.schema_differences(holdout.drop("label"), models.signature("champion"))
+    assert [(r["column"], r["problem"]) for r in apart.collect()] == [("entity_id", "extra")]
+
+
+def test_probabilities_of_a_fitted_model_give_a_log_loss(model, parts):
+    scored = training.score(model, parts[1], ORDERS_SPEC)
+    loss = metrics.log_loss(scored, "label", metrics.probability_of_one()).first()["log_loss"]
+    assert 0 < loss < 0.69
+
+
+def test_fitting_on_a_staged_input_gives_the_same_model(model, parts):
+    again = training.fit_classifier(
+        parts[0], ORDERS_SPEC, PARAMS, training.boosted_trees(trees=8), stage_input=True
+    )
+    agree = sum(predictions(again, parts[1])[k] == v for k, v in predictions(model, parts[1]).items())
+    assert agree >= 0.95 * parts[1].count()

@@ -173,3 +173,28 @@ def test_text_and_time_columns(spark):
     assert (text["min_length"], text["max_length"], text["median_length"]) == (1, 3, 2.0)
     time = profile.datetime_stats(df, ["ts"]).first()
     assert (time["missing"], time["range_seconds"]) == (1, 86401.0)
+
+
+def test_a_report_has_every_section(spark, tiny):
+    from tabwright.sources.fixtures import table
+
+    orders = table(spark, tiny, "orders")
+    sections = profile.report(orders, ["o_orderkey"])
+    expected = {
+        "overview", "missing", "missing_correlation", "numbers", "quantiles", "histogram",
+        "categories", "top_values", "text_lengths", "times", "duplicates", "sample", "auto",
+        "pearson", "spearman", "kendall", "cramers", "phi_k", "interactions", "alerts",
+    }
+    assert set(sections) == expected
+    assert {r["column"] for r in sections["numbers"].collect()} == {"o_orderkey", "o_custkey", "o_totalprice"}
+    pairs = {(r["left_col"], r["right_col"]) for r in sections["auto"].collect()}
+    assert ("o_custkey", "o_totalprice") in pairs and len(pairs) == 6
+    assert sections["sample"].count() == 20
+
+
+def test_a_report_of_one_column(spark):
+    sections = profile.report(spark.createDataFrame([("a",), ("b",), ("a",)], "s string"), ["s"])
+    assert sections["overview"].first()["duplicate_rows"] == 1
+    assert {tuple(r) for r in sections["alerts"].collect()} == set()
+    for name in ("auto", "pearson", "spearman", "kendall", "cramers", "phi_k", "missing_correlation"):
+        assert sections[name].count() == 0
