@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,12 +29,8 @@ def local_session(cores: str = "8", app: str = "tabwright", **conf: str) -> Spar
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path for tables and stream checkpoints that a job writes on its way.
 
-    It lies under ``spark.checkpoint.dir``, the folder all executors share. Only a
-    local session may go without that setting.
+    It lies under ``spark.checkpoint.dir``, the folder all executors share, or where that
+    is not set beside the tables, in ``spark.sql.warehouse.dir``.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.gettempdir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/tabwright/{name}-{uuid.uuid4().hex}"
