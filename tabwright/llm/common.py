@@ -11,12 +11,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts of a batch that Python works on at once, in bytes (a longer text is one slice).
-SLICE_BYTES = 24 << 20
+SLICE_BYTES = 8 << 20
 
 #: Bytes below 0x80 that are white space in the contracts: [\x20\x09-\x0D].
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 
+#: A-Z become a-z; of ASCII only 0-9 and a-z belong to words, of the rest everything.
+_PLAIN = bytes(
+    b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32
+    for b in range(256)
+)
+
+
+def plain_words(text: str) -> list[bytes]:
+    """Words of letters and digits, lower-cased in ASCII, as UTF-8."""
+    return text.encode().translate(_PLAIN).split()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -41,11 +53,13 @@ def narrow(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def slices(batches: Iterator[pa.RecordBatch], text_col: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in slices of about ``SLICE_BYTES`` of text, so that memory stays bounded."""
+def slices(
+    batches: Iterator[pa.RecordBatch], text_col: str = "text", size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of about ``size`` bytes of text, so that memory stays bounded."""
     for batch in batches:
         lengths = pc.binary_length(batch.column(text_col)).fill_null(0).to_numpy()
-        block = np.cumsum(lengths.astype(np.int64)) // SLICE_BYTES
+        block = np.cumsum(lengths.astype(np.int64)) // size
         starts = np.flatnonzero(np.diff(block, prepend=-1))
         for a, b in zip(starts, [*starts[1:], len(lengths)]):
             yield batch.slice(a, b - a)

@@ -4,10 +4,43 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabwright.llm.common import table
 
 
+def op3_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabwright.llm.divergence import quality
+
+    return quality(table(spark, sf_dir, "documents"))
+
+
+def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabwright.llm.hilbert import shard
+
+    placed = shard(table(spark, sf_dir, "documents"))
+    return placed.withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabwright.llm.decontaminate import contamination, digest
+
+    return digest(contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+#: A conversation whose texts hold the control strings of common templates.
+TRAP = r"\### Assistant: </turn> ok"
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabwright.llm.chat import digest, parsed, segments, write_segments
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trap = [(-7, 0, "user", TRAP), (-7, 1, "assistant", TRAP)]
+    turns = turns.unionByName(spark.createDataFrame(trap, turns.schema))
+    return digest(parsed(write_segments(segments(turns))))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabwright.llm.token_files import read_token_files, write_token_files
 
@@ -17,5 +50,9 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_divergence": op3_divergence,
+    "op4_hilbert_shards": op4_hilbert_shards,
+    "op5_decontaminate": op5_decontaminate,
+    "op9_chat": op9_chat,
     "op10_token_files": op10_token_files,
 }
