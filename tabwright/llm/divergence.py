@@ -3,9 +3,7 @@ references of the languages, by Jensen-Shannon distance, beside plain base rules
 
 References come from all documents: a language is one that has at least 1/1000 of all words, a
 word is common in it if it has at least 1/500 of the language's words. Both bounds make the
-references small whatever the corpus: at most 1000 languages of 500 words. Candidates are the
-words that reach the share within one slice of one task (a common word does so somewhere);
-their counts are then taken over all documents, so the references are exact.
+references small whatever the corpus: at most 1000 languages of 500 words, counted exactly.
 
 A text is compared with the reference nearest to it, so a wrong or missing language mark does
 not count against it. Short texts have unsteady histograms: below ``min_chars`` and
@@ -18,7 +16,6 @@ distance; repeated rows give repeated results; other columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -28,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.common import SPACES, col_of, plain_words, slices
+from tabwright.llm.lexicon import common_words
 
 LANGUAGE_SHARE = 1 / 1000
 WORD_SHARE = 1 / 500
@@ -118,80 +116,24 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((left + right) / 2, 0, 1))
 
 
-def _by_language(batch: pa.RecordBatch) -> dict[str, list[str]]:
-    groups = defaultdict(list)
-    for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-        if lang is not None:
-            groups[lang].append(text)
-    return groups
-
-
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found, classes = set(), defaultdict(lambda: np.zeros(9, np.int64))
-    for batch in slices(batches, size=SLICE):
-        for lang, texts in _by_language(batch).items():
-            words = Counter(plain_words(" ".join(texts)))
-            total = words.total()
-            classes[lang] += np.append(class_counts([" ".join(texts).encode()])[0], total)
-            found.update((lang, w) for w, n in words.items() if n >= total * WORD_SHARE)
-    rows = [(lang, w.decode("utf-8", "replace"), 0, None) for lang, w in found]
-    rows += [(lang, None, 0, c.tolist()) for lang, c in classes.items()]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 4, _COUNT_TYPES)], _COUNT_NAMES
-    )
-
-
-_COUNT_NAMES = ["lang", "word", "n", "classes"]
-_COUNT_TYPES = [pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64())]
-_COUNT_SCHEMA = "lang string, word string, n long, classes array<long>"
+def plain_text(text: str) -> list[str]:
+    return [w.decode() for w in plain_words(text)]
 
 
 def references(docs: DataFrame) -> list[tuple[str, np.ndarray, dict[bytes, float]]]:
     """Language, class shares, and shares of its common words. Reads ``lang`` and ``text``."""
-    spark = docs.sparkSession
-    seen = docs.mapInArrow(_candidates, _COUNT_SCHEMA)
-    sums = [F.sum(F.get("classes", F.lit(k))).alias(f"c{k}") for k in range(9)]
-    # few rows: the heavy words of each task and one row per language and task
-    seen = seen.groupBy("lang", "word").agg(*sums)
-    share = F.sum("c8").over(_all())
-    langs = seen.where("word is null").withColumn("share", F.col("c8") / share)
-    langs = langs.where(F.col("share") >= LANGUAGE_SHARE)
-    both = seen.where("word is not null").join(langs.select("lang"), "lang", "left_semi")
-    rows = both.select("lang", "word", *(f"c{k}" for k in range(9))).unionByName(langs.drop("share")).collect()
-    classes = {r["lang"]: np.array([r[f"c{k}"] for k in range(9)], float) for r in rows if r["word"] is None}
-    wanted = defaultdict(set)
-    for r in rows:
-        if r["word"] is not None:
-            wanted[r["lang"]].add(r["word"].encode())
-    shared = spark.sparkContext.broadcast({k: sorted(v) for k, v in wanted.items()})
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = Counter()
-        index = {lang: {w: i for i, w in enumerate(words)} for lang, words in shared.value.items()}
-        for batch in slices(batches, size=SLICE):
-            for lang, texts in _by_language(batch).items():
-                if lang in index:
-                    words = plain_words(" ".join(texts))
-                    at = np.fromiter(map(index[lang].get, words, repeat(-1)), np.int64, len(words))
-                    for i, n in enumerate(np.bincount(at + 1)[1:].tolist()):
-                        totals[lang, shared.value[lang][i]] += n
-        rows = [(lang, w.decode(), n, None) for (lang, w), n in totals.items() if n]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 4, _COUNT_TYPES)], _COUNT_NAMES
-        )
-
-    counted = docs.mapInArrow(count, _COUNT_SCHEMA).groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    words = defaultdict(dict)
-    for r in counted.collect():
-        if r["n"] >= classes[r["lang"]][8] * WORD_SHARE:
-            words[r["lang"]][r["word"].encode()] = r["n"] / classes[r["lang"]][8]
-    return [(lang, c[:8] / max(1, c[:8].sum()), words[lang]) for lang, c in sorted(classes.items())]
-
-
-def _all():
-    from pyspark.sql import Window
-
-    return Window.partitionBy(F.lit(1))
+    found = common_words(
+        docs.select(F.col("lang").alias("key"), "text"),
+        WORD_SHARE,
+        plain_text,
+        lambda texts: class_counts([t.encode() for t in texts]).sum(0).tolist(),
+        len(CLASSES),
+        LANGUAGE_SHARE,
+    )
+    return [
+        (lang, np.array(classes) / max(1, sum(classes)), {w.encode(): n / total for w, n in words.items()})
+        for lang, (total, classes, words) in sorted(found.items())
+    ]
 
 
 def quality(

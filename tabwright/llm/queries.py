@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 from tabwright.llm.common import table
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabwright.llm.url_filter import judge
+
+    return judge(table(spark, sf_dir, "pages"))
+
+
 def op3_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabwright.llm.divergence import quality
 
@@ -50,6 +56,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op3_divergence": op3_divergence,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_decontaminate": op5_decontaminate,
