@@ -15,6 +15,14 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabwright.llm.toxicity import learn, remainder, score
+
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, learn(docs, table(spark, sf_dir, "labels")))
+    return scored.withColumn("held_out", remainder(F.col("doc_id")) == 0)
+
+
 def op3_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabwright.llm.divergence import quality
 
@@ -57,6 +65,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_toxicity": op2_toxicity,
     "op3_divergence": op3_divergence,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_decontaminate": op5_decontaminate,
