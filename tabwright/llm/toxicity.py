@@ -4,8 +4,8 @@ Both dictionaries hold the same frequent segments of ordinary text, found by zst
 trainer, so that ordinary prose costs the same under either. The toxic one also holds segments
 that toxic documents have far more often than ordinary ones (the trainer alone picks what is
 frequent in both classes and separates nothing); the ordinary one holds blanks in their place,
-so that distances into the common part agree. A text is cut into windows of whole words; the
-bytes that a window saves under the toxic dictionary are its gain. Thresholds are calibrated:
+so that distances into the common part agree. A text is cut into half-overlapping windows of whole
+words; the bytes that a window saves under the toxic dictionary are its gain. Thresholds are calibrated:
 how often windows reach each gain, by length of the text, goes through a logistic regression.
 
 Learning uses rows whose ``crc32(id as text) mod 5`` is not 0: remainders 1 to 3 for the
@@ -37,7 +37,7 @@ PER_CLASS = 4_000
 #: Longer texts are not used for learning, so the sample is bounded in bytes too.
 LEARN_CHARS = 20_000
 WINDOW = 48
-COMMON_BYTES, TOXIC_BYTES = 4096, 1024
+COMMON_BYTES, TOXIC_BYTES = 512, 512
 #: A segment is toxic from this many standard errors on, and this part of the strongest.
 LEAST_Z, PART_OF_BEST, LEAST_DOCS = 4.0, 0.4, 3
 GAINS = (2, 3, 4, 5, 6, 8)
@@ -49,20 +49,25 @@ def remainder(id_col: Column, folds: int = FOLDS) -> Column:
 
 
 def windows(text: str, size: int = WINDOW) -> list[bytes]:
-    """Runs of whole words of at least ``size`` bytes; a longer word is cut."""
-    out, now, length = [], [b""], 0
+    """Runs of whole words of at least ``size`` bytes, and the same again from half a run on;
+    a longer word is cut."""
+    words = []
     for word in plain_words(text):
-        for k in range(0, len(word), 4 * size):
-            part = word[k : k + 4 * size]
-            now.append(part)
-            length += len(part) + 1
+        words += [word] if len(word) <= size else [word[k : k + size] for k in range(0, len(word), size)]
+    out = []
+    for skip in (0, size // 2):
+        now, length = [], -skip
+        for word in words:
+            if length < 0:
+                length = min(0, length + len(word) + 1)
+                continue
+            now.append(word)
+            length += len(word) + 1
             if length >= size:
-                now.append(b"")
-                out.append(b" ".join(now))
-                now, length = [b""], 0
-    if length:
-        now.append(b"")
-        out.append(b" ".join(now))
+                out.append(b" " + b" ".join(now) + b" ")
+                now, length = [], 0
+        if now:
+            out.append(b" " + b" ".join(now) + b" ")
     return out
 
 
