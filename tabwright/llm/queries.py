@@ -42,6 +42,12 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op6_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabwright.llm.minmax import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 #: A conversation whose texts hold the control strings of common templates.
 TRAP = r"\### Assistant: </turn> ok"
 
@@ -69,6 +75,7 @@ QUERIES = {
     "op3_divergence": op3_divergence,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_decontaminate": op5_decontaminate,
+    "op6_minmax_dedup": op6_minmax_dedup,
     "op9_chat": op9_chat,
     "op10_token_files": op10_token_files,
 }
