@@ -48,6 +48,13 @@ def op6_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabwright.llm.bpe import digest
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return digest(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 #: A conversation whose texts hold the control strings of common templates.
 TRAP = r"\### Assistant: </turn> ok"
 
@@ -76,6 +83,7 @@ QUERIES = {
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_decontaminate": op5_decontaminate,
     "op6_minmax_dedup": op6_minmax_dedup,
+    "op8_bpe": op8_bpe,
     "op9_chat": op9_chat,
     "op10_token_files": op10_token_files,
 }
