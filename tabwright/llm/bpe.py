@@ -189,8 +189,10 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     return rows.mapInArrow(run, TOKENS.format(kind=rows.schema["doc_id"].dataType.simpleString()))
 
 
-def digest(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document row the number of its ids and digests of ids and decoded bytes."""
+def digest(
+    docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", ids_too: bool = False
+) -> DataFrame:
+    """Per document row the number of its ids and digests of ids and decoded bytes (and the ids)."""
 
     def sha(x: bytes) -> str:
         return hashlib.sha256(x).hexdigest()
@@ -199,16 +201,19 @@ def digest(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         for batch, ids, at, texts in _slices(batches, path, pattern):
             lists = pa.LargeListArray.from_arrays(pa.array(at, pa.int64()), pa.array(ids).cast(pa.large_string()))
             joined = pc.binary_join(lists, ",").to_pylist()
+            own = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids))] if ids_too else []
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(np.diff(at)),
                     pa.array([sha(x.encode()) for x in joined], pa.string()),
                     pa.array([sha(x) for x in texts], pa.string()),
+                    *own,
                 ],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * ids_too],
             )
 
     rows = narrow(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return rows.mapInArrow(run, schema + ", ids array<int>" * ids_too)

@@ -23,13 +23,16 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.common import col_of, narrow, plain_words, slices
 
 BLOCK_BYTES = 4 << 20
 WINDOW = 10
+SLICE = 8 << 20
 SHINGLE = 3
 #: Candidates compared at once.
 AT_ONCE = 1 << 18
@@ -143,7 +146,7 @@ def _count(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
         totals = {size: np.zeros(len(keys), np.int64) for size, keys in block.keys.items()}
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE):
             codes, _ = block.codes(batch.column("text"))
             for size, keys in block.keys.items():
                 totals[size] += np.bincount(block.positions(codes, size, keys)[1], minlength=len(keys))
@@ -160,7 +163,7 @@ def _count(shared):
 def _mark(shared, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE):
             codes, begin = block.codes(batch.column("text"))
             place, number = block.matches(codes, begin)
             edge = np.zeros(len(codes) + 1, np.int32)
@@ -196,6 +199,30 @@ def _mark(shared, keep_text: bool):
     return run
 
 
+def _blocks(docs: DataFrame, text: Column, items: DataFrame, window: int) -> Iterator[tuple[Broadcast, bool]]:
+    """The benchmark's blocks with their prefixes, and whether another follows. An empty benchmark
+    gives one empty block."""
+    spark = docs.sparkSession
+    size = items.agg(F.sum(F.octet_length("text") + F.octet_length("item"))).first()[0] or 0
+    blocks = max(1, -(-size // BLOCK_BYTES))
+    for k in range(blocks):
+        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
+        block = Block.build([tuple(r) for r in part.collect()], window)  # a block is bounded
+        counts = {}
+        if block.windows:
+            shared = spark.sparkContext.broadcast(block)
+            counted = docs.select(text.alias("text")).mapInArrow(_count(shared), "size int, at long, n long")
+            for r in counted.groupBy("size", "at").agg(F.sum("n").alias("n")).collect():
+                counts[r["size"], int(block.keys[r["size"]][r["at"]])] = r["n"]
+        block.choose(counts)
+        yield spark.sparkContext.broadcast(block), k + 1 < blocks
+
+
+def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    items = benchmark.select(col_of(item_col).cast("string").alias("item"), col_of(text_col).alias("text"))
+    return items.where("item is not null and text is not null").distinct()
+
+
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -207,30 +234,13 @@ def contamination(
 ) -> DataFrame:
     """Per document row: id, number of words, the word spans that occur in the benchmark
     (start, end; merged and in order) and the ids of the items they come from, sorted as strings."""
-    spark = docs.sparkSession
-    items = benchmark.select(
-        col_of(item_col).cast("string").alias("item"), col_of(item_text_col).alias("text")
-    ).where("item is not null and text is not null").distinct()
-    size = items.agg(F.sum(F.octet_length("text") + F.octet_length("item"))).first()[0] or 0
-    blocks = -(-size // BLOCK_BYTES)
+    items = _items(benchmark, item_col, item_text_col)
     rows = narrow(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
     marked = rows.withColumn("n_words", F.lit(0).cast("long")).withColumn(
         "spans", F.array().cast(SPANS)
     ).withColumn("items", F.array().cast("array<string>"))
-    # without items one empty block still counts the words
-    for k in range(max(1, blocks)):
-        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(max(1, blocks))) == k)
-        block = Block.build([tuple(r) for r in part.collect()], window)  # a block is bounded
-        shared = spark.sparkContext.broadcast(block)
-        counted = (
-            rows.select("text").mapInArrow(_count(shared), "size int, at long, n long")
-            .groupBy("size", "at").agg(F.sum("n").alias("n"))
-        )
-        counts = {(r["size"], int(block.keys[r["size"]][r["at"]])): r["n"] for r in counted.collect()} if block.windows else {}
-        block.choose(counts)
-        shared = spark.sparkContext.broadcast(block)
-        more = k + 1 < blocks
+    for shared, more in _blocks(rows, F.col("text"), items, window):
         marked = marked.mapInArrow(
             _mark(shared, more),
             f"doc_id {kind}, {'text string, ' * more}n_words long, spans {SPANS}, items array<string>",
@@ -238,6 +248,35 @@ def contamination(
     return marked
 
 
+def keep_clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = WINDOW,
+) -> DataFrame:
+    """The rows in which no window of the benchmark occurs, with all their columns."""
+    at, out = docs.columns.index(text_col), docs
+
+    def filtered(shared: Broadcast):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            block = shared.value
+            for batch in slices(batches, text_col, SLICE):
+                codes, begin = block.codes(pc.fill_null(batch.column(at), ""))
+                place, _ = block.matches(codes, begin)
+                hit = np.zeros(len(batch), bool)
+                hit[np.searchsorted(begin, place, side="right") - 1] = True
+                yield batch.filter(pa.array(~hit))
+
+        return run
+
+    text = F.coalesce(col_of(text_col), F.lit(""))
+    for shared, _ in _blocks(docs, text, _items(benchmark, item_col, item_text_col), window):
+        out = out.mapInArrow(filtered(shared), docs.schema)
+    return out
+
+
 def digest(marked: DataFrame) -> DataFrame:
     """One row per document: words, words hit, items and their digest."""
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + (s["end"] - s["start"]))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tabwright.llm.common import narrow, slices
+from tabwright.llm.common import col_of, fresh, narrow, slices
 from tabwright.llm.components import components
 from tabwright.sources.tables import stage
 
@@ -245,3 +245,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
     )
+
+
+def keep_one(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The documents with one row of each group of near-duplicates, with all their columns."""
+    row = fresh(docs, "row_number")
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "dedup-input")
+    kept = near_duplicates(numbered, row, text_col).where("kept").select(F.col("doc_id").alias(row))
+    return numbered.join(kept, row, "left_semi").select(*map(col_of, docs.columns))

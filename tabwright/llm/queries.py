@@ -48,6 +48,12 @@ def op6_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabwright.llm.secrets import scan
+
+    return scan(table(spark, sf_dir, "documents")).drop("row")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabwright.llm.bpe import digest
 
@@ -83,6 +89,7 @@ QUERIES = {
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_decontaminate": op5_decontaminate,
     "op6_minmax_dedup": op6_minmax_dedup,
+    "op7_secrets": op7_secrets,
     "op8_bpe": op8_bpe,
     "op9_chat": op9_chat,
     "op10_token_files": op10_token_files,
