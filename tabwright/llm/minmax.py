@@ -3,13 +3,13 @@
 A text is the set of its five-word shingles. Each of ``PERMUTATIONS`` hash functions gives two
 signature values, its minimum and its maximum over the set, so a signature of twice the length
 costs no further hashing. Bands of ``ROWS`` values put texts into buckets; two texts at the
-threshold of 0.85 share none of the 25 with probability 4e-7.
+threshold of 0.85 share fewer than two of the 32 with probability 2e-7.
 
 1. Texts with equal words are one node, named by the smallest id.
 2. In every bucket each node is paired with the bucket's smallest: at most one pair per node and
    band, however large the bucket. Pairs are confirmed on the full sets and joined to components.
-3. What a star can miss are links between texts of different components in one bucket. Texts of
-   such buckets are compared by a prefix join: with shingles ordered by rarity, linked texts
+3. What a star can miss are links between texts of different components that share buckets.
+   Texts with two such buckets at least are compared by a prefix join: with shingles ordered by rarity, linked texts
    share one of their first ``n - ceil(0.85 n) + 1`` shingles, and the place of that shingle
    limits how much they can share at all. A changed copy begins with shingles that only it has,
    so it meets only texts that can reach the threshold, not its whole group. Shingles are met
@@ -39,7 +39,7 @@ from tabwright.llm.components import components
 from tabwright.sources.tables import stage
 
 SHINGLE = 5
-PERMUTATIONS, ROWS = 64, 5
+PERMUTATIONS, ROWS = 80, 5
 BANDS = 2 * PERMUTATIONS // ROWS
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 85
@@ -161,18 +161,20 @@ def near_size(a: str, b: str) -> str:
     return f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})"
 
 
-def crossing_pairs(tokens: DataFrame) -> DataFrame:
+def crossing_pairs(nodes: DataFrame, tokens: DataFrame) -> DataFrame:
     """Pairs of nodes of different components that can reach the threshold by their rare shingles.
 
-    ``tokens`` has ``node, n, component, size`` (of the component) and ``shingle``.
+    ``nodes`` has ``node, n, component, size`` (of the component), ``tokens`` their ``node, shingle``.
     """
     counts = tokens.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    rare = tokens.join(counts, "shingle")
+    rare = tokens.join(counts, "shingle").select("node", "shingle", "df")
     own = Window.partitionBy("node")
     # shingles that no other text has come first: their number moves all others back
-    rank = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("df", "shingle"))
-    prefix = F.expr(f"n - (n * {PERCENT} + 99) div 100 + 1")
-    rows = rare.withColumn("rank", rank).where(F.col("rank") <= prefix).drop("df")
+    placed = rare.withColumn("shared", F.count("*").over(own)).withColumn(
+        "place", F.row_number().over(own.orderBy("df", "shingle"))
+    )
+    rows = placed.join(nodes, "node").withColumn("rank", F.expr("n - shared + place"))
+    rows = rows.where(f"rank <= n - (n * {PERCENT} + 99) div 100 + 1").drop("df", "shared", "place")
     rows = stage(rows, "prefix-shingles")
     # in each shingle's row the largest component is met by the others, never with itself
     most = rows.groupBy("shingle").agg(
@@ -222,10 +224,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mine = mine.withColumn("component", F.coalesce("component", "node")).fillna(1, ["size"])
     mine = stage(mine, "bucket-components")
     mixed = mine.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a != b")
-    open_nodes = mine.join(mixed, "bucket", "left_semi").select("node", "n", "component", "size").distinct()
-    tokens = open_nodes.join(sets, "node").select("node", "n", "component", "size", F.explode("shingles").alias("shingle"))
+    mixed = mine.join(mixed.select("bucket"), "bucket", "left_semi")
+    open_nodes = mixed.groupBy("node", "n", "component", "size").agg(F.count("*").alias("mixed")).where("mixed > 1")
+    open_nodes = stage(open_nodes.drop("mixed"), "open-nodes")
+    tokens = open_nodes.select("node").join(sets, "node").select("node", F.explode("shingles").alias("shingle"))
     tokens = stage(tokens, "open-shingles")
-    more = stage(confirmed(crossing_pairs(tokens), sets), "crossing-links")
+    more = stage(confirmed(crossing_pairs(open_nodes, tokens), sets), "crossing-links")
 
     # components joined by the further links; nodes without any stay their own
     label = first.select(F.col("node").alias("v"), F.col("component").alias("cv"))
