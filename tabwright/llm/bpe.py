@@ -200,7 +200,7 @@ def digest(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, ids, at, texts in _slices(batches, path, pattern):
             lists = pa.LargeListArray.from_arrays(pa.array(at, pa.int64()), pa.array(ids).cast(pa.large_string()))
-            joined = pc.binary_join(lists, ",").to_pylist()
+            joined = pc.binary_join(lists, pa.scalar(",", pa.large_string())).to_pylist()
             own = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids))] if ids_too else []
             yield pa.RecordBatch.from_arrays(
                 [
