@@ -37,8 +37,8 @@ from tabwright.llm.pieces import cut, gather
 
 #: Bytes of words merged by one query, and words that a worker remembers.
 WORD_BYTES = 400_000
-MEMORY = 400_000
-SLICE = 6 << 20
+MEMORY = 1_200_000
+SLICE = 12 << 20
 TOKENS = "doc_id {kind}, ids array<int>, decoded binary"
 
 MERGE = """
@@ -103,20 +103,21 @@ class Coder:
             hex=pa.array([t.hex() for t in ranks]),
         )
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
     def _table(self, name: str, **columns: pa.Array) -> None:
         source = pa.table(columns)  # noqa: F841  read by name
         self.db.execute(f"create or replace table {name} as from source")
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of every word by the recursive query."""
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Ids of every word by the recursive query, 32 bits each."""
         flat = np.frombuffer(b"".join(words), np.uint8)
         w = np.repeat(np.arange(len(words)), [len(x) for x in words])
         self._table("bytes_of_words", w=pa.array(w), g=pa.array(np.arange(len(flat))), id=pa.array(self.byte[flat]))
         rows = self.db.sql(MERGE).fetchnumpy()
-        at = np.searchsorted(rows["w"], np.arange(1, len(words)))
-        return np.split(np.asarray(rows["id"], np.int32), at)
+        at = (4 * np.searchsorted(rows["w"], np.arange(len(words) + 1))).tolist()
+        ids = np.asarray(rows["id"], "<i4").tobytes()
+        return [ids[a:b] for a, b in zip(at, at[1:])]
 
     def words(self, words: list[str]) -> None:
         """Learns the ids of words not met before."""
@@ -141,11 +142,10 @@ class Coder:
         for lo in range(0, len(found), MEMORY // 8):
             some = found[lo : lo + MEMORY // 8]
             self.words([w for words in some for w in words])
-            for k, words in enumerate(some, lo):
-                ids = [self.known[w] for w in words]
-                sizes[k] = sum(map(len, ids))
-                parts += ids
-        flat = np.concatenate(parts) if parts else np.empty(0, np.int32)
+            coded = [b"".join(map(self.known.__getitem__, words)) for words in some]
+            sizes[lo : lo + len(some)] = [len(x) // 4 for x in coded]
+            parts += coded
+        flat = np.frombuffer(b"".join(parts), "<i4")
         starts = np.concatenate([[0], np.cumsum(sizes)])
         at = np.concatenate([[0], np.cumsum(sizes[codes])])[offsets]
         return gather(starts, flat, codes), at
