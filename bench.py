@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from tabwright.checks.queries import QUERIES
@@ -56,7 +57,8 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     if names == ["all"]:
         names = list(QUERIES)
-    spark = local_session(cpus, "bench")
+    folder = tempfile.mkdtemp(prefix="bench-")
+    spark = local_session(cpus, "bench", spark__sql__warehouse__dir=folder)
     spark.sparkContext.setLogLevel("ERROR")
     timed("a1_row_count", spark, sf_dir)
     seconds = {}

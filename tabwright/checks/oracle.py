@@ -11,7 +11,6 @@ from tabwright.checks.queries import (
     CATEGORICAL,
     LINE_NUMBERS,
     NUMERIC,
-    ORDER_NUMBERS,
     THRESHOLDS,
 )
 
@@ -261,15 +260,29 @@ def spearman(a: str, b: str, source: str) -> str:
 
 
 def kendall(a: str, b: str, source: str) -> str:
-    """Cells of equal (x, y) compared with each other."""
+    """Running counts along ``x`` at every level of ``y``; ``y`` is the column of fewer levels."""
     return f"""
       select '{a}' as left_col, '{b}' as right_col,
              {sig("s / (sqrt(pairs - tx) * sqrt(pairs - ty))")} as kendall
-      from (with cells as materialized (
-              select {a}::double as x, {b}::double as y, count(*)::double as n from {source}
-              where {a} is not null and {b} is not null group by 1, 2)
-            select (select sum(p.n * q.n * sign(q.y - p.y)) from cells p join cells q on p.x < q.x)
-                     as s,
+      from (with rows_of as materialized (
+              select {a}::double as p, {b}::double as q from {source}
+              where {a} is not null and {b} is not null),
+            few as materialized (select count(distinct p) < count(distinct q) as turned from rows_of),
+            cells as materialized (
+              select case when turned then q else p end as x, case when turned then p else q end as y,
+                     count(*)::double as n from rows_of, few group by 1, 2),
+            grid as (
+              select x, y, coalesce(n, 0) as n from (select distinct x from cells) g
+              join (select distinct y from cells) h on true left join cells using (x, y)),
+            along as (
+              select x, y, n, coalesce(sum(n) over (partition by y order by x
+                rows between unbounded preceding and 1 preceding), 0) as before from grid),
+            around as (
+              select n, coalesce(sum(before) over (partition by x order by y
+                       rows between unbounded preceding and 1 preceding), 0) as less,
+                     coalesce(sum(before) over (partition by x order by y
+                       rows between 1 following and unbounded following), 0) as more from along)
+            select (select sum(n * (less - more)) from around where n > 0) as s,
                    (select sum(n) * (sum(n) - 1) / 2 from cells) as pairs,
                    (select sum(n * (n - 1) / 2) from (select sum(n) as n from cells group by x)) as tx,
                    (select sum(n * (n - 1) / 2) from (select sum(n) as n from cells group by y)) as ty)"""
@@ -291,6 +304,17 @@ def cramers(a: str, b: str, source: str, corrected: bool = False) -> str:
                         where {a} is not null and {b} is not null group by 1, 2)))"""
 
 
+def contingency(a: str, b: str, left: str, right: str, source: str) -> str:
+    return f"""
+      select '{left}' as left_col, '{right}' as right_col, sum(o)::bigint as n,
+             {sig("greatest((sum(o * o / (row_n * column_n)) - 1) * sum(o), 0)")} as chi2,
+             count(distinct x) as r, count(distinct y) as c
+      from (select x, y, o, sum(o) over (partition by x) as row_n,
+                   sum(o) over (partition by y) as column_n
+            from (select {a} as x, {b} as y, count(*)::double as o from {source}
+                  where {a} is not null and {b} is not null group by 1, 2))"""
+
+
 def pairs_of(columns):
     return list(combinations(columns, 2))
 
@@ -546,7 +570,7 @@ ORACLE: dict[str, str] = {
     "f2_one_hot": f"with {ORDERS} {union(map(slots, CATEGORICAL))}",
     "f3_assemble": f"with {ORDERS} {assembled()}",
     "f4_unseen_category": f"""
-      with {ORDERS} {union(slots(c, "r_name <> 'AFRICA'") for c in ("n_name", "ptype"))}""",
+      with {ORDERS} {union(slots(c, "r_name <> 'AFRICA'") for c in CATEGORICAL)}""",
     "f5_missing_numbers": f"with {ORDERS} {union(map(imputed, NUMERIC))}",
     "f6_stage_list": f"""
       with {ORDERS} select slot, count(*) as rows, {sig("sum(value)")} as total
@@ -564,9 +588,11 @@ ORACLE: dict[str, str] = {
       union all select 'o_orderdate', 'missing', 'timestamp_ntz', null, 0
       union all select 'status', 'extra', null, 'string', count(o_orderstatus) from orders""",
     "l2_current_aliases": """
-      select case when event_type = 'purchase' then 'champion' else 'challenger' end as alias,
+      select case event_type when 'purchase' then 'champion' when 'view' then 'challenger'
+               else event_type end as alias,
              arg_max(event_id, (ts, event_id)) as version
-      from events where event_type in ('purchase', 'view') group by 1""",
+      from events group by 1""",
+    "o2_sample_row": "select * exclude (o_orderpriority) from orders order by o_orderkey limit 1",
     "l3_duel_decision": f"""
       with {DUEL_TEST} select {sig("champion_f1")} as champion_f1,
         {sig("challenger_f1")} as challenger_f1, challenger_f1 > champion_f1 as challenger_wins
@@ -646,17 +672,22 @@ ORACLE: dict[str, str] = {
     "c2_spearman": f"with {ORDERS} {union(spearman(a, b, 'feats') for a, b in pairs_of(NUMERIC))}",
     "c2_spearman_sliced": union(
         spearman(a, b, "lineitem")
-        for a, b in pairs_of(["l_quantity", "l_extendedprice", "l_discount"])
+        for a, b in pairs_of(LINE_NUMBERS)
     ),
     "c3_kendall": union(kendall(a, b, "lineitem") for a, b in pairs_of(LINE_NUMBERS)),
     "c3_kendall_sliced": f"""
-      with {ORDERS} {union(kendall(a, b, "feats") for a, b in pairs_of(ORDER_NUMBERS))}""",
+      with {ORDERS} {union(kendall(a, b, "feats") for a, b in pairs_of(NUMERIC))}""",
     "c5_cramers_v": f"with {ORDERS} {union(cramers(a, b, 'feats') for a, b in pairs_of(CATEGORICAL))}",
     "c5_cramers_v_corrected": union(
         cramers(a, b, "lineitem", corrected=True)
         for a, b in pairs_of(["l_returnflag", "l_linestatus", "l_linenumber", "l_suppkey"])
     ),
+    "c4_contingency": f"""
+      with {ORDERS}, {with_bins(NUMERIC, "feats")} {union(
+          contingency(*[f"bin_{c}" if c in NUMERIC else c for c in (a, b)], a, b, "binned")
+          for a, b in pairs_of([*NUMERIC, *CATEGORICAL])
+      )}""",
     "c6_auto": f"""
-      with {ORDERS}, {with_bins(NUMERIC[:4], "feats")}
-      {auto(NUMERIC[:4], CATEGORICAL[:4], "binned")}""",
+      with {ORDERS}, {with_bins(NUMERIC, "feats")}
+      {auto(NUMERIC, CATEGORICAL, "binned")}""",
 }

@@ -1,5 +1,6 @@
 from tabwright.functions.scalars import (
     as_number,
+    col_of,
     guarded_ratio,
     hash_bucket,
     hash_uniform,
@@ -11,6 +12,7 @@ from tabwright.functions.scalars import (
 
 __all__ = [
     "as_number",
+    "col_of",
     "guarded_ratio",
     "hash_bucket",
     "hash_uniform",

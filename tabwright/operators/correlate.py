@@ -11,27 +11,26 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.functions import as_number, bivariate, is_missing
-from tabwright.functions.bivariate import phi_k_from_cells
+from tabwright.functions import as_number, bivariate, col_of, is_missing
 from tabwright.operators.pairs import (
     all_pairs,
     constants,
-    equal_width_bins,
+    equal_width_bins_beside,
     pair_counts,
     pair_name,
     pair_rows,
 )
 from tabwright.operators.slices import cut_points, running_totals
 from tabwright.operators.values import rank_table
+from tabwright.sources.tables import stage
 
 # Sent along with the tasks, so that executors need no copy of this package.
 cloudpickle.register_pickle_by_value(bivariate)
 
 BINS = 10
-MAX_LEVELS = 100
 DIGIT_BITS = 4
 DIGITS = 2**DIGIT_BITS
 
@@ -56,7 +55,7 @@ def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = all_pairs(columns)
     if not pairs:
         return _no_pairs(df, "pearson")
-    rows = pair_rows(df, {c: as_number(F.col(c)) for c in columns}, pairs)
+    rows = pair_rows(df, {c: as_number(col_of(c)) for c in columns}, pairs)
     return _corr_table(rows, pairs, "pearson")
 
 
@@ -68,10 +67,10 @@ def missing_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     if len(columns) < 2:
         return _no_pairs(df, "missing_corr")
-    flags = [is_missing(df, c).cast("int").alias(c) for c in columns]
+    flags = [is_missing(df, c).cast("int").alias(f"c{i}") for i, c in enumerate(columns)]
     patterns = df.groupBy(*flags).agg(F.count("*").alias("_n"))
     pairs = all_pairs(columns)
-    marks = pair_rows(patterns, {c: F.col(c) for c in columns}, pairs, "_n")
+    marks = pair_rows(patterns, {c: F.col(f"c{i}") for i, c in enumerate(columns)}, pairs, "_n")
     n, x, y, both = (F.col(c).cast("double") for c in ("n", "nx", "ny", "nxy"))
     spread = F.sqrt(n * x - x * x) * F.sqrt(n * y - y * y)
     found = (
@@ -90,8 +89,10 @@ def missing_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def _numbers_with_cuts(
     df: DataFrame, columns: Sequence[str], slices: int | None
 ) -> tuple[DataFrame, dict[str, list[float]]]:
-    numbers = df.select(*[as_number(F.col(c)).alias(c) for c in columns])
-    return numbers, cut_points(numbers, {c: F.col(c) for c in columns}, slices)
+    """The columns as numbers ``c0, c1, ...``, and their cut points."""
+    names = [f"c{i}" for i in range(len(columns))]
+    numbers = df.select(*[as_number(col_of(c)).alias(n) for c, n in zip(columns, names)])
+    return numbers, cut_points(numbers, {n: F.col(n) for n in names}, slices)
 
 
 def _gap_patterns(numbers: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
@@ -135,7 +136,9 @@ def spearman(df: DataFrame, columns: Sequence[str], slices: int | None = None) -
     """
     if len(columns) < 2:
         return _no_pairs(df, "spearman")
+    own = all_pairs(columns)
     numbers, cuts = _numbers_with_cuts(df, columns, slices)
+    columns = numbers.columns
     gaps = _gap_patterns(numbers, columns)
     ranked, rank_of = numbers, {}
     for c in columns:
@@ -144,7 +147,7 @@ def spearman(df: DataFrame, columns: Sequence[str], slices: int | None = None) -
         table = rank_table(numbers, c, companions, cuts[c]).select(
             F.col("value").alias(f"_value_{c}"),
             F.col("rank").alias(names[None]),
-            *[F.col(f"rank_{g}").alias(names[g]) for g in companions],
+            *[F.col(f"rank{i}").alias(names[g]) for i, g in enumerate(companions, 1)],
         )
         ranked = ranked.join(table, F.col(c) == F.col(f"_value_{c}"), "left").drop(f"_value_{c}")
         rank_of |= {(c, o): names.get(gaps[o], names[None]) for o in columns}
@@ -152,7 +155,7 @@ def spearman(df: DataFrame, columns: Sequence[str], slices: int | None = None) -
     sides = [(rank_of[a, b], rank_of[b, a]) for a, b in pairs]
     every = dict.fromkeys(name for side in sides for name in side)
     rows = pair_rows(ranked, {name: F.col(name) for name in every}, sides)
-    return _corr_table(rows, pairs, "spearman")
+    return _corr_table(rows, own, "spearman")
 
 
 def kendall(df: DataFrame, columns: Sequence[str], slices: int | None = None) -> DataFrame:
@@ -166,7 +169,9 @@ def kendall(df: DataFrame, columns: Sequence[str], slices: int | None = None) ->
     """
     if len(columns) < 2:
         return _no_pairs(df, "kendall")
+    own = all_pairs(columns)
     numbers, cuts = _numbers_with_cuts(df, columns, slices)
+    columns = numbers.columns
     sliced = any(cuts.values())
     coded = numbers
     for c in columns:
@@ -252,7 +257,7 @@ def kendall(df: DataFrame, columns: Sequence[str], slices: int | None = None) ->
     every = F.col("n") * (F.col("n") - 1) / 2
     spread = F.sqrt(every - F.col("ties_x")) * F.sqrt(every - F.col("ties_y"))
     found = along.join(ties_y, "pair").select("pair", F.try_divide(F.col("s"), spread).alias("kendall"))
-    return _named(df, pairs, found, "kendall")
+    return _named(df, own, found, "kendall")
 
 
 def _named(df: DataFrame, pairs: Sequence[tuple[str, str]], found: DataFrame, name: str) -> DataFrame:
@@ -264,9 +269,9 @@ def _named(df: DataFrame, pairs: Sequence[tuple[str, str]], found: DataFrame, na
 
 
 def _binned(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], bins: int):
-    """The columns as levels: numbers in equal-width bins, the others as they are."""
-    levels = {c: F.col(f"_bin_{c}") for c in numeric} | {c: F.col(c) for c in categorical}
-    return (equal_width_bins(df, numeric, bins) if numeric else df), levels
+    """The columns as levels ``b0, b1, ...``: numbers in equal-width bins, the others as they are."""
+    spans = equal_width_bins_beside(df, numeric, categorical, bins)
+    return spans, {c: F.col(f"b{i}") for i, c in enumerate([*numeric, *categorical])}
 
 
 def cramers_v(
@@ -282,11 +287,34 @@ def cramers_v(
     Chi-square over all cells, the empty ones included, follows from the non-empty
     ones: the sum of o^2 / (row x column total), less 1, times n.
     """
-    binned, levels = _binned(df, numeric, categorical, bins)
     pairs = list(pairs) if pairs is not None else all_pairs([*numeric, *categorical])
     if not pairs:
         return _no_pairs(df, "cramers_v")
-    cells = pair_counts(binned, levels, pairs)
+    binned, levels = _binned(df, numeric, categorical, bins)
+    found = _table_figures(pair_counts(binned, levels, pairs))
+    phi2 = F.greatest(F.col("share") - 1, F.lit(0.0))
+    r, c, n = (F.col(k).cast("double") for k in ("r", "c", "n"))
+    if bias_correction:
+        phi2 = F.greatest(phi2 - F.try_divide((r - 1) * (c - 1), n - 1), F.lit(0.0))
+        r, c = r - F.try_divide((r - 1) ** 2, n - 1), c - F.try_divide((c - 1) ** 2, n - 1)
+    v = F.sqrt(F.try_divide(phi2, F.least(r, c) - 1))
+    return _named(df, pairs, found.select("pair", v.alias("cramers_v")), "cramers_v")
+
+
+def contingency(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], bins: int = BINS
+) -> DataFrame:
+    """``n, chi2, r, c`` of the contingency table of every pair: rows, chi-square, and levels."""
+    pairs = all_pairs([*numeric, *categorical])
+    binned, levels = _binned(df, numeric, categorical, bins)
+    found = _table_figures(pair_counts(binned, levels, pairs))
+    chi2 = F.greatest((F.col("share") - 1) * F.col("n"), F.lit(0.0)).alias("chi2")
+    out = _named(df, pairs, found.select("pair", F.struct("n", chi2, "r", "c").alias("f")), "f")
+    return out.select("left_col", "right_col", "f.n", "f.chi2", "f.r", "f.c")
+
+
+def _table_figures(cells: DataFrame) -> DataFrame:
+    """``pair, share, n, r, c`` from cells: the sum of o^2 / (row x column total), and sizes."""
     rows = cells.groupBy("pair", "x").agg(F.sum("n").alias("in_row"))
     columns = cells.groupBy("pair", "y").agg(F.sum("n").alias("in_column"))
     o, r, c = (F.col(k).cast("double") for k in ("n", "in_row", "in_column"))
@@ -299,14 +327,7 @@ def cramers_v(
     # Counting the totals, not rows, keeps the same shuffled tables in use.
     heights = rows.groupBy("pair").agg(F.count("in_row").alias("r"))
     widths = columns.groupBy("pair").agg(F.count("in_column").alias("c"))
-    phi2 = F.greatest(F.col("share") - 1, F.lit(0.0))
-    r, c, n = F.col("r").cast("double"), F.col("c").cast("double"), F.col("n").cast("double")
-    if bias_correction:
-        phi2 = F.greatest(phi2 - F.try_divide((r - 1) * (c - 1), n - 1), F.lit(0.0))
-        r, c = r - F.try_divide((r - 1) ** 2, n - 1), c - F.try_divide((c - 1) ** 2, n - 1)
-    v = F.sqrt(F.try_divide(phi2, F.least(r, c) - 1))
-    found = joint.join(heights, "pair").join(widths, "pair").select("pair", v.alias("cramers_v"))
-    return _named(df, pairs, found, "cramers_v")
+    return joint.join(heights, "pair").join(widths, "pair")
 
 
 def auto_correlation(
@@ -327,12 +348,21 @@ def auto_correlation(
     return ranked.unionByName(crossed)
 
 
-def few_levels(df: DataFrame, categorical: Sequence[str], max_levels: int) -> list[str]:
-    """The columns with no more than ``max_levels`` distinct values."""
-    if not categorical:
-        return []
-    counts = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in categorical]).first()
-    return [c for c in categorical if counts[c] <= max_levels]
+def _levels(cells: DataFrame, side: str, block: int) -> DataFrame:
+    """``pair, block, spans``: for each level, in order, where its share begins and ends.
+
+    Levels are ordered as numbers where they are bins, else as text. A block holds at
+    most ``block`` of them.
+    """
+    order = Window.partitionBy("pair").orderBy(F.expr(f"try_cast({side} as int)"), side)
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    totals = cells.groupBy("pair", side).agg(F.sum("n").alias("n"))
+    end = F.sum("n").over(upto) / F.sum("n").over(Window.partitionBy("pair"))
+    begin = (F.sum("n").over(upto) - F.col("n")) / F.sum("n").over(Window.partitionBy("pair"))
+    placed = totals.select("pair", F.row_number().over(order).alias("k"), begin.alias("begin"), end.alias("end"))
+    return placed.groupBy("pair", F.expr(f"(k - 1) div {block}").alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct("k", "begin", "end"))).alias(f"{side}_spans")
+    )
 
 
 def phi_k(
@@ -340,31 +370,83 @@ def phi_k(
     numeric: Sequence[str],
     categorical: Sequence[str],
     bins: int = BINS,
-    max_levels: int = MAX_LEVELS,
+    block: int = 256,
 ) -> DataFrame:
-    """phi_k of column pairs, from their contingency tables.
-
-    Columns of more than ``max_levels`` levels are no categories in this sense (names,
-    identifiers) and take no part; so a contingency table has at most ``max_levels``
-    squared cells, and solving for phi_k is a small task per pair.
+    """phi_k of column pairs: the correlation of a bivariate normal whose cells, with the same
+    marginal shares, are as far from independence as the table's.
+
+    Chi-square runs from the noise pedestal, the degrees of freedom, at correlation 0 to
+    that of the normal at 1, in proportion to the normal's. The published definition
+    stretches the upper end to the greatest chi-square any table of that size can have;
+    with equal-width bins, whose sparse tails cannot reach it, figures would then change
+    with the number of bins, so that is left out. A pair below the pedestal has 0; one
+    with a single row or column, or whose pedestal leaves no room, has null. The normal is summed over blocks of levels by levels, so that a column of
+    many levels is many tasks; a few rounds narrow the correlations of all pairs together.
     """
-    categorical = few_levels(df, categorical, max_levels)
     pairs = all_pairs([*numeric, *categorical])
     if not pairs:
         return _no_pairs(df, "phi_k")
     binned, levels = _binned(df, numeric, categorical, bins)
-    cells = pair_counts(binned, levels, pairs)
-
-    def solve(group: pd.DataFrame) -> pd.DataFrame:
-        table = group.pivot_table(index="x", columns="y", values="n", fill_value=0, aggfunc="sum")
-        value = phi_k_from_cells(table.to_numpy(dtype=np.float64))
-        return pd.DataFrame({"pair": [group["pair"].iloc[0]], "phi_k": [value]})
-
-    # Few rows but some work per pair: a set number of tasks keeps them from being merged.
-    tasks = max(1, min(len(pairs), 2 * df.sparkSession.sparkContext.defaultParallelism))
-    found = (
-        cells.repartition(tasks, "pair")
-        .groupBy("pair")
-        .applyInPandas(solve, "pair int, phi_k double")
-    )
-    return _named(df, pairs, found, "phi_k")
+    cells = stage(pair_counts(binned, levels, pairs), "phi-k-cells")
+    # one row per pair
+    figures = {r["pair"]: r for r in _table_figures(cells).collect()}
+    found: dict[int, float | None] = {}
+    wanted: dict[int, tuple[float, float]] = {}
+    for pair, f in figures.items():
+        if min(f["r"], f["c"]) < 2:
+            found[pair] = None
+        else:
+            wanted[pair] = f["share"] - 1, (f["r"] - 1) * (f["c"] - 1) / f["n"]
+    if wanted:
+        grid = _levels(cells, "x", block).join(_levels(cells, "y", block).withColumnRenamed("block", "y_block"), "pair")
+        grid = stage(grid.select("pair", "x_spans", "y_spans"), "phi-k-blocks")
+        found |= _solve(grid, wanted)
+    rows = df.sparkSession.createDataFrame(list(found.items()), "pair int, phi_k double")
+    return _named(df, pairs, rows, "phi_k")
+
+
+def _solve(
+    grid: DataFrame, wanted: dict[int, tuple[float, float]], rounds: int = 4, steps: int = 16
+) -> dict[int, float | None]:
+    """The correlation of each pair's normal, from its table's chi-square per row and pedestal."""
+    ends = {pair: (0.0, 1.0) for pair in wanted}
+    goals: dict[int, float] = {}
+    answer: dict[int, float | None] = {}
+    for _ in range(rounds):
+        rhos = {pair: np.linspace(*ends[pair], steps + 1) for pair in ends}
+
+        def evaluate(batches, rhos=rhos):
+            for batch in batches:
+                rows = []
+                for pair, xs, ys in zip(batch["pair"], batch["x_spans"], batch["y_spans"]):
+                    if pair in rhos:
+                        x, y = (np.array([(s["begin"], s["end"]) for s in side]) for side in (xs, ys))
+                        sums = bivariate.block_sums(x, y, rhos[pair])
+                        rows += [(pair, k, v) for k, v in enumerate(sums.tolist())]
+                yield pd.DataFrame(rows, columns=["pair", "k", "s"])
+
+        sums = grid.mapInPandas(evaluate, "pair int, k int, s double").groupBy("pair", "k").agg(F.sum("s").alias("s"))
+        values = {pair: np.zeros(steps + 1) for pair in ends}
+        for r in sums.collect():
+            values[r["pair"]][r["k"]] = r["s"] - 1
+        for pair, v in values.items():
+            if pair not in goals:
+                (phi2, least), top = wanted[pair], v[-1]
+                if least >= top:
+                    answer[pair] = None
+                    del ends[pair]
+                    continue
+                goals[pair] = top * min(max((phi2 - least) / (top - least), 0.0), 1.0)
+                if goals[pair] in (0.0, top):
+                    answer[pair] = 1.0 if goals[pair] else 0.0
+                    del ends[pair]
+                    continue
+            goal = goals[pair]
+            k = int(np.clip(np.searchsorted(np.maximum.accumulate(v), goal), 1, steps))
+            low, high = v[k - 1], v[k]
+            share = min(max((goal - low) / (high - low), 0.0), 1.0) if high > low else 1.0
+            ends[pair] = (rhos[pair][k - 1], rhos[pair][k])
+            answer[pair] = float(ends[pair][0] + share * (ends[pair][1] - ends[pair][0]))
+        if not ends:
+            break
+    return answer

@@ -8,28 +8,43 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions import as_number
+from tabwright.functions import as_number, col_of
 
 
-def equal_width_bins(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
-    """``df`` with ``_bin_{c}``: the bin of each number, 0 to ``bins - 1``, null if missing.
+def equal_width_bins(
+    df: DataFrame, columns: Sequence[str], bins: int, beside: Sequence[Column] = ()
+) -> DataFrame:
+    """The bin of each number as columns ``b0, b1, ...`` in the order of ``columns``.
 
-    The ranges come from one aggregate row, read back as a scalar subquery. A constant
-    column falls in bin 0.
+    Bins are 0 to ``bins - 1`` over the range of the finite values, null if missing; an
+    infinite value is counted apart, in bin -1 or ``bins``. ``beside`` names columns to keep. The ranges come from one
+    aggregate row, read back as a scalar subquery. A constant column falls in bin 0.
     """
+    numbers = [as_number(col_of(c)) for c in columns]
     ends = []
-    for c in columns:
-        x = as_number(F.col(c))
-        ends += [F.min(x).alias(f"lo_{c}"), F.max(x).alias(f"hi_{c}")]
+    for i, x in enumerate(numbers):
+        finite = F.when(F.abs(x) < float("inf"), x)
+        ends += [F.min(finite).alias(f"lo{i}"), F.max(finite).alias(f"hi{i}")]
     ranges = df.agg(F.struct(*ends).alias("range")).scalar()
-    out = df.withColumn("_range", ranges)
-    made = {}
-    for c in columns:
-        x, lo, hi = as_number(F.col(c)), F.col(f"_range.lo_{c}"), F.col(f"_range.hi_{c}")
+    taken = df.select(*[x.alias(f"x{i}") for i, x in enumerate(numbers)], *beside).withColumn("range", ranges)
+    made = []
+    for i in range(len(columns)):
+        x, lo, hi = F.col(f"x{i}"), F.col(f"range.lo{i}"), F.col(f"range.hi{i}")
         place = F.try_divide((x - lo) * F.lit(float(bins)), hi - lo)
         inside = F.least(F.floor(F.coalesce(place, F.lit(0.0))), F.lit(bins - 1)).cast("int")
-        made[f"_bin_{c}"] = F.when(x.isNotNull(), inside)
-    return out.withColumns(made)
+        outside = F.when(x == float("inf"), bins).when(x == float("-inf"), -1)
+        made.append(F.when(x.isNotNull(), F.coalesce(outside, inside)).alias(f"b{i}"))
+    return taken.select(*made, *taken.columns[len(columns) : -1])
+
+
+def equal_width_bins_beside(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], bins: int
+) -> DataFrame:
+    """Bins of the number columns, then the category columns as they are: ``b0, b1, ...``."""
+    if not numeric:
+        return df.select(*[col_of(c).alias(f"b{i}") for i, c in enumerate(categorical)])
+    beside = [col_of(c).alias(f"b{i}") for i, c in enumerate(categorical, len(numeric))]
+    return equal_width_bins(df, numeric, bins, beside)
 
 
 def constants(values: Sequence[object]) -> Column:

@@ -15,15 +15,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.functions import as_number
 from tabwright.spec import FeatureSpec
 
-MAX_LEVELS = 10_000
+def category_indexer(columns: Sequence[str], ending: str = "") -> StringIndexer:
+    """Most frequent value first, ties by value; null and unseen values share the last index.
 
-
-def category_indexer(columns: Sequence[str]) -> StringIndexer:
-    """Most frequent value first, ties by value; null and unseen values share the last index."""
+    ``ending`` is that of the input columns, if they are prepared ones."""
     return StringIndexer(
-        inputCols=list(columns),
+        inputCols=[f"{c}{ending}" for c in columns],
         outputCols=[f"{c}_idx" for c in columns],
         handleInvalid="keep",
         stringOrderType="frequencyDesc",
@@ -39,6 +39,12 @@ def one_hot_encoder(columns: Sequence[str]) -> OneHotEncoder:
     )
 
 
+def categories_as_text(columns: Sequence[str]) -> SQLTransformer:
+    """Adds ``{c}_txt``, the column as text: the index takes no booleans otherwise."""
+    added = ", ".join(f"CAST(`{c}` AS STRING) AS `{c}_txt`" for c in columns)
+    return SQLTransformer(statement=f"SELECT *, {added} FROM __THIS__")
+
+
 def numbers_and_flags(columns: Sequence[str]) -> SQLTransformer:
     """Adds ``{c}_num``, the column as double, and ``{c}_missing``, 1.0 where it is missing."""
     added = []
@@ -57,20 +63,37 @@ def number_imputer(columns: Sequence[str], strategy: str = "mean") -> Imputer:
     )
 
 
+def zeros(columns: Sequence[str]) -> SQLTransformer:
+    """Adds ``{c}_imp`` as 0.0: for columns that have no value to impute from."""
+    added = ", ".join(f"CAST(0 AS DOUBLE) AS `{c}_imp`" for c in columns)
+    return SQLTransformer(statement=f"SELECT *, {added} FROM __THIS__")
+
+
 def preprocessing_stages(
-    spec: FeatureSpec, impute: str | None = "mean", missing_flags: bool = True
+    spec: FeatureSpec,
+    impute: str | None = "mean",
+    missing_flags: bool = True,
+    empty: Sequence[str] = (),
 ) -> list:
     """Unfitted stages for a ``Pipeline``, ending in a ``features`` vector.
 
     The vector has the numbers, then the one-hot slots, then the missing flags. With
     ``impute=None`` missing numbers stay NaN in the vector, for learners that take it.
+    ``empty`` names number columns without any value; they become 0.
     """
     stages: list = []
     if spec.categorical:
-        stages += [category_indexer(spec.categorical), one_hot_encoder(spec.categorical)]
+        stages += [
+            categories_as_text(spec.categorical),
+            category_indexer(spec.categorical, "_txt"),
+            one_hot_encoder(spec.categorical),
+        ]
     numbers, flags = list(spec.numeric), []
     if impute and spec.numeric:
-        stages += [numbers_and_flags(spec.numeric), number_imputer(spec.numeric, impute)]
+        stages.append(numbers_and_flags(spec.numeric))
+        filled = [c for c in spec.numeric if c not in set(empty)]
+        stages += [number_imputer(filled, impute)] if filled else []
+        stages += [zeros(empty)] if empty else []
         numbers = [f"{c}_imp" for c in spec.numeric]
         flags = [f"{c}_missing" for c in spec.numeric] if missing_flags else []
     assembler = VectorAssembler(
@@ -82,18 +105,27 @@ def preprocessing_stages(
 
 
 def helper_columns(spec: FeatureSpec) -> list[str]:
-    """Columns that imputation adds on the way and that a scored table need not keep."""
-    return [f"{c}{end}" for c in spec.numeric for end in ("_num", "_missing", "_imp")]
+    """Columns that preprocessing adds on the way and that a scored table need not keep."""
+    numbers = [f"{c}{end}" for c in spec.numeric for end in ("_num", "_missing", "_imp")]
+    return [*numbers, *[f"{c}_txt" for c in spec.categorical]]
 
 
-def check_levels(df: DataFrame, spec: FeatureSpec, max_levels: int = MAX_LEVELS) -> None:
-    """Refuses category columns too wide to index: their levels live in the fitted model.
+def never_present(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Number columns without a single value."""
+    if not columns:
+        return []
+    present = df.agg(
+        *[F.count(F.nanvl(as_number(F.col(f"`{c}`")), F.lit(None))).alias(f"c{i}") for i, c in enumerate(columns)]
+    ).first()
+    return [c for i, c in enumerate(columns) if not present[i]]
 
-    The count is approximate, one pass without a shuffle of rows.
-    """
-    if not spec.categorical:
+
+def check_levels(df: DataFrame, spec: FeatureSpec, max_levels: int | None = None) -> None:
+    """With ``max_levels``, refuses category columns of more distinct values (an exact count):
+    an index of all levels lives in the fitted model."""
+    if not spec.categorical or max_levels is None:
         return
-    counts = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in spec.categorical]).first()
+    counts = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in spec.categorical]).first()
     wide = {c: counts[c] for c in spec.categorical if counts[c] > max_levels}
     if wide:
         raise ValueError(f"more than {max_levels} levels in category columns: {wide}")

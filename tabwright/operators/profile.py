@@ -17,7 +17,6 @@ from tabwright.functions import as_number, guarded_ratio, is_missing, seconds_of
 from tabwright.operators.correlate import (
     auto_correlation,
     cramers_v,
-    few_levels,
     kendall,
     missing_correlation,
     pearson,
@@ -57,26 +56,20 @@ def _column_rows(df: DataFrame, rows: Sequence[Sequence[Column]]) -> DataFrame:
 def duplicate_groups(df: DataFrame, count_name: str = "copies") -> DataFrame:
     """Every group of equal rows that has more than one, with its size.
 
-    Rows are first counted by a 64-bit hash; only rows whose hash occurs again are
-    grouped by all their columns, so a table without duplicates moves 8 bytes per row.
+    One grouping by all columns: equal rows are added up before the shuffle, and every
+    other row is shuffled once.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    again = hashed.groupBy("_hash").agg(F.count("*").alias("_n")).filter("_n > 1").select("_hash")
-    return (
-        hashed.join(again, "_hash", "left_semi")
-        .groupBy(*[F.col(f"`{c}`") for c in df.columns])
-        .agg(F.count("*").alias(count_name))
-        .filter(F.col(count_name) > 1)
-    )
+    names = [f"c{i}" for i in range(len(df.columns))]
+    counted = df.toDF(*names).groupBy(*names).agg(F.count("*").alias("n")).filter("n > 1")
+    return counted.toDF(*df.columns, count_name)
 
 
 def top_duplicates(df: DataFrame, n: int = 10) -> DataFrame:
     """The most frequent groups of equal rows; ties by the row's columns."""
-    return (
-        duplicate_groups(df)
-        .orderBy(F.desc("copies"), *[F.col(f"`{c}`").asc_nulls_first() for c in df.columns])
-        .limit(n)
-    )
+    found = duplicate_groups(df)
+    names = [f"c{i}" for i in range(len(found.columns))]
+    ordered = found.toDF(*names).orderBy(F.desc(names[-1]), *[F.col(c).asc_nulls_first() for c in names[:-1]])
+    return ordered.limit(n).toDF(*found.columns)
 
 
 def overview(df: DataFrame) -> DataFrame:
@@ -85,7 +78,8 @@ def overview(df: DataFrame) -> DataFrame:
     A duplicate is a row equal to an earlier one: rows less distinct rows.
     """
     kinds = column_kinds(df)
-    surplus = duplicate_groups(df).agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("d"))
+    renamed = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    surplus = duplicate_groups(renamed).agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("d"))
     missing = sum((F.count_if(is_missing(df, c)) for c in df.columns), F.lit(0))
     counted = df.agg(F.count("*").alias("rows"), missing.alias("missing_cells"))
     width = len(df.columns)
@@ -177,8 +171,10 @@ def numeric_quantiles(df: DataFrame, columns: Sequence[str], slices: int | None
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """``column, bin, n`` of equal-width bins; empty bins have no row."""
-    binned = equal_width_bins(df.select(*columns), columns, bins)
-    entries = [F.struct(F.lit(c).alias("column"), F.col(f"_bin_{c}").alias("bin")) for c in columns]
+    binned = equal_width_bins(df, columns, bins)
+    entries = [
+        F.struct(F.lit(c).alias("column"), F.col(f"b{i}").alias("bin")) for i, c in enumerate(columns)
+    ]
     return (
         binned.select(F.inline(F.array(*entries)))
         .filter(F.col("bin").isNotNull())
@@ -287,8 +283,8 @@ def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 def interactions(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """Row counts of the 2-D bins of every pair of number columns."""
     pairs = all_pairs(columns)
-    binned = equal_width_bins(df.select(*columns), columns, bins)
-    bin_of = {c: F.col(f"_bin_{c}") for c in columns}
+    binned = equal_width_bins(df, columns, bins)
+    bin_of = {c: F.col(f"b{i}") for i, c in enumerate(columns)}
     return (
         pair_rows(binned, bin_of, pairs)
         .withColumnsRenamed({"x": "x_bin", "y": "y_bin"})
@@ -388,20 +384,19 @@ def report(
     df: DataFrame,
     keys: Sequence[str],
     thresholds: AlertThresholds = AlertThresholds(),
-    max_levels: int = 100,
     slices: int | None = None,
 ) -> dict[str, DataFrame]:
     """The whole profile of a table, one frame per section.
 
     Columns are treated by the kind their type gives them; ``keys`` order the sample
-    and take no part in the correlations, nor do category columns of more than
-    ``max_levels`` values. The table is read many times: pass one that is stored.
+    and take no part in the correlations. The table is read many times: pass one that is
+    stored.
     """
     kinds = column_kinds(df)
     of_kind = {k: [c for c in df.columns if kinds[c] == k] for k in set(kinds.values())}
     numeric, texts = of_kind.get("numeric", []), of_kind.get("categorical", [])
     measured = [c for c in numeric if c not in set(keys)]
-    leveled = few_levels(df, [c for c in texts if c not in set(keys)], max_levels)
+    leveled = [c for c in texts if c not in set(keys)]
     times = of_kind.get("datetime", [])
     sections = {"overview": overview(df), "missing": missing_counts(df)}
     sections["missing_correlation"] = missing_correlation(df, df.columns)
@@ -423,7 +418,7 @@ def report(
     sections["spearman"] = spearman(df, measured, slices)
     sections["kendall"] = kendall(df, measured, slices)
     sections["cramers"] = cramers_v(df, leveled, measured)
-    sections["phi_k"] = phi_k(df, measured, leveled, max_levels=max_levels)
+    sections["phi_k"] = phi_k(df, measured, leveled)
     if len(measured) > 1:
         sections["interactions"] = interactions(df, measured)
     sections["alerts"] = alerts(df, numeric, texts, thresholds, auto, slices)

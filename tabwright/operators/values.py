@@ -81,26 +81,27 @@ def rank_table(
 ) -> DataFrame:
     """Average ranks and dense codes of the distinct values of one number column.
 
-    ``rank`` is over all rows that have the value; ``rank_{c}`` is over the rows that
-    also have companion ``c``. ``code`` counts the smaller distinct values.
+    ``rank`` is over all rows that have the value; ``rank1``, ``rank2``, ... are over the
+    rows that also have that companion. ``code`` counts the smaller distinct values.
     """
-    present = {"all": F.count("*"), **{c: F.count_if(F.col(c).isNotNull()) for c in companions}}
-    sliced = add_slices(df.filter(F.col(column).isNotNull()), {column: cuts}, "_slice_")
+    # helper columns are numbered, so that no name of the table can meet them
+    present = [F.count("*"), *[F.count_if(F.col(f"`{c}`").isNotNull()) for c in companions]]
+    sliced = add_slices(df.filter(F.col(f"`{column}`").isNotNull()), {column: cuts}, "_slice_")
     counts = (
-        sliced.groupBy(F.col(f"_slice_{column}").alias("slice"), F.col(column).alias("value"))
-        .agg(*[n.alias(f"n_{c}") for c, n in present.items()])
+        sliced.groupBy(F.col(f"`_slice_{column}`").alias("slice"), F.col(f"`{column}`").alias("value"))
+        .agg(*[n.alias(f"n{i}") for i, n in enumerate(present)])
         .withColumn("one", F.lit(1).cast("bigint"))
     )
-    sums = [f"n_{c}" for c in present]
+    sums = [f"n{i}" for i in range(len(present))]
     placed = running_totals(counts, [], "value", [*sums, "one"], bool(cuts))
 
-    def average(name: str) -> Column:
-        return F.col(f"n_{name}_before") + (F.col(f"n_{name}") + 1) / 2
+    def average(i: int) -> Column:
+        return F.col(f"n{i}_before") + (F.col(f"n{i}") + 1) / 2
 
     return placed.select(
         "value",
         "slice",
-        average("all").alias("rank"),
-        *[average(c).alias(f"rank_{c}") for c in companions],
+        average(0).alias("rank"),
+        *[average(i).alias(f"rank{i}") for i in range(1, len(present))],
         F.col("one_before").alias("code"),
     )

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions import hash_uniform
 from tabwright.operators.metrics import class_metrics
-from tabwright.operators.prep import check_levels, preprocessing_stages
+from tabwright.operators.prep import never_present, preprocessing_stages
 from tabwright.operators.split import union_by_name
 from tabwright.plans.training import SEED, Learner, boosted_trees, fit_classifier, score
 from tabwright.sources.tables import stage
@@ -114,9 +114,9 @@ def _prepare(train: DataFrame, valid: DataFrame, spec: FeatureSpec) -> tuple[Pip
     The prepared tables are written to the shared work folder: every fit reads them
     again, and a lost executor costs no more than a re-read.
     """
-    check_levels(train, spec)
     known = F.col(spec.label).isNotNull()
-    prep = Pipeline(stages=preprocessing_stages(spec)).fit(train.select(*spec.features))
+    stages = preprocessing_stages(spec, empty=never_present(train, spec.numeric))
+    prep = Pipeline(stages=stages).fit(train.select(*spec.features))
     ready = [
         stage(prep.transform(df.filter(known)).select(spec.label, "features"), name)
         for df, name in ((train, "search-train"), (valid, "search-valid"))

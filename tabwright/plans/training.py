@@ -9,7 +9,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.operators.prep import check_levels, helper_columns, preprocessing_stages
+from tabwright.operators.prep import check_levels, helper_columns, never_present, preprocessing_stages
 from tabwright.sources.tables import stage
 from tabwright.spec import FeatureSpec
 
@@ -66,19 +66,23 @@ def fit_classifier(
     learner: Learner | None = None,
     impute: str | None = "mean",
     stage_input: bool = False,
+    max_levels: int | None = None,
 ) -> PipelineModel:
     """Preprocessing and learner fitted on ``train`` as one pipeline.
 
     Fitting passes over its input several times. ``stage_input`` writes the columns it
     needs to the shared folder first: worth it where ``train`` is a join, such as a
-    training set with lookups, and not where it is a plain table.
+    training set with lookups, and not where it is a plain table. ``max_levels`` refuses
+    category columns of more values, whose index would be too large for one model.
     """
     learner = learner or boosted_trees()
     needed = train.select(*spec.features, spec.label).filter(F.col(spec.label).isNotNull())
     if stage_input:
         needed = stage(needed, "training-set")
-    check_levels(needed, spec)
-    return Pipeline(stages=[*preprocessing_stages(spec, impute), learner(params, spec)]).fit(needed)
+    check_levels(needed, spec, max_levels)
+    empty = never_present(needed, spec.numeric) if impute else []
+    stages = preprocessing_stages(spec, impute, empty=empty)
+    return Pipeline(stages=[*stages, learner(params, spec)]).fit(needed)
 
 
 def score(model: PipelineModel, df: DataFrame, spec: FeatureSpec) -> DataFrame:

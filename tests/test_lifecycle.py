@@ -79,6 +79,18 @@ def test_too_many_levels_are_refused(spark):
         prep.check_levels(df, FeatureSpec((), ("c",), "label"), max_levels=100)
 
 
+def test_boolean_categories_and_columns_without_values(spark):
+    rows = [(i % 2 == 0, None, float(i), int(i % 2 == 0)) for i in range(60)]
+    df = spark.createDataFrame(rows, "flag boolean, nothing double, x double, label int")
+    spec = FeatureSpec(("nothing", "x"), ("flag",), "label", ("x",))
+    model = training.fit_classifier(df, spec, PARAMS, training.boosted_trees(trees=2))
+    scored = training.score(model, df, spec)
+    assert scored.filter("prediction != label").count() == 0
+    assert scored.schema["flag"].dataType.simpleString() == "boolean"
+    rows = training.feature_importances(model, scored, spec).collect()
+    assert rows[0]["feature"] == "flag"
+
+
 def test_search_seeds_trial_zero_and_keeps_the_best(parts):
     trials = search.search(parts[0], parts[1], ORDERS_SPEC, 2, PARAMS, training.boosted_trees(trees=1))
     assert [t.name for t in trials] == ["seed_parameters_trial", "optuna_trial_001"]

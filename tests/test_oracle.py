@@ -2,11 +2,19 @@
 
 import pytest
 
+from tabwright.checks import queries
 from tabwright.checks.compare import connect, difference
 from tabwright.checks.oracle import ORACLE
 from tabwright.checks.queries import QUERIES
 
 
+@pytest.fixture(autouse=True)
+def few_trees(monkeypatch):
+    """Fewer trees and trials than the registered queries run with; what is compared is the same."""
+    monkeypatch.setattr(queries, "TREES", 3)
+    monkeypatch.setattr(queries, "TRIALS", 2)
+
+
 @pytest.fixture(scope="module")
 def connection(tiny):
     return connect(tiny)

@@ -3,8 +3,9 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from tabwright.functions.bivariate import phi_k_from_cells
+from tabwright.functions.bivariate import block_sums, normal_cdf
 from tabwright.operators import correlate, profile
 
 
@@ -84,22 +85,78 @@ def test_cramers_v_and_degenerate_tables(spark):
     assert 0 <= corrected["x", "y"] <= 1
 
 
+def test_normal_distribution_function():
+    z = np.linspace(-8.5, 8.5, 4001)
+    exact = np.array([0.5 * math.erfc(-v / math.sqrt(2)) for v in z])
+    assert np.abs(normal_cdf(z) - exact).max() < 1e-13
+
+
+def test_sums_over_blocks_add_up():
+    ends = np.cumsum([0.1, 0.3, 0.05, 0.25, 0.3])
+    x = np.stack([np.append(0, ends[:-1]), ends], axis=1)
+    y = np.array([[0, 0.4], [0.4, 0.7], [0.7, 1.0]])
+    rhos = np.array([0.0, 0.5, 0.99, 1.0])
+    whole = block_sums(x, y, rhos)
+    parts = sum(block_sums(a, b, rhos) for a in (x[:2], x[2:]) for b in (y[:1], y[1:]))
+    assert whole == pytest.approx(parts, rel=1e-9)
+    assert whole[0] == pytest.approx(1, abs=1e-9) and (np.diff(whole) > 0).all()
+
+
 @pytest.mark.parametrize("rho", [0.0, 0.3, 0.6, 0.9])
-def test_phi_k_recovers_a_normal_correlation(rho):
+def test_phi_k_recovers_a_normal_correlation(spark, rho):
     rng = np.random.default_rng(3)
     x = rng.normal(size=20_000)
     y = rho * x + math.sqrt(1 - rho * rho) * rng.normal(size=20_000)
-    cells, _, _ = np.histogram2d(x, y, bins=10)
-    cells = cells[cells.sum(axis=1) > 0][:, cells.sum(axis=0) > 0]
-    assert phi_k_from_cells(cells) == pytest.approx(rho, abs=0.04)
-
-
-def test_phi_k_of_extremes(spark):
-    assert phi_k_from_cells(np.diag([10.0, 20.0, 30.0])) == 1.0
-    assert phi_k_from_cells(np.array([[5.0, 7.0]])) is None
-    df = spark.createDataFrame([(float(i), f"g{i % 3}", f"id{i}") for i in range(300)], "n double, g string, i string")
-    found = by_pair(correlate.phi_k(df, ["n"], ["g", "i"]), "phi_k")
-    assert list(found) == [("n", "g")] and found["n", "g"] == pytest.approx(0, abs=0.1)
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "y": y})).persist()
+    found = [by_pair(correlate.phi_k(df, ["x", "y"], [], bins), "phi_k")["x", "y"] for bins in (10, 20, 40)]
+    assert found == pytest.approx([found[0]] * 3, abs=0.04)
+    assert found[0] == pytest.approx(rho, abs=0.04)
+
+
+def test_phi_k_keeps_every_column(spark):
+    rows = [(float(i % 50), f"g{i % 3}", f"w{i % 101}", f"id{i}", "one", i % 7 == 0) for i in range(3000)]
+    df = spark.createDataFrame(rows, "n double, g string, wide string, id string, one string, flag boolean")
+    found = by_pair(correlate.phi_k(df, ["n"], ["g", "wide", "id", "one", "flag"], block=40), "phi_k")
+    assert len(found) == 15
+    assert found["n", "g"] == pytest.approx(0, abs=0.1)
+    assert all(v is None for pair, v in found.items() if "one" in pair)
+    same = correlate.phi_k(df.withColumn("again", F.col("g")), [], ["g", "again"])
+    assert by_pair(same, "phi_k")["g", "again"] == pytest.approx(1)
+
+
+NAMES = ["all", "a", "b", "a_b", "count", "copies", "_n", "x.y", "pair", "slice", "value"]
+
+
+def test_every_column_name_gives_the_same_figures(spark):
+    rng = np.random.default_rng(11)
+    values = rng.integers(0, 9, (120, len(NAMES))).astype(float)
+    values[rng.random(values.shape) < 0.1] = np.nan
+    plain = [f"k{i}" for i in range(len(NAMES))]
+    one = spark.createDataFrame(pd.DataFrame(values, columns=plain))
+    two = spark.createDataFrame(pd.DataFrame(values, columns=NAMES))
+    back = dict(zip(NAMES, plain))
+    for function in (correlate.pearson, correlate.spearman, correlate.kendall, correlate.missing_correlation):
+        a, b = function(one, plain), function(two, NAMES)
+        figure = a.columns[-1]
+        want = by_pair(a, figure)
+        got = {(back[p], back[q]): v for (p, q), v in by_pair(b, figure).items()}
+        assert got == pytest.approx(want, nan_ok=True), function.__name__
+    for function in (correlate.cramers_v, correlate.phi_k):
+        a, b = function(one, plain, []), function(two, NAMES, [])
+        if function is correlate.cramers_v:
+            a, b = function(one, [], plain), function(two, [], NAMES)
+        figure = a.columns[-1]
+        got = {(back[p], back[q]): v for (p, q), v in by_pair(b, figure).items()}
+        assert got == pytest.approx(by_pair(a, figure)), function.__name__
+    assert profile.duplicate_groups(two.unionAll(two)).count() == profile.duplicate_groups(one.unionAll(one)).count()
+    counts = lambda df, c: {(r["bin"], r["n"]) for r in profile.histogram(df, [c]).collect()}
+    assert all(counts(two, n) == counts(one, p) for n, p in zip(NAMES, plain))
+
+
+def test_infinite_values_are_counted_apart(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("inf"),), (float("-inf"),), (None,)], "x double")
+    found = {r["bin"]: r["n"] for r in profile.histogram(df, ["x"], bins=2).collect()}
+    assert found == {-1: 1, 0: 1, 1: 2, 2: 1}
 
 
 def test_numeric_stats_of_awkward_columns(spark):
