@@ -65,7 +65,8 @@ def test_references_are_exact(spark, small):
         counts = {w: tally[w] for w in words}
         assert all(math.isclose(n, counts[w] / len(all_words)) for w, n in words.items())
         assert len(words) == sum(n >= len(all_words) / 500 for n in tally.values())
-        assert np.allclose(shares, (c := class_counts([t.encode() for t in texts[lang]]).sum(0)) / c.sum())
+        kinds = class_counts([t.encode() for t in texts[lang]]).sum(0)
+        assert np.allclose(shares, kinds / kinds.sum())
         assert len(shares) == len(CLASSES)
 
 

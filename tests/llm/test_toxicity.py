@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from tabwright.llm.toxicity import keep_clean, learn, remainder, score, windows
 
 
@@ -22,7 +24,7 @@ def test_held_out_accuracy(spark):
     rows = corpus(600)
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
     labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
-    got = {r["doc_id"]: r for r in score(docs, learn(docs, labels)).withColumn("r", remainder(docs["doc_id"])).collect()}
+    got = {r["doc_id"]: r for r in score(docs, learn(docs, labels)).withColumn("r", remainder(F.col("doc_id"))).collect()}
     held = [r for r in rows if got[r[0]]["r"] == 0]
     right = sum(got[i]["predicted"] == y for i, _, y in held)
     assert len(held) > 80 and right >= 0.95 * len(held)
