@@ -1,3 +1,74 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+PLAIN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD = r"[^\x20\x09-\x0D]+"
+TRAP = r"\### Assistant: </turn> ok"
+
+OP5 = f"""
+with d as (
+    select row_number() over () as r, doc_id, regexp_extract_all({LOWER}, '{PLAIN}') as w from documents),
+i as (
+    select item_id::varchar as item, regexp_extract_all({LOWER}, '{PLAIN}') as w from benchmark
+    where text is not null and item_id is not null),
+sized as (select item, w, least(10, len(w)) as n from i where len(w) > 0),
+item_windows as (
+    select distinct item, n, array_to_string(w[k:k + n - 1], ' ') as g
+    from (select item, w, n, unnest(range(1, len(w) - n + 2)) as k from sized)),
+sizes as (select distinct n from sized),
+doc_windows as (
+    select r, k, n, array_to_string(w[k:k + n - 1], ' ') as g
+    from (select r, w, n, unnest(range(1, len(w) - n + 2)) as k from d join sizes on len(w) >= n)),
+hits as (select r, k, n, item from doc_windows join item_windows using (n, g)),
+marked as (
+    select r, count(distinct p) as n_hit from (select r, unnest(range(k, k + n)) as p from hits) group by r),
+found as (
+    select r, count(*) as n_items, string_agg(item, ',' order by item) as names
+    from (select distinct r, item from hits) group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+       coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(names, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated
+from d left join marked using (r) left join found using (r)"""
+
+OP6 = f"""
+with recursive d as (
+    select doc_id, regexp_extract_all({LOWER}, '{WORD}') as w from documents),
+shingled as (
+    select doc_id, case when len(w) >= 5
+        then list_distinct(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')))
+        when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from d),
+sizes as (select doc_id, len(s)::bigint as n from shingled),
+tokens as (select doc_id, unnest(s) as t from shingled),
+common as (
+    select a.doc_id as a, b.doc_id as b, count(*) as n
+    from tokens a join tokens b on a.t = b.t and a.doc_id < b.doc_id group by all),
+links as (
+    select c.a, c.b from common c join sizes x on x.doc_id = c.a join sizes y on y.doc_id = c.b
+    where 100 * c.n >= 85 * (x.n + y.n - c.n)),
+both as materialized (select a, b from links union all select b, a from links),
+reach(doc_id, place) as (
+    select doc_id, doc_id from sizes union select r.doc_id, l.b from reach r join "both" l on l.a = r.place),
+least_of as (select doc_id, min(place) as component_id from reach group by doc_id)
+select doc_id, n as n_shingles, component_id, doc_id = component_id as kept
+from sizes join least_of using (doc_id)""".replace("\nboth as", '\n"both" as')
+
+OP9 = f"""
+with t as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -7, 0, 'user', '{TRAP}' union all select -7, 1, 'assistant', '{TRAP}'),
+sized as (
+    select *, 14 + length(role) + length(text)
+        + length(regexp_replace(role || text, '[^\\\\#<]', '', 'g')) as chars from t)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), ''))
+           as loss_sha256,
+       sum(chars)::bigint as formatted_chars, count(*) filter (where role = 'assistant') as examples
+from sized group by conv_id"""
+
+ORACLE: dict[str, str] = {
+    "op5_decontaminate": OP5,
+    "op6_minmax_dedup": OP6,
+    "op9_chat": OP9,
+}
