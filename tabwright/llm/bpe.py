@@ -43,7 +43,7 @@ TOKENS = "doc_id {kind}, ids array<int>, decoded binary"
 
 MERGE = """
 with recursive t(w, g, id, len, live) as (
-    select w, g, id, 1::bigint, true from bytes_of_words
+    select w, g, id, 1, true from bytes_of_words
     union all (
         with p as materialized (
             select a.w, a.g, a.len as l1, b.len as l2, m.merged
@@ -63,11 +63,13 @@ with recursive t(w, g, id, len, live) as (
             select w, g, l1, l2, merged
             from (select *, row_number() over (partition by r order by g) as k from run)
             where k % 2 = 1
+        ),
+        edits as materialized (
+            select g, merged, l1 + l2 as len from picked union all select g + l1, -1, 0 from picked
         )
-        select t.w, t.g, coalesce(h.merged, t.id), coalesce(h.l1 + h.l2, t.len), best.w is not null
-        from t left join best on best.w = t.w
-        left join picked h on h.g = t.g
-        where t.live and not exists (select 1 from picked d where d.g + d.l1 = t.g)
+        select t.w, t.g, coalesce(e.merged, t.id), coalesce(e.len, t.len), best.w is not null
+        from t left join best on best.w = t.w left join edits e on e.g = t.g
+        where t.live and (e.merged is null or e.merged >= 0)
     )
 )
 select w, id from t where not live order by w, g
@@ -112,8 +114,9 @@ class Coder:
     def merge(self, words: list[bytes]) -> list[bytes]:
         """Ids of every word by the recursive query, 32 bits each."""
         flat = np.frombuffer(b"".join(words), np.uint8)
-        w = np.repeat(np.arange(len(words)), [len(x) for x in words])
-        self._table("bytes_of_words", w=pa.array(w), g=pa.array(np.arange(len(flat))), id=pa.array(self.byte[flat]))
+        w = np.repeat(np.arange(len(words), dtype=np.int32), [len(x) for x in words])
+        place = np.arange(len(flat), dtype=np.int32)
+        self._table("bytes_of_words", w=pa.array(w), g=pa.array(place), id=pa.array(self.byte[flat]))
         rows = self.db.sql(MERGE).fetchnumpy()
         at = (4 * np.searchsorted(rows["w"], np.arange(len(words) + 1))).tolist()
         ids = np.asarray(rows["id"], "<i4").tobytes()
@@ -136,15 +139,19 @@ class Coder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts and where each text begins."""
         pieces, codes, offsets = cut(texts)
-        found = [self.find(p) for p in pieces.to_pylist()]
-        sizes = np.empty(len(found), np.int64)
-        parts = []
-        for lo in range(0, len(found), MEMORY // 8):
-            some = found[lo : lo + MEMORY // 8]
-            self.words([w for words in some for w in words])
-            coded = [b"".join(map(self.known.__getitem__, words)) for words in some]
-            sizes[lo : lo + len(some)] = [len(x) // 4 for x in coded]
-            parts += coded
+        parts, open_at = [], []
+        # most pieces are one word, met before
+        for k, got in enumerate(map(self.known.get, pieces := pieces.to_pylist())):
+            parts.append(got)
+            if got is None:
+                open_at.append(k)
+        for lo in range(0, len(open_at), MEMORY // 8):
+            some = open_at[lo : lo + MEMORY // 8]
+            found = [self.find(pieces[k]) for k in some]
+            self.words([w for words in found for w in words])
+            for k, words in zip(some, found):
+                parts[k] = b"".join(map(self.known.__getitem__, words))
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         flat = np.frombuffer(b"".join(parts), "<i4")
         starts = np.concatenate([[0], np.cumsum(sizes)])
         at = np.concatenate([[0], np.cumsum(sizes[codes])])[offsets]
