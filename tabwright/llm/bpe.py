@@ -36,9 +36,9 @@ from tabwright.llm.common import narrow, slices
 from tabwright.llm.pieces import cut, gather
 
 #: Bytes of words merged by one query, and words that a worker remembers.
-WORD_BYTES = 400_000
-MEMORY = 1_200_000
-SLICE = 12 << 20
+WORD_BYTES = 300_000
+MEMORY = 500_000
+SLICE = 6 << 20
 TOKENS = "doc_id {kind}, ids array<int>, decoded binary"
 
 MERGE = """
@@ -89,7 +89,7 @@ class Coder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.find = regex.compile(pattern).findall
         self.db = duckdb.connect(
-            config={"threads": 1, "memory_limit": "400MB", "temp_directory": tempfile.mkdtemp(prefix="bpe-")}
+            config={"threads": 1, "memory_limit": "256MB", "temp_directory": tempfile.mkdtemp(prefix="bpe-")}
         )
         pairs, merged = [], []
         for token, rank in ranks.items():
@@ -180,6 +180,10 @@ def _slices(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Itera
     for batch in slices(batches, size=SLICE):
         ids, at = run.encode(batch.column("text"))
         yield batch, ids, at, run.decode(ids, at)
+    # workers live on for other stages, which need the memory
+    if len(run.known) > MEMORY // 2:
+        run.known.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
