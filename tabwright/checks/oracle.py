@@ -575,6 +575,13 @@ ORACLE: dict[str, str] = {
     "f6_stage_list": f"""
       with {ORDERS} select slot, count(*) as rows, {sig("sum(value)")} as total
       from ({prepared()}) where value <> 0 group by slot""",
+    "t1_validation_rows": f"""
+      with {ORDERS} select count(*) as rows, count(*) filter (where label = 0) as rows0, true as learnt
+      from feats where {split("o_orderkey", WEIGHTS, NAMES)} = 'validation'""",
+    "m1_batch_score_rows": f"""
+      with {ORDERS} select o_orderkey, ts, label, true as agrees, true as whole
+      from feats where {split("o_orderkey", WEIGHTS, NAMES)} = 'test'""",
+    "r1_random_split_parts": "select o_orderkey, 1::bigint as parts from orders",
     "t2_search_space": f"""
       select o_orderkey as trial, {parameter("eta", 0.01, 0.3, "log")},
              {parameter("max_depth", 3, 12, "int")}, {parameter("min_child_weight", 1.0, 10.0)},

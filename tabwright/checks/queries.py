@@ -66,6 +66,10 @@ def staged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.stage(orders_features(spark, sf_dir), "orders-features")
 
 
+def stage_of(df: DataFrame) -> DataFrame:
+    return tables.stage(df, "scored")
+
+
 def learner() -> training.Learner:
     return training.boosted_trees(trees=TREES)
 
@@ -390,6 +394,13 @@ def r1_random_split(spark, sf_dir):
     return split.union_by_name(*named)
 
 
+@query
+def r1_random_split_parts(spark, sf_dir):
+    """In how many parts of the random split each order stands."""
+    parts = r1_random_split(spark, sf_dir)
+    return parts.groupBy("o_orderkey").agg(F.count("*").alias("parts"))
+
+
 @query
 def r2_two_way_split(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "event_type")
@@ -488,6 +499,19 @@ def t1_boosted_trees(spark, sf_dir):
     return metrics.class_metrics(training.score(model, valid, ORDERS_SPEC), "label", "prediction")
 
 
+@query
+def t1_validation_rows(spark, sf_dir):
+    """Rows and class-0 rows that the fitted trees scored, and whether they learnt anything."""
+    train, valid, _ = orders_splits(spark, sf_dir)
+    model = training.fit_classifier(train, ORDERS_SPEC, training.SEED_PARAMETERS, learner())
+    scored = stage_of(training.score(model, valid, ORDERS_SPEC).select("label", "prediction"))
+    found = metrics.class_metrics(scored, "label", "prediction").select("f1")
+    f1 = found.first()["f1"]
+    return scored.agg(
+        F.count("*").alias("rows"), F.count_if(F.col("label") == 0).alias("rows0"), F.lit(f1 > 0.5).alias("learnt")
+    )
+
+
 @query
 def t2_search_space(spark, sf_dir):
     """One parameter set per order, so that the draw is checked over a whole table."""
@@ -555,6 +579,22 @@ def m1_batch_score(spark, sf_dir):
     return tables.vectors_to_arrays(training.score(model, test, ORDERS_SPEC))
 
 
+@query
+def m1_batch_score_rows(spark, sf_dir):
+    """Every test row with what its probabilities must say about its prediction."""
+    train, _, test = orders_splits(spark, sf_dir)
+    model = training.fit_classifier(train, ORDERS_SPEC, training.SEED_PARAMETERS, learner())
+    scored = tables.vectors_to_arrays(training.score(model, test, ORDERS_SPEC))
+    p0, p1 = F.get("probability", F.lit(0)), F.get("probability", F.lit(1))
+    return scored.select(
+        "o_orderkey",
+        "ts",
+        "label",
+        (F.col("prediction") == (p1 > p0).cast("double")).alias("agrees"),
+        (F.abs(p0 + p1 - 1) < 1e-9).alias("whole"),
+    )
+
+
 @query
 def m2_added_columns(spark, sf_dir):
     orders = staged_orders(spark, sf_dir)
@@ -613,7 +653,8 @@ def l3_trained_duel(spark, sf_dir):
     first = training.fit_classifier(labelled, ORDERS_SPEC, training.SEED_PARAMETERS, learner())
     version = models.register(first, registry.signature_of(labelled.drop("label")))
     models.set_alias("champion", version)
-    return duel.duel(labelled, holdout, ORDERS_SPEC, models, learner=learner())
+    log = runlog.RunLog(spark, work_path(spark, "run-log"))
+    return duel.duel(labelled, holdout, ORDERS_SPEC, models, learner=learner(), log=log)
 
 
 # --- streams -------------------------------------------------------------------------

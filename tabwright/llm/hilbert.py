@@ -18,7 +18,7 @@ table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,25 +67,38 @@ def curve_index(cells: Sequence[Column], bits: int) -> Column:
             .otherwise(v),
         )
 
-    turned = F.aggregate(axes, F.lit(0), lambda a, v: a) if not n else axes
-    if bits > 1:
-        turned = F.aggregate(steps, axes, turn)
-    # gray code: each axis takes in those before it, then all are corrected by the last
-    gray = F.transform(
-        turned, lambda v, j: F.aggregate(F.slice(turned, F.lit(1), j + 1), F.lit(0), lambda a, w: a.bitwiseXOR(w))
-    )
     powers = F.array(*(F.lit(1 << b) for b in range(bits - 1, -1, -1)))
-    fix = F.aggregate(
-        powers,
-        F.lit(0),
-        lambda a, q: F.when(F.element_at(gray, n).bitwiseAND(q) != 0, a.bitwiseXOR(q - 1)).otherwise(a),
-    )
-    bit = lambda v, q: F.when(v.bitwiseXOR(fix).bitwiseAND(q) != 0, 1).otherwise(0)
-    return F.aggregate(
-        powers,
-        F.lit(0).cast("long"),
-        lambda a, q: F.aggregate(gray, a, lambda b, v: b * 2 + bit(v, q)),
-    )
+
+    def gray(x: Column) -> Column:
+        """Each axis takes in those before it."""
+        return F.transform(
+            x, lambda v, j: F.aggregate(F.slice(x, F.lit(1), j + 1), F.lit(0), lambda a, w: a.bitwiseXOR(w))
+        )
+
+    def place(g: Column) -> Column:
+        """All axes corrected by the last, then their bits one after another."""
+        last = F.element_at(g, n)
+        fix = F.aggregate(
+            powers, F.lit(0), lambda a, q: F.when(last.bitwiseAND(q) != 0, a.bitwiseXOR(q - 1)).otherwise(a)
+        )
+        return let(
+            fix,
+            lambda f: F.aggregate(
+                powers,
+                F.lit(0).cast("long"),
+                lambda a, q: F.aggregate(
+                    g, a, lambda b, v: b * 2 + F.when(v.bitwiseXOR(f).bitwiseAND(q) != 0, 1).otherwise(0)
+                ),
+            ),
+        )
+
+    turned = F.aggregate(steps, axes, turn) if bits > 1 else axes
+    return let(let(turned, gray), place)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def quantised(df: DataFrame, dimensions: Sequence[str], bits: int) -> list[Column]:
@@ -99,8 +112,8 @@ def quantised(df: DataFrame, dimensions: Sequence[str], bits: int) -> list[Colum
     for k, d in enumerate(dimensions):
         # equal cut points would leave empty cells between; the curve does not mind them
         value, points = measure(df, d), cuts[k] or []
-        cell = sum((F.when(value > p, 1).otherwise(0) for p in points), F.lit(0))
-        cells.append(F.when(value.isNull(), 0).otherwise(cell))
+        count = lambda x, points=points: sum((F.when(x > p, 1).otherwise(0) for p in points), F.lit(0))
+        cells.append(F.coalesce(let(value, count), F.lit(0)))
     return cells
 
 

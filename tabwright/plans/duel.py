@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -11,6 +12,7 @@ from tabwright.operators.metrics import compare_predictions
 from tabwright.operators.split import hash_split, union_by_name
 from tabwright.plans.training import CHALLENGER_PARAMETERS, SEED, Learner, fit_classifier, score
 from tabwright.sources.registry import ModelRegistry, signature_of
+from tabwright.sources.runlog import RunLog
 from tabwright.spec import FeatureSpec
 
 
@@ -52,12 +54,14 @@ def duel(
     seed: int = SEED,
     learner: Learner | None = None,
     unseen_only: DataFrame | None = None,
+    log: RunLog | None = None,
 ) -> DataFrame:
     """Trains a challenger on part of all labelled rows and lets both score the rest.
 
     The challenger is registered and gets its alias; if it wins, the aliases swap.
     ``unseen_only`` may hold the keys the champion was trained on: test rows with such
-    a key are left out, which makes the comparison fair.
+    a key are left out, which makes the comparison fair. With ``log`` the duel is a run of
+    its own, with the challenger's parameters and both figures.
     """
     train, test = hash_split(union_by_name(labelled, holdout), weights, seed, spec.keys)
     if unseen_only is not None:
@@ -72,8 +76,18 @@ def duel(
     by_both = score(model, by_champion, spec).select(spec.label, "_champion", "prediction")
     found = decide(by_both, spec.label, "_champion", "prediction", spec.pos_label).first()
 
-    signature = signature_of(train.drop(spec.label))
-    challenger_version = registry.register(model, signature)
+    outputs = score(model, train, spec).select("prediction")
+    run_id = uuid.uuid4().hex
+    challenger_version = registry.register(
+        model, signature_of(train.drop(spec.label), outputs), run_id
+    )
+    if log is not None:
+        log.append_run(
+            run_id,
+            f"challenger_v{challenger_version}",
+            params=dict(params),
+            metrics={"champion_f1": found["champion_f1"], "challenger_f1": found["challenger_f1"]},
+        )
     registry.set_alias("challenger", challenger_version)
     if found["challenger_wins"]:
         registry.set_alias("challenger", champion_version)

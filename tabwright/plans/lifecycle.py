@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tabwright.operators.lookup import join_late_labels, training_set
 from tabwright.operators.metrics import class_metrics, classifier_evaluation, confusion_matrix
@@ -104,9 +105,14 @@ def predict_and_store(
     alias: str = "champion",
     bucket_by: tuple[int, str] | None = None,
 ) -> DataFrame:
-    """Scores ``holdout`` with the model of an alias and overwrites the predictions table."""
+    """Scores ``holdout`` with the model of an alias and overwrites the predictions table.
+
+    ``model_version`` tells which version scored, whatever the alias means later.
+    """
+    version = registry.version_of(alias)
+    scored = score(registry.load_version(version), holdout, spec)
     return write_predictions(
-        score(registry.load(alias), holdout, spec), table, path=path, bucket_by=bucket_by
+        scored.withColumn("model_version", F.lit(version)), table, path=path, bucket_by=bucket_by
     )
 
 
@@ -116,9 +122,9 @@ def evaluate_stored(
     registry: ModelRegistry,
     log: RunLog,
     labels: DataFrame | None = None,
-    alias: str = "champion",
 ) -> DataFrame:
-    """Evaluates stored predictions once their labels exist, and logs the figures.
+    """Evaluates stored predictions once their labels exist, and logs the figures under the
+    version that made them.
 
     ``labels`` holds keys and label where they arrived apart from the predictions.
     """
@@ -128,6 +134,7 @@ def evaluate_stored(
         )
     found = classifier_evaluation(predictions, spec.label, "prediction", spec.pos_label)
     figures = found.first().asDict()
-    name = f"{registry.model}_v{registry.version_of(alias)}_evaluation"
+    version = predictions.agg(F.max("model_version")).first()[0]
+    name = f"{registry.model}_v{version}_evaluation"
     log.append_run(uuid.uuid4().hex, name, metrics=figures)
     return found

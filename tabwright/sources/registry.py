@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.operators.metrics import max_version
 from tabwright.sources.tables import load_model, save_model
 
-VERSIONS = "model string, version int, path string, signature string, run_id string, ts timestamp"
+VERSIONS = "model string, path string, signature string, run_id string, ts timestamp"
 ALIASES = "model string, alias string, version int, ts timestamp, seq long"
 
 
@@ -73,7 +75,9 @@ def schema_differences(df: DataFrame, signature: str) -> DataFrame:
 class ModelRegistry:
     """Versions of one named model under a path that all executors share.
 
-    Both tables are append-only; the current alias is the last one set.
+    Both tables are append-only; the current alias is the last one set. A model is saved
+    under a path of its own and numbered when the table is read, by time and path, so
+    trainings that register at once never share a folder or a number.
     """
 
     def __init__(self, spark: SparkSession, path: str, model: str):
@@ -89,7 +93,9 @@ class ModelRegistry:
         return rows.filter(F.col("model") == self.model)
 
     def versions(self) -> DataFrame:
-        return self._table("versions", VERSIONS)
+        """Every registered model with its ``version``, from 1; a row per model trained."""
+        order = Window.partitionBy("model").orderBy("ts", "path")
+        return self._table("versions", VERSIONS).withColumn("version", F.row_number().over(order))
 
     def alias_events(self) -> DataFrame:
         return self._table("aliases", ALIASES)
@@ -99,16 +105,15 @@ class ModelRegistry:
         return max_version(self.versions(), "version").first()["max_version"] or 0
 
     def register(self, model: PipelineModel, signature: str, run_id: str = "") -> int:
-        version = self.latest_version() + 1
-        target = save_model(model, f"{self.path}/models/{self.model}/{version}")
-        row = (self.model, version, target, signature, run_id, datetime.now(timezone.utc))
+        target = save_model(model, f"{self.path}/models/{self.model}/{uuid.uuid4().hex}")
+        row = (self.model, target, signature, run_id, datetime.now(timezone.utc))
         self.spark.createDataFrame([row], VERSIONS).write.mode("append").parquet(
             f"{self.path}/versions"
         )
-        return version
+        return self.versions().filter(F.col("path") == target).first()["version"]
 
     def set_alias(self, alias: str, version: int) -> None:
-        seq = self.alias_events().count()
+        seq = time.time_ns()
         row = (self.model, alias, version, datetime.now(timezone.utc), seq)
         self.spark.createDataFrame([row], ALIASES).write.mode("append").parquet(
             f"{self.path}/aliases"
@@ -126,8 +131,11 @@ class ModelRegistry:
             raise KeyError(f"{self.model!r} has no version {version}")
         return row
 
+    def load_version(self, version: int) -> PipelineModel:
+        return load_model(self._row(version)["path"])
+
     def load(self, alias: str) -> PipelineModel:
-        return load_model(self._row(self.version_of(alias))["path"])
+        return self.load_version(self.version_of(alias))
 
     def signature(self, alias: str) -> str:
         return self._row(self.version_of(alias))["signature"]
