@@ -96,6 +96,11 @@ def curve_index(cells: Sequence[Column], bits: int) -> Column:
     return let(let(turned, gray), place)
 
 
+def above(points: Sequence[float]) -> Callable[[Column], Column]:
+    """How many of the points a value is above."""
+    return lambda x: sum((F.when(x > p, 1).otherwise(0) for p in points), F.lit(0))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often ``body`` names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -112,8 +117,7 @@ def quantised(df: DataFrame, dimensions: Sequence[str], bits: int) -> list[Colum
     for k, d in enumerate(dimensions):
         # equal cut points would leave empty cells between; the curve does not mind them
         value, points = measure(df, d), cuts[k] or []
-        count = lambda x, points=points: sum((F.when(x > p, 1).otherwise(0) for p in points), F.lit(0))
-        cells.append(F.coalesce(let(value, count), F.lit(0)))
+        cells.append(F.coalesce(let(value, above(points)), F.lit(0)))
     return cells
 
 
