@@ -6,13 +6,16 @@ from tabwright.checks import queries
 from tabwright.checks.compare import connect, difference
 from tabwright.checks.oracle import ORACLE
 from tabwright.checks.queries import QUERIES
+from tabwright.plans import training
 
 
 @pytest.fixture(autouse=True)
 def few_trees(monkeypatch):
-    """Fewer trees and trials than the registered queries run with; what is compared is the same."""
+    """Smaller trees and fewer trials than the registered queries run with; what is compared is the same."""
     monkeypatch.setattr(queries, "TREES", 3)
     monkeypatch.setattr(queries, "TRIALS", 2)
+    for parameters in (training.SEED_PARAMETERS, training.CHALLENGER_PARAMETERS):
+        monkeypatch.setitem(parameters, "max_depth", 3)
 
 
 @pytest.fixture(scope="module")
