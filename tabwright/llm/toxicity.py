@@ -1,12 +1,15 @@
 """Toxicity by compression distance: which of two zstandard dictionaries codes a window shorter.
 
 Both dictionaries hold the same frequent segments of ordinary text, found by zstandard's own
-trainer, so that ordinary prose costs the same under either. The toxic one also holds segments
-that toxic documents have far more often than ordinary ones (the trainer alone picks what is
-frequent in both classes and separates nothing); the ordinary one holds blanks in their place,
-so that distances into the common part agree. A text is cut into half-overlapping windows of whole
-words; the bytes that a window saves under the toxic dictionary are its gain. Thresholds are calibrated:
-how often windows reach each gain, by length of the text, goes through a logistic regression.
+trainer, so that ordinary prose costs the same under either. The toxic one also holds every word
+that toxic documents have significantly more often than ordinary ones, whatever its language (the
+trainer alone picks what is frequent in both classes and separates nothing); the ordinary one holds
+blanks in their place, so that distances into the common part agree. Words are spelt in codes of
+eight bytes before they are compressed: else an ordinary word that shares a syllable with a toxic
+one saves bytes too, and the more toxic words there are, the more. A text is cut into
+half-overlapping windows of whole words; the bytes that a window saves under the toxic dictionary
+are its gain. Thresholds are calibrated: how often windows reach each gain, by length of the text,
+goes through a logistic regression.
 
 Learning uses rows whose ``crc32(id as text) mod 5`` is not 0: remainders 1 to 3 for the
 dictionaries, 4 for the calibration. It is bounded by ``per_class`` labelled documents of each
@@ -25,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard as zs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,9 +41,9 @@ PER_CLASS = 4_000
 #: Longer texts are not used for learning, so the sample is bounded in bytes too.
 LEARN_CHARS = 20_000
 WINDOW = 48
-COMMON_BYTES, TOXIC_BYTES = 512, 512
-#: A segment is toxic from this many standard errors on, and this part of the strongest.
-LEAST_Z, PART_OF_BEST, LEAST_DOCS = 4.0, 0.4, 3
+COMMON_BYTES = 512
+#: A word is toxic from this many standard errors on.
+LEAST_Z, LEAST_DOCS = 4.0, 3
 GAINS = (2, 3, 4, 5, 6, 8)
 SLICE = 4 << 20
 
@@ -53,7 +57,7 @@ def windows(text: str, size: int = WINDOW) -> list[bytes]:
     a longer word is cut."""
     words = []
     for word in plain_words(text):
-        words += [word] if len(word) <= size else [word[k : k + size] for k in range(0, len(word), size)]
+        words += pieces(word, size)
     out = []
     for skip in (0, size // 2):
         now, length = [], -skip
@@ -71,22 +75,33 @@ def windows(text: str, size: int = WINDOW) -> list[bytes]:
     return out
 
 
+def pieces(word: bytes, size: int = WINDOW) -> list[bytes]:
+    return [word] if len(word) <= size else [word[k : k + size] for k in range(0, len(word), size)]
+
+
+def spelt(text: bytes) -> bytes:
+    """The words of ``text`` in codes of equal length, so that words match whole or not at all."""
+    return b"".join(map(xxhash.xxh64_digest, text.split()))
+
+
 class Model:
     """Two dictionaries and the weights of the calibration."""
 
     def __init__(self, common: bytes, toxic: list[str]) -> None:
-        segments = [f" {w} ".encode() for w in toxic]
+        segments = [spelt(b" ".join(pieces(w.encode()))) for w in toxic]
         # the strongest segments stand last, nearest to the common part
-        self.segments = b"".join(reversed(segments))[-TOXIC_BYTES:]
+        self.segments = b"".join(reversed(segments))
         self.common = common
         self.weights = np.zeros(len(GAINS) + 2)
 
     def open(self) -> Model:
-        # greedy enough to take every match of a short word, exhaustive enough not to miss one
+        # greedy enough to take every match of one word, exhaustive enough not to miss one, and
+        # with room for every segment
+        room = (len(self.segments) + len(self.common)).bit_length()
         parameters = zs.ZstdCompressionParameters(
-            window_log=17,
-            hash_log=15,
-            chain_log=16,
+            window_log=max(17, room + 1),
+            hash_log=max(15, room),
+            chain_log=max(16, room),
             search_log=7,
             min_match=5,
             target_length=64,
@@ -107,7 +122,7 @@ class Model:
         return self
 
     def sizes(self, coder: zs.ZstdCompressor, parts: list[bytes]) -> np.ndarray:
-        packed = coder.multi_compress_to_buffer([self.lead + p for p in parts])
+        packed = coder.multi_compress_to_buffer([self.lead + spelt(p) for p in parts])
         return np.fromiter((len(packed[i]) for i in range(len(packed))), np.int64, len(packed))
 
     def features(self, texts: list[str]) -> np.ndarray:
@@ -186,19 +201,13 @@ def learn(
         share = (F.col("a") + F.col("b")) / (toxic_n + plain_n)
         error = F.sqrt(share * (1 - share) * (1 / toxic_n + 1 / plain_n))
         z = (F.col("a") / toxic_n - F.col("b") / plain_n) / error
-        best = (
-            counts.where((F.col("a") >= LEAST_DOCS) & (share < 1))
-            .withColumn("z", z)
-            .orderBy(F.desc("z"), "w")
-            .limit(TOXIC_BYTES // 4)
-            .collect()
-        )
-        least = max(LEAST_Z, PART_OF_BEST * best[0]["z"]) if best else 0
-        segments = [r["w"] for r in best if r["z"] >= least]
+        # words of the bounded sample
+        best = counts.where((F.col("a") >= LEAST_DOCS) & (share < 1)).withColumn("z", z).where(F.col("z") >= LEAST_Z)
+        segments = [r["w"] for r in best.orderBy(F.desc("z"), "w").collect()]
         plain = early.where("y = 0").orderBy(F.xxhash64("text")).limit(500).collect()
-        prose = [b" " + b" ".join(plain_words(r["text"])) + b" " for r in plain]
+        prose = [spelt(b" ".join(plain_words(r["text"]))) for r in plain]
         try:
-            common = zs.train_dictionary(COMMON_BYTES, prose, k=32, d=6).as_bytes()
+            common = zs.train_dictionary(COMMON_BYTES, prose, k=32, d=8).as_bytes()
         except zs.ZstdError:  # too little text to train on
             common = b"".join(prose)[-COMMON_BYTES:]
     model = Model(common, segments)

@@ -32,6 +32,27 @@ def test_held_out_accuracy(spark):
     assert clean == {i for i in got if got[i]["predicted"] == 0}
 
 
+def test_a_dominant_language_hides_no_other(spark):
+    random.seed(8)
+    syllables = "ka lo mi ne ru ta vo sen dar pol tis gra".split()
+    words = ["".join(random.choices(syllables, k=random.randint(2, 4))) for _ in range(2000)]
+    # strong and few marks in most texts; another language has many weak ones made of its own syllables
+    strong, weak = ("dreckskerl", "vollpfosten"), ["".join(w) for w in zip(["polgra"] * 40, random.sample(words, 40))]
+    rows = []
+    for i in range(1600):
+        rare, toxic = i % 8 == 0, i % 16 in (0, 1, 3, 5, 7)
+        text = random.choices(words, k=random.randint(60, 160))
+        for w in random.sample(weak, 6) if rare and toxic else random.choices(strong, k=4) if toxic else []:
+            text.insert(random.randrange(len(text)), w)
+        rows.append((i, " ".join(text), int(toxic), rare))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in score(docs, learn(docs, labels)).withColumn("r", remainder(F.col("doc_id"))).collect()}
+    held = [r for r in rows if got[r[0]]["r"] == 0]
+    for part in ([r for r in held if r[3] and r[2]], [r for r in held if not r[3] and r[2]], [r for r in held if not r[2]]):
+        assert len(part) > 10 and sum(got[r[0]]["predicted"] == r[2] for r in part) >= 0.9 * len(part)
+
+
 def test_windows_cover_every_word():
     text = " ".join(f"w{i}" for i in range(300)) + " " + "x" * 500
     found = b" ".join(windows(text)).split()
