@@ -6,7 +6,9 @@ word is common in it if it has at least 1/500 of the language's words. Both boun
 references small whatever the corpus: at most 1000 languages of 500 words, counted exactly.
 
 A text is compared with the reference nearest to it, so a wrong or missing language mark does
-not count against it. Short texts have unsteady histograms: below ``min_chars`` and
+not count against it. Common words hold only a part of a language, so how far a text can get from
+its words differs: the word limit is a part of the distance that a text without any of the
+reference's common words has. Short texts have unsteady histograms: below ``min_chars`` and
 ``min_words`` a distance is not judged.
 
 Cases: a null or empty text has no words, fails the base rules and gets no distances; documents
@@ -32,7 +34,9 @@ WORD_SHARE = 1 / 500
 WINDOW = 8
 SLICE = 6 << 20
 MIN_CHARS, MIN_WORDS = 200, 60
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.25, 0.75
+MAX_CLASS_DISTANCE = 0.25
+#: Of the distance that a text without common words has.
+MAX_WORD_PART = 0.9
 
 #: Characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -144,7 +148,7 @@ def quality(
     min_chars: int = MIN_CHARS,
     min_words: int = MIN_WORDS,
     max_class_distance: float = MAX_CLASS_DISTANCE,
-    max_word_distance: float = MAX_WORD_DISTANCE,
+    max_word_part: float = MAX_WORD_PART,
 ) -> DataFrame:
     """Per document row the base figures, the nearest language, both distances and the verdict."""
     rows = docs.select(
@@ -160,6 +164,7 @@ def quality(
         vocab = {w: i for i, w in enumerate(sorted({w for _, _, words in refs for w in words}))}
         columns = [np.array([vocab[w] for w in words], np.int64) for _, _, words in refs]
         shares = [np.array(list(words.values()), float) for _, _, words in refs]
+        limits = np.array([max_word_part * wordless(q) for q in shares] or [np.nan])
         for batch in slices(batches, size=SLICE):
             texts = batch.column("text").to_pylist()
             raw = [t.encode() for t in texts]
@@ -193,7 +198,7 @@ def quality(
             a, b = far_class[pick], far_word[pick]
             some = (sizes > 0) & bool(refs)
             bad = (chars >= min_chars) & (a > max_class_distance)
-            bad |= (sizes >= min_words) & (b > max_word_distance)
+            bad |= (sizes >= min_words) & (b > limits[near])
             names = [refs[k][0] if ok else None for k, ok in zip(near, some)]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -216,6 +221,12 @@ def quality(
     return rows.mapInArrow(judge, f"doc_id {kind}, {OUT}")
 
 
+def wordless(shares: np.ndarray) -> float:
+    """Distance of a text without common words to a reference with these ``shares`` of them."""
+    q = np.append(shares, max(0.0, 1 - shares.sum()))
+    return float(distance(np.append(np.zeros(len(shares)), 1.0)[None], q)[0])
+
+
 def sparse_distance(
     doc: np.ndarray, slot: np.ndarray, n: np.ndarray, sizes: np.ndarray, q: np.ndarray
 ) -> np.ndarray:

@@ -78,3 +78,17 @@ def test_verdicts(spark):
     got = {r["doc_id"]: r for r in quality(docs).collect()}
     assert not got[1000]["kept"] and got[1000]["class_distance"] > 0.25
     assert got[3]["class_distance"] < 0.1 and got[3]["language"] == "en"
+
+
+def test_a_text_without_common_words_is_rejected(spark):
+    common = "the house of old man is by river and sea north far from it".split()
+    rare = lambda i, n: [f"{a}{b}" for a, b in zip("ka lo mi ne ru".split() * n, (chr(97 + (i * 7 + k) % 26) * (2 + k % 3) for k in range(n)))]
+    mixed = lambda i: [w for k, r in enumerate(rare(i, 80)) for w in ([common[(i + k) % 14], r] if k % 2 else [r])]
+    rows = [(i, " ".join(mixed(i)), "en") for i in range(300)]
+    rows += [(1000, " ".join(f"{a}{b}" for a in ("fe", "gi", "ho", "su") for b in "abcdefghijklmnopqrstuvwxyz"), "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in quality(docs).collect()}
+    far = got[1000]
+    assert not far["base_failed"] and far["class_distance"] < 0.25 and not far["kept"]
+    assert all(r["kept"] or r["base_failed"] for i, r in got.items() if i < 1000)
+    assert sum(r["kept"] for r in got.values()) > 200
