@@ -12,8 +12,9 @@ reference's common words has. Short texts have unsteady histograms: below ``min_
 ``min_words`` a distance is not judged.
 
 Cases: a null or empty text has no words, fails the base rules and gets no distances; documents
-without a language count for no reference; without any reference nothing is judged by
-distance; repeated rows give repeated results; other columns are not read.
+without a language count for no reference and are judged by the nearest; a text marked with a
+language that has no reference gets distances to the nearest, but is not judged by them; without
+any reference nothing is judged by distance; repeated rows give repeated results; other columns are not read.
 """
 
 from __future__ import annotations
@@ -164,6 +165,7 @@ def quality(
         vocab = {w: i for i, w in enumerate(sorted({w for _, _, words in refs for w in words}))}
         columns = [np.array([vocab[w] for w in words], np.int64) for _, _, words in refs]
         shares = [np.array(list(words.values()), float) for _, _, words in refs]
+        known = {None, *(lang for lang, _, _ in refs)}
         limits = np.array([max_word_part * wordless(q) for q in shares] or [np.nan])
         for batch in slices(batches, size=SLICE):
             texts = batch.column("text").to_pylist()
@@ -199,6 +201,7 @@ def quality(
             some = (sizes > 0) & bool(refs)
             bad = (chars >= min_chars) & (a > max_class_distance)
             bad |= (sizes >= min_words) & (b > limits[near])
+            bad &= np.fromiter((lang in known for lang in batch.column("lang").to_pylist()), bool, len(texts))
             names = [refs[k][0] if ok else None for k, ok in zip(near, some)]
             yield pa.RecordBatch.from_arrays(
                 [

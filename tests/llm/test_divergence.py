@@ -92,3 +92,15 @@ def test_a_text_without_common_words_is_rejected(spark):
     assert not far["base_failed"] and far["class_distance"] < 0.25 and not far["kept"]
     assert all(r["kept"] or r["base_failed"] for i, r in got.items() if i < 1000)
     assert sum(r["kept"] for r in got.values()) > 200
+
+
+def test_a_rare_language_is_not_judged_by_another(spark):
+    latin = " ".join(f"the house of old man{k} is by river and sea{k * 7}" for k in range(12))
+    greek = " ".join(f"το σπίτι του γέρου{'αβγδεζηθικλμ'[k]} είναι κοντά στο ποτάμι και τη θάλασσα{'αβγδεζηθικλμ'[k]}" for k in range(12))
+    rows = [(i, f"{latin} {'word' + str(i)}", "en") for i in range(1200)] + [(5000, greek, "el")]
+    rows += [(5001, "%$# @@ | ** && %% $$ ## ^^ || <> " * 10 + "the of and is it a b c d e f", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert [lang for lang, _, _ in references(docs.select("lang", "text"))] == ["en"]
+    got = {r["doc_id"]: r for r in quality(docs).collect()}
+    assert got[5000]["kept"] and not got[5000]["base_failed"] and got[5000]["class_distance"] > 0.25
+    assert got[3]["kept"] and not got[5001]["kept"]
