@@ -3,14 +3,14 @@
 A text is the set of its five-word shingles. Each of ``PERMUTATIONS`` hash functions gives two
 signature values, its minimum and its maximum over the set, so a signature of twice the length
 costs no further hashing. Bands of ``ROWS`` values put texts into buckets; two texts at the
-threshold of 0.85 share fewer than two of the 32 with probability 2e-7.
+threshold of 0.85 share fewer than two of the 32 with probability 2e-7, at 0.8 with 5e-5.
 
 1. Texts with equal words are one node, named by the smallest id.
 2. In every bucket each node is paired with the bucket's smallest: at most one pair per node and
    band, however large the bucket. Pairs are confirmed on the full sets and joined to components.
 3. What a star can miss are links between texts of different components that share buckets.
    Texts with two such buckets at least are compared by a prefix join: with shingles ordered by rarity, linked texts
-   share one of their first ``n - ceil(0.85 n) + 1`` shingles, and the place of that shingle
+   share one of their first ``n - ceil(t n) + 1`` shingles at a threshold ``t``, and the place of that shingle
    limits how much they can share at all. A changed copy begins with shingles that only it has,
    so it meets only texts that can reach the threshold, not its whole group. Shingles are met
    across components only. These pairs are confirmed on the full sets too.
@@ -25,7 +25,7 @@ kept where these have no id either; other columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,7 @@ from tabwright.sources.tables import stage
 SHINGLE = 5
 PERMUTATIONS, ROWS = 80, 5
 BANDS = 2 * PERMUTATIONS // ROWS
-#: Links need 100 * intersection >= PERCENT * union.
+#: Links need 100 * intersection >= percent * union.
 PERCENT = 85
 SLICE = 6 << 20
 
@@ -128,40 +128,43 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        columns = []
-        for name in ("left", "right"):
-            lists = batch.column(name)
-            values = lists.values.to_numpy().view(np.uint64)
-            at = lists.offsets.to_numpy()
-            columns.append([values[a:b] for a, b in zip(at, at[1:])])
-        keep = []
-        for x, y in zip(*columns):
-            if len(x) > len(y):
-                x, y = y, x
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            common = int((y[at] == x).sum())
-            keep.append(100 * common >= PERCENT * (len(x) + len(y) - common))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("u"), batch.column("v")], ["u", "v"]
-        ).filter(pa.array(keep, pa.bool_()))
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirm(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = []
+            for name in ("left", "right"):
+                lists = batch.column(name)
+                values = lists.values.to_numpy().view(np.uint64)
+                at = lists.offsets.to_numpy()
+                columns.append([values[a:b] for a, b in zip(at, at[1:])])
+            keep = []
+            for x, y in zip(*columns):
+                if len(x) > len(y):
+                    x, y = y, x
+                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                common = int((y[at] == x).sum())
+                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("u"), batch.column("v")], ["u", "v"]
+            ).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (u, v) whose full sets are similar enough."""
     left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("right"))
     both = pairs.join(left, "u").join(right, "v").select("u", "v", "left", "right")
     kind = pairs.schema["u"].dataType.simpleString()
-    return both.mapInArrow(_confirm, f"u {kind}, v {kind}")
+    return both.mapInArrow(_confirm(percent), f"u {kind}, v {kind}")
 
 
-def near_size(a: str, b: str) -> str:
-    return f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})"
+def near_size(a: str, b: str, percent: int = PERCENT) -> str:
+    return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
 
 
-def crossing_pairs(nodes: DataFrame, tokens: DataFrame) -> DataFrame:
+def crossing_pairs(nodes: DataFrame, tokens: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs of nodes of different components that can reach the threshold by their rare shingles.
 
     ``nodes`` has ``node, n, component, size`` (of the component), ``tokens`` their ``node, shingle``.
@@ -174,7 +177,7 @@ def crossing_pairs(nodes: DataFrame, tokens: DataFrame) -> DataFrame:
         "place", F.row_number().over(own.orderBy("df", "shingle"))
     )
     rows = placed.join(nodes, "node").withColumn("rank", F.expr("n - shared + place"))
-    rows = rows.where(f"rank <= n - (n * {PERCENT} + 99) div 100 + 1").drop("df", "shared", "place")
+    rows = rows.where(f"rank <= n - (n * {percent} + 99) div 100 + 1").drop("df", "shared", "place")
     rows = stage(rows, "prefix-shingles")
     # in each shingle's row the largest component is met by the others, never with itself
     most = rows.groupBy("shingle").agg(
@@ -187,15 +190,18 @@ def crossing_pairs(nodes: DataFrame, tokens: DataFrame) -> DataFrame:
     )
     # both first ranks known, at most one and what is left after them can be shared
     reach = "1 + least(n - rank, n_ - rank_)"
-    need = f"({PERCENT} * (n + n_) + {99 + PERCENT}) div {100 + PERCENT}"
+    need = f"({percent} * (n + n_) + {99 + percent}) div {100 + percent}"
     pairs = rows.join(few, "shingle").where(
-        f"component != component_ and (component = main or node < node_) and {near_size('n', 'n_')} and {reach} >= {need}"
+        f"component != component_ and (component = main or node < node_) and {near_size('n', 'n_', percent)} and {reach} >= {need}"
     )
     return pairs.select(F.greatest("node", "node_").alias("u"), F.least("node", "node_").alias("v")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document row: size of its set, smallest id reachable over links, and whether it is that one."""
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+) -> DataFrame:
+    """Per document row: size of its set, smallest id reachable over links of a similarity of at
+    least ``percent``, and whether it is that one."""
     rows = narrow(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
     sketch = rows.mapInArrow(_sketch, f"doc_id {kind}, words binary, n long, bands array<long>")
@@ -209,13 +215,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     heads = placed.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("size"))
     placed = placed.join(heads.where("size > 1"), "bucket")
     placed = stage(placed.select("bucket", "node", "n", "head"), "buckets")
-    star = placed.where(f"node != head.node and {near_size('n', 'head.n')}")
+    star = placed.where(f"node != head.node and {near_size('n', 'head.n', percent)}")
     star = stage(star.select(F.col("node").alias("u"), F.col("head.node").alias("v")).distinct(), "star-pairs")
 
     wanted = placed.select(F.col("node").alias("doc_id")).distinct()
     texts = rows.join(wanted, "doc_id", "left_semi")
     sets = stage(texts.mapInArrow(_sets, f"node {kind}, shingles array<long>"), "shingle-sets")
-    links = stage(confirmed(star, sets), "star-links")
+    links = stage(confirmed(star, sets, percent), "star-links")
     first = stage(components(links), "star-components")
 
     sizes = first.groupBy("component").agg(F.count("*").alias("size"))
@@ -229,7 +235,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_nodes = stage(open_nodes.drop("mixed"), "open-nodes")
     tokens = open_nodes.select("node").join(sets, "node").select("node", F.explode("shingles").alias("shingle"))
     tokens = stage(tokens, "open-shingles")
-    more = stage(confirmed(crossing_pairs(open_nodes, tokens), sets), "crossing-links")
+    more = stage(confirmed(crossing_pairs(open_nodes, tokens, percent), sets, percent), "crossing-links")
 
     # components joined by the further links; nodes without any stay their own
     label = first.select(F.col("node").alias("v"), F.col("component").alias("cv"))
@@ -251,9 +257,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def keep_one(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents with one row of each group of near-duplicates, with all their columns."""
     row = fresh(docs, "row_number")
     numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "dedup-input")
-    kept = near_duplicates(numbered, row, text_col).where("kept").select(F.col("doc_id").alias(row))
+    kept = near_duplicates(numbered, row, text_col, percent).where("kept").select(F.col("doc_id").alias(row))
     return numbered.join(kept, row, "left_semi").select(*map(col_of, docs.columns))

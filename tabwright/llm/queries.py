@@ -45,7 +45,7 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabwright.llm.minmax import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,6 +56,32 @@ def test_against_brute_force(spark):
     assert len(kept) == len(set(want.values())) and {want[i] for i in kept} == set(want.values())
 
 
+def test_pairs_between_the_thresholds(spark):
+    random.seed(11)
+    rows, between = [], 0
+    for k in range(40):
+        words = [f"u{k}x{random.randrange(5000)}" for _ in range(200)]
+        at = 40 + k % 30
+        near = words[:at] + ["n1"] + words[at + 1 : at + 60] + ["n2"] + words[at + 61 : at + 120] + ["n3"] + words[at + 121 :]
+        near = near[:2] + ["n4"] + near[3:]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(near))]
+        (x, y), _ = shingle_sets([rows[-2][1], rows[-1][1]])
+        between += 80 <= 100 * len(np.intersect1d(x, y)) / len(np.union1d(x, y)) < 85
+    assert between == 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(r["kept"] for r in near_duplicates(docs, percent=85).collect())
+    assert {r["doc_id"] for r in near_duplicates(docs, percent=80).where("kept").collect()} == set(range(0, 80, 2))
+
+
+def test_pipeline_takes_pairs_from_80(spark):
+    import corpus_pipeline
+
+    words = [f"w{k}" for k in range(200)]
+    near = [f"n{k}" if k in (2, 60, 110, 170) else w for k, w in enumerate(words)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(near))], "doc_id long, text string")
+    assert dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, "").count() == 1
+
+
 def test_awkward_rows(awkward, no_docs):
     got = near_duplicates(awkward).collect()
     assert len(got) == awkward.count()
