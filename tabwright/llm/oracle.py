@@ -67,8 +67,78 @@ select conv_id, count(*) as n_turns,
        sum(chars)::bigint as formatted_chars, count(*) filter (where role = 'assistant') as examples
 from sized group by conv_id"""
 
+OP12 = """
+with valid as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+r as (select distinct on (vec_id) * from valid order by vec_id, label, v),
+scored as (
+    select a.vec_id as anchor_id, a.label = r.label as same, r.vec_id as id,
+           list_sum(list_transform(range(1, len(a.v) + 1), lambda k: a.v[k] * r.v[k]))::bigint as score
+    from r a join r on a.vec_id % 100 = 0 and a.vec_id <> r.vec_id and len(a.v) = len(r.v)),
+p as (
+    select anchor_id, id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, id) <= 5),
+n as (
+    select anchor_id, positive_id, id as negative_id, positive_score, score as negative_score,
+           row_number() over (partition by anchor_id, positive_id order by score desc, id)::int as rank
+    from p join scored using (anchor_id)
+    where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 10"""
+
+OP13 = f"""
+with recursive t as (
+    select coalesce(doc_id, 9223372036854775807) as id, doc_id, coalesce(lang, '') as part, coalesce(text, '') as text
+    from documents),
+w as (select *, regexp_extract_all(text, '{WORD}') as words, min(id) over (partition by text) as least from t),
+marks as (
+    select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+d as (
+    select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+           [case when len(words) < 200 then 'A' end,
+            case when 100 * len(list_distinct(words)) < 50 * len(words) then 'B' end,
+            case when 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) then 'C' end,
+            case when regexp_matches(text, '[#$%&*|]') then 'D' end,
+            case when id > least then 'E' end] as f
+    from w left join marks using (doc_id)),
+sets as (
+    select part, array_to_string(list_filter(f, lambda x: x is not null), '') as fails,
+           count(*) as n, sum(good) as good, sum(toxic) as toxic
+    from d group by all),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as letter),
+walks as (
+    select '' as o union all select o || letter from walks join letters on not contains(o, letter)),
+orders as (select o as filter_order from walks where length(o) = 5),
+-- the step at which an order removes a failure set: the first of its letters
+gone as (
+    select part, filter_order, fails, n, good, toxic,
+           list_min([instr(filter_order, x) for x in string_split(fails, '')]) as at
+    from sets, orders where fails <> ''),
+steps as (select distinct part, filter_order, unnest(range(1, 6)) as step from sets, orders),
+totals as (select part, sum(n) as n from sets group by part),
+found as (
+    select s.part, s.filter_order, s.step,
+           coalesce(sum(g.n) filter (where g.at <= s.step), 0) as dropped,
+           coalesce(sum(g.n) filter (where g.at = s.step), 0) as removed,
+           coalesce(sum(g.n) filter (where g.at < s.step and contains(g.fails, s.filter_order[s.step])), 0) as redundant,
+           coalesce(sum(g.n) filter (where g.fails = s.filter_order[s.step]), 0) as unique_fails,
+           coalesce(sum(g.good) filter (where g.at = s.step), 0) as good_lost,
+           coalesce(sum(g.toxic) filter (where g.at = s.step), 0) as toxic_lost
+    from steps s left join gone g on g.part = s.part and g.filter_order = s.filter_order
+    group by s.part, s.filter_order, s.step)
+select part, filter_order, step::int as step, (t.n - dropped)::bigint as kept, removed::bigint as removed,
+       redundant::bigint as redundant, unique_fails::bigint as unique_fails, good_lost::bigint as good_lost,
+       toxic_lost::bigint as toxic_lost,
+       (sum(removed) over (partition by part, filter_order[step]))::bigint as shapley
+from found join totals t using (part)"""
+
 ORACLE: dict[str, str] = {
     "op5_decontaminate": OP5,
     "op6_minmax_dedup": OP6,
     "op9_chat": OP9,
+    "op12_hard_negatives": OP12,
+    "op13_filter_audit": OP13,
 }

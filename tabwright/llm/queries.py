@@ -82,6 +82,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder, parts, path)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabwright.llm.hard_negatives import mine
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, sf_dir, "embeddings"), label, F.col("id") % 100 == 0)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabwright.llm.filter_audit import audit, counts, text_failures
+
+    conditions = text_failures(F.coalesce(F.col("text"), F.lit("")))
+    found = counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), conditions)
+    return audit(found, "ABCDE")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_toxicity": op2_toxicity,
@@ -93,4 +108,6 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_chat": op9_chat,
     "op10_token_files": op10_token_files,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_filter_audit": op13_filter_audit,
 }
