@@ -67,6 +67,32 @@ select conv_id, count(*) as n_turns,
        sum(chars)::bigint as formatted_chars, count(*) filter (where role = 'assistant') as examples
 from sized group by conv_id"""
 
+OP11 = """
+with d as (
+    select row_number() over () as r, doc_id, coalesce(doc_id, 9223372036854775807) as id,
+           hex(encode(coalesce(text, ''))) as h
+    from documents),
+starts as (select r, id, h, unnest(range(0, length(h) // 2 - 49)) as k from d where length(h) >= 100),
+strings as (select r, id, k, h[2 * k + 1:2 * k + 100] as s from starts),
+gone as (
+    select r, k from strings join (select s, min(id) as least from strings group by s having min(id) < max(id)) using (s)
+    where least < id),
+-- strings that follow each other closely remove one run of bytes
+marked as (
+    select r, k, case when k <= lag(k) over (partition by r order by k) + 50 then 0 else 1 end as opens from gone),
+numbered as (select r, k, sum(opens) over (partition by r order by k) as g from marked),
+spans as (select r, g, min(k) as a, max(k) + 50 as b from numbered group by r, g),
+pieces as (
+    select r, a, b, coalesce(lag(b) over (partition by r order by a), 0) as from_ from spans),
+kept as (
+    select r, count(*) as n_spans, sum(b - a) as n_removed, max(b) as last,
+           string_agg(h[2 * from_ + 1:2 * a], '' order by a) as h
+    from pieces join (select r, h from d) using (r) group by r)
+select doc_id, (length(d.h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+       coalesce(n_spans, 0)::bigint as n_spans,
+       sha256(unhex(case when n_spans is null then d.h else kept.h || d.h[2 * last + 1:] end)) as kept_sha256
+from d left join kept using (r)"""
+
 OP12 = """
 with valid as (
     select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
@@ -139,6 +165,7 @@ ORACLE: dict[str, str] = {
     "op5_decontaminate": OP5,
     "op6_minmax_dedup": OP6,
     "op9_chat": OP9,
+    "op11_suffix_dedup": OP11,
     "op12_hard_negatives": OP12,
     "op13_filter_audit": OP13,
 }

@@ -82,6 +82,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder, parts, path)
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabwright.llm.suffix_dedup import cut, digest
+
+    return digest(cut(table(spark, sf_dir, "documents")))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabwright.llm.hard_negatives import mine
 
@@ -108,6 +114,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_chat": op9_chat,
     "op10_token_files": op10_token_files,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_filter_audit": op13_filter_audit,
 }
