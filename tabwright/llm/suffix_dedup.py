@@ -6,16 +6,17 @@ inside a string one has the smallest hash; equal strings agree on it. Neighbouri
 their gram form a run, about one run for every 14 bytes, and each run gives one suffix:
 
 1. Suffixes are ordered by leading tokens: the gram, then the whole text of the run (both as
-   64-bit codes, 128 bits together), then the id. Sampled splitters range-partition them, and
-   every bucket sorts its own. Equal neighbours show runs that an earlier document has as a
-   whole; those are removed. Grams that only one run has are done with, which is most text.
+   64-bit codes, 128 bits together), then the id. Splitters sampled from some documents range-partition
+   them by gram, and every bucket sorts its own by multikey quicksort. Equal neighbours show runs that an
+   earlier document has as a whole; those are removed. Grams that only one run has are done
+   with, which is most text.
 2. What is left are first runs whose gram other runs share: the ends of passages and the places
    where copies were changed. Their texts are read, range-partitioned by gram, and every string in
    them is a suffix of its own, sorted by multikey quicksort on eight-byte tokens of the text itself;
    equal strings stand together, and the smallest id among them keeps its own.
-3. A gram that reaches over the boundary of a bucket is compared across boundaries: its runs, or its
-   strings, are added up by a grouping that combines before it shuffles. Buckets hold rows, not grams, so a
-   passage that a third of all documents share is spread over many of them.
+3. A gram that takes more than a bucket shows as splitters that repeat, and is dealt over all of their
+   buckets, so a passage that a third of all documents share is spread. In each bucket all but
+   the smallest id are settled; only the smallest ones are compared across boundaries.
 
 Removed runs and strings are gathered per document and joined with its text.
 
@@ -45,15 +46,17 @@ WIDTH, GRAM = 50, 24
 RUN = WIDTH - GRAM + 1
 #: Strings hashed at once, and bytes of texts taken from a batch at once.
 CHUNK, SLICE = 1 << 19, 1 << 20
-#: Runs of a gram that a bucket compares by itself; more are compared across buckets.
-GROUP = 1 << 17
-#: Bytes of text behind one bucket of suffixes.
-BUCKET_BYTES = 16 << 20
+#: Bytes of text behind one bucket of suffixes, and of run texts in one bucket.
+BUCKET_BYTES, TEXT_BYTES = 16 << 20, 4 << 20
+#: Splitters at most (finer buckets divide a range by hash), and bytes of texts they are sampled from.
+SPLITTERS, SAMPLE_BYTES = 1 << 15, 64 << 20
 LAST = (1 << 63) - 1
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-RUNS = "gram long, code long, id long, tag long, at int, n int"
-FOUND = "kind int, gram long, code long, id long, tag long, at int, n int"
+#: ``place`` is the first string of a run and, in its last bits, how many it has
+BITS = 5
+RUNS = "bucket int, gram long, code long, id long, tag int, place long"
+FOUND = "kind int, gram long, code long, id long, tag int, place long"
 #: kinds of a run: removed as a whole, compared string by string, or open at a boundary
 WHOLE, PARTLY, OPEN = 0, 1, 2
 
@@ -123,7 +126,45 @@ def runs_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     return least[begin].view(np.int64), code.view(np.int64), begin, n
 
 
-def _runs(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
+class Buckets:
+    """Ranges of grams between splitters; a gram that fills several ranges is dealt over them."""
+
+    def __init__(self, splitters: list[int], fine: int = 1) -> None:
+        self.splitters, self.fine = np.array(splitters, np.int64), fine
+        again = self.splitters[1:][self.splitters[1:] == self.splitters[:-1]]
+        self.hot = np.unique(again)
+
+    def __len__(self) -> int:
+        return (len(self.splitters) + 1) * self.fine
+
+    def of(self, gram: np.ndarray, deal: np.ndarray) -> np.ndarray:
+        """Bucket of every gram; ``deal`` spreads the rows of a hot one."""
+        low = np.searchsorted(self.splitters, gram, side="left")
+        with np.errstate(over="ignore"):
+            if len(self.hot):
+                high = np.searchsorted(self.splitters, gram, side="right")
+                room = np.maximum(high - low, 1).astype(np.uint64)
+                low = low + (_mix(deal.view(np.uint64)) % room).astype(np.int64)
+            part = (_mix(gram.view(np.uint64)) % np.uint64(self.fine)).astype(np.int64)
+        return (low * self.fine + part).astype(np.int32)
+
+    def is_hot(self, gram: np.ndarray) -> np.ndarray:
+        return np.isin(gram, self.hot) if len(self.hot) else np.zeros(len(gram), bool)
+
+
+def sampled(rows: DataFrame, column: str, buckets: int, share: float = 1.0) -> Buckets:
+    """Splitters at the quantiles of a column of whole numbers, from a share of the rows."""
+    coarse = min(buckets, SPLITTERS)
+    fine = -(-buckets // coarse)
+    if coarse < 2:
+        return Buckets([], fine)
+    shares = [i / coarse for i in range(1, coarse)]
+    some = rows.sample(False, share, seed=1) if share < 1 else rows
+    found = some.agg(F.percentile_approx(column, shares, 20 * coarse)).first()[0]
+    return Buckets(sorted(found or []), fine)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], chunk: int, buckets: Buckets) -> Iterator[pa.RecordBatch]:
     names = [f.split()[0] for f in RUNS.split(", ")]
     for batch in slices(batches, size=SLICE):
         ids, tags = batch.column("id").to_numpy(), batch.column("tag").to_numpy()
@@ -143,67 +184,60 @@ def _runs(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBa
                 continue
             doc = a + np.searchsorted(ends, begin, side="right")
             at = begin + lo - (stops[doc] - lengths[doc])
-            columns = [gram, code, ids[doc], tags[doc], at.astype(np.int32), n.astype(np.int32)]
+            own = ids[doc]
+            columns = [buckets.of(gram, code ^ own), gram, code, own, tags[doc], at << BITS | n]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
 
-def _groups(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[dict[str, np.ndarray], bool]]:
-    """Rows sorted by ``gram`` in pieces of whole grams; True for pieces of a gram that may go on
-    elsewhere: a bucket's first and last one, and one of more than ``limit`` rows."""
-    held: list[pa.RecordBatch] = []
-    first, going = True, None  # the gram whose rows have begun to go out
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        total = pa.Table.from_batches(held)
-        gram = total.column("gram").to_numpy()
-        cut = int(np.searchsorted(gram, gram[-1]))
-        if cut == 0:
-            if total.num_rows > limit:
-                yield total, True
-                held, first, going = [], False, int(gram[-1])
-            continue
-        head = 0
-        if first or going == gram[0]:
-            head = int(np.searchsorted(gram, gram[0], side="right"))
-            yield total.slice(0, head), True
-        if cut > head:
-            yield total.slice(head, cut - head), False
-        held, first, going = total.slice(cut).combine_chunks().to_batches(), False, None
-    if held:
-        yield pa.Table.from_batches(held), True
-
-
-def _judged(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
-    """Kinds of the runs of a bucket, sorted by gram, code and id; runs that are alone give no row."""
-    names = [f.split()[0] for f in RUNS.split(", ")]
-    for table, boundary in _groups(batches, limit):
-        gram, code, ids = (table.column(c).to_numpy() for c in ("gram", "code", "id"))
-        if boundary:
-            kind = np.full(len(gram), OPEN, np.int32)
-        else:
-            new_gram = np.append(True, gram[1:] != gram[:-1])
-            new_code = new_gram | np.append(True, code[1:] != code[:-1])
-            grams, codes = np.cumsum(new_gram) - 1, np.cumsum(new_code) - 1
-            owner = ids[new_code][codes]  # the smallest id of a code stands first
-            starts = np.flatnonzero(new_gram)
-            several = np.maximum.reduceat(ids, starts) != np.minimum.reduceat(ids, starts)
-            shared = several & (np.add.reduceat(new_code.astype(np.int64), starts) > 1)
-            kind = np.where(owner < ids, WHOLE, np.where(shared[grams], PARTLY, -1)).astype(np.int32)
-        keep = kind >= 0
-        if keep.any():
-            columns = [pa.array(kind[keep])]
-            columns += [pa.array(table.column(c).to_numpy()[keep]) for c in names]
-            yield pa.RecordBatch.from_arrays(columns, ["kind", *names])
-
-
-def judged_runs(rows: DataFrame, buckets: int) -> DataFrame:
+def _equal(*keys: np.ndarray) -> np.ndarray:
+    """True where a row's keys are those of the row before."""
+    same = np.ones(max(len(keys[0]) - 1, 0), bool)
+    for k in keys:
+        same &= k[1:] == k[:-1]
+    return np.append(False, same)[: len(keys[0])]
+
+
+def _judged(batches: Iterator[pa.RecordBatch], buckets: Buckets) -> Iterator[pa.RecordBatch]:
+    """Kinds of the runs of a bucket; runs that are alone give no row."""
+    names = [f.split()[0] for f in RUNS.split(", ")][1:]
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    table = pa.Table.from_batches(held)
+    del held
+    gram = table.column("gram").to_numpy()
+    # multikey quicksort: the next key only for those that share the last
+    order = np.argsort(gram)
+    same = _equal(gram[order])
+    # a run of a hot gram may have its like in another bucket
+    order = order[same | np.append(same[1:], False) | buckets.is_hot(gram[order])]
+    table = table.select(names).take(pa.array(order))
+    gram, code, ids = (table.column(c).to_numpy() for c in names[:3])
+    order = np.lexsort((ids, code, gram))
+    gram, code, ids = gram[order], code[order], ids[order]
+    if not len(gram):
+        return
+    new_gram = ~_equal(gram)
+    new_code = ~_equal(gram, code)
+    grams, codes = np.cumsum(new_gram) - 1, np.cumsum(new_code) - 1
+    least = ids[new_code][codes]  # the smallest id of a code stands first
+    starts = np.flatnonzero(new_gram)
+    several = np.maximum.reduceat(ids, starts) != np.minimum.reduceat(ids, starts)
+    shared = several & (np.add.reduceat(new_code.astype(np.int64), starts) > 1)
+    rest = np.where(buckets.is_hot(gram), OPEN, np.where(shared[grams], PARTLY, -1))
+    kind = np.where(least < ids, WHOLE, rest).astype(np.int32)
+    keep = kind >= 0
+    table = table.take(pa.array(order[keep])).add_column(0, "kind", pa.array(kind[keep]))
+    yield from table.combine_chunks().to_batches(max_chunksize=1 << 16)
+
+
+def judged_runs(rows: DataFrame, buckets: Buckets) -> DataFrame:
     """Runs that an earlier document has as a whole, and runs to be compared string by string."""
-    runs = rows.select("id", "tag", "text").mapInArrow(partial(_runs, chunk=CHUNK), RUNS)
-    order = ["gram", "code", "id"]
-    found = runs.repartitionByRange(buckets, *order).sortWithinPartitions(*order).mapInArrow(partial(_judged, limit=GROUP), FOUND)
-    found = stage(found, "judged-runs")
+    runs = rows.select("id", "tag", "text").mapInArrow(partial(_runs, chunk=CHUNK, buckets=buckets), RUNS)
+    dealt = runs.repartitionById(len(buckets), F.col("bucket"))
+    found = stage(dealt.mapInArrow(partial(_judged, buckets=buckets), FOUND), "judged-runs")
+    if not len(buckets.hot):
+        return found
     still = found.where(F.col("kind") == OPEN).drop("kind")
     codes = stage(still.groupBy("gram", "code").agg(F.min("id").alias("owner"), F.max("id").alias("last")), "open-codes")
     grams = codes.groupBy("gram").agg(
@@ -216,38 +250,32 @@ def judged_runs(rows: DataFrame, buckets: int) -> DataFrame:
     return stage(found.where(F.col("kind") != OPEN).unionByName(closed), "runs")
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _texts(batches: Iterator[pa.RecordBatch], buckets: Buckets) -> Iterator[pa.RecordBatch]:
     """The bytes under every run that is to be compared."""
+    names = [f.split()[0] for f in PIECE.split(", ")]
     for batch in slices(batches, size=SLICE):
-        out: dict[str, list] = {"gram": [], "id": [], "tag": [], "at": [], "n": [], "text": []}
-        size = 0
-        for i in range(batch.num_rows):
-            text = batch.column("text")[i].as_py().encode()
-            runs, own, tag = batch.column("runs")[i], batch.column("id")[i].as_py(), batch.column("tag")[i].as_py()
-            for r in runs.values.to_pylist() if runs.is_valid else []:
-                out["gram"].append(r["gram"])
-                out["id"].append(own)
-                out["tag"].append(tag)
-                out["at"].append(r["at"])
-                out["n"].append(r["n"])
-                out["text"].append(text[r["at"] : r["at"] + r["n"] + WIDTH - 1])
-                size += 150
-                if size > SLICE:
-                    yield _piece(out)
-                    size = 0
-        if size:
-            yield _piece(out)
-
-
-PIECE = "gram long, id long, tag long, at int, n int, text binary"
-
-
-def _piece(out: dict[str, list]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-    columns = [pa.array(v, t) for v, t in zip(out.values(), kinds)]
-    for v in out.values():
-        v.clear()
-    return pa.RecordBatch.from_arrays(columns, list(out))
+        lists = batch.column("runs")
+        runs = lists.flatten()
+        row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy())
+        gram, place = runs.field("gram").to_numpy(), runs.field("place").to_numpy()
+        texts = [t.encode() for t in batch.column("text").to_pylist()]
+        at, n = place >> BITS, place & (1 << BITS) - 1
+        parts = [texts[r][a : a + k + WIDTH - 1] for r, a, k in zip(row.tolist(), at.tolist(), n.tolist())]
+        own = batch.column("id").take(pa.array(row))
+        columns = [
+            pa.array(buckets.of(gram, own.to_numpy() + 0)),
+            pa.array(gram),
+            own,
+            batch.column("tag").take(pa.array(row)),
+            pa.array(place),
+            pa.array(parts, pa.binary()),
+        ]
+        piece = pa.RecordBatch.from_arrays(columns, names)
+        # rows of one id may differ in text and still share a tag
+        yield piece.filter(pa.array([len(p) == k + WIDTH - 1 for p, k in zip(parts, n.tolist())], pa.bool_()))
+
+
+PIECE = "bucket int, gram long, id long, tag int, place long, text binary"
 
 
 def equal_strings(data: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -280,123 +308,154 @@ def equal_strings(data: np.ndarray, places: np.ndarray) -> np.ndarray:
     return group
 
 
-STRINGS = "kind int, gram long, id long, tag long, at int, n int, text binary"
-
-
-def _compared(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
-    """Removed strings of a bucket, as (first, how many), and what is open at its boundaries."""
-    names = [f.split()[0] for f in STRINGS.split(", ")]
-    for table, boundary in _groups(batches, limit):
-        if boundary:
-            table = table.combine_chunks()
-            for part in table.to_batches():
-                kind = pa.array(np.full(part.num_rows, OPEN, np.int32))
-                yield pa.RecordBatch.from_arrays([kind, *(part.column(c) for c in names[1:])], names)
-            continue
-        texts = table.column("text").combine_chunks()
-        data = np.frombuffer(b"".join(texts.to_pylist()), np.uint8)
-        n = table.column("n").to_numpy().astype(np.int64)
-        start = np.cumsum(n + WIDTH - 1) - (n + WIDTH - 1)
-        row = np.repeat(np.arange(len(n)), n)
-        inside = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        group = equal_strings(data, start[row] + inside)
-        ids = table.column("id").to_numpy()[row]
-        order = np.lexsort((ids, group))
-        new = np.append(True, group[order][1:] != group[order][:-1])
-        least = np.empty(len(ids), np.int64)
-        least[order] = ids[order][new][np.cumsum(new) - 1]
-        gone = least < ids
-        # neighbours that go are one row
-        opens = gone & ~np.append(False, gone[:-1] & (row[1:] == row[:-1]))
-        run = np.cumsum(opens) - 1
+STRINGS = "kind int, id long, tag int, place long, text binary"
+
+
+def _compared(batches: Iterator[pa.RecordBatch], buckets: Buckets) -> Iterator[pa.RecordBatch]:
+    """Removed strings of a bucket, and what its hot grams leave open."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    table = pa.Table.from_batches(held).sort_by("gram")
+    del held
+    gram = table.column("gram").to_numpy()
+    # grams are compared by themselves, so a bucket can be worked off in pieces of whole ones
+    starts = np.flatnonzero(~_equal(gram))
+    cuts = starts[np.unique(np.searchsorted(starts, np.arange(0, len(gram), PIECE_ROWS)).clip(max=len(starts) - 1))]
+    cuts = np.unique(np.append(cuts, [0, len(gram)]))
+    for a, b in zip(cuts, cuts[1:]):
+        yield from _compare(table.slice(a, b - a), buckets)
+
+
+def _compare(table: pa.Table, buckets: Buckets) -> Iterator[pa.RecordBatch]:
+    texts = table.column("text").to_pylist()
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    place = table.column("place").to_numpy()
+    at, n = place >> BITS, place & (1 << BITS) - 1
+    start = np.cumsum(n + WIDTH - 1) - (n + WIDTH - 1)
+    row = np.repeat(np.arange(len(n)), n)
+    inside = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    group = equal_strings(data, start[row] + inside)
+    ids = table.column("id").to_numpy()[row]
+    order = np.lexsort((ids, group))
+    new = ~_equal(group[order])
+    least = np.empty(len(ids), np.int64)
+    least[order] = ids[order][new][np.cumsum(new) - 1]
+    gone = least < ids
+    still = ~gone & buckets.is_hot(table.column("gram").to_numpy())[row]
+    for kind, chosen in ((WHOLE, gone), (OPEN, still)):
+        # neighbours are one row
+        opens = chosen & ~(np.append(False, chosen[:-1]) & _equal(row))
         first = np.flatnonzero(opens)
         if not len(first):
             continue
-        count = np.bincount(run[gone], minlength=len(first))
+        count = np.bincount((np.cumsum(opens) - 1)[chosen], minlength=len(first))
         own = row[first]
+        inner = inside[first]
         columns = [
-            pa.array(np.full(len(first), WHOLE, np.int32)),
-            table.column("gram").combine_chunks().take(pa.array(own)),
-            table.column("id").combine_chunks().take(pa.array(own)),
-            table.column("tag").combine_chunks().take(pa.array(own)),
-            pa.array((table.column("at").to_numpy()[own] + inside[first]).astype(np.int32)),
-            pa.array(count.astype(np.int32)),
-            pa.nulls(len(first), pa.binary()),
+            pa.array(np.full(len(first), kind, np.int32)),
+            *(table.column(c).take(pa.array(own)).combine_chunks() for c in ("id", "tag")),
+            pa.array((at[own] + inner) << BITS | count),
+            pa.array(
+                [texts[r][i : i + k + WIDTH - 1] if kind == OPEN else None for r, i, k in zip(own.tolist(), inner.tolist(), count.tolist())],
+                pa.binary(),
+            ),
         ]
-        yield pa.RecordBatch.from_arrays(columns, names)
+        yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in STRINGS.split(", ")])
 
 
-def compared_strings(rows: DataFrame, runs: DataFrame, buckets: int) -> DataFrame:
-    """Strings of partly shared runs that an earlier document has, as ``id, tag, at, n``."""
-    asked = runs.where(F.col("kind") == PARTLY).groupBy("id", "tag").agg(
-        F.collect_list(F.struct("gram", "at", "n")).alias("runs")
-    )
+#: Runs compared at once, if their grams allow.
+PIECE_ROWS = 1 << 14
+
+
+def compared_strings(rows: DataFrame, runs: DataFrame, spread: int) -> DataFrame:
+    """Strings of partly shared runs that an earlier document has, as ``id, tag, place``."""
+    partly = runs.where(F.col("kind") == PARTLY)
+    count = partly.count()
+    buckets = sampled(partly, "gram", max(spread, -(-count * (WIDTH + RUN) // TEXT_BYTES)))
+    asked = partly.groupBy("id", "tag").agg(F.collect_set(F.struct("gram", "place")).alias("runs"))
     texts = rows.join(asked, ["id", "tag"]).select("id", "tag", "text", "runs")
-    pieces = stage(texts.mapInArrow(_texts, PIECE), "run-texts")
-    found = pieces.repartitionByRange(buckets, "gram", "id").sortWithinPartitions("gram", "id")
-    found = stage(found.mapInArrow(partial(_compared, limit=GROUP // RUN), STRINGS), "compared-strings")
-    place = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k")
-    still = found.where(F.col("kind") == OPEN).select("id", "tag", "at", "text", place)
-    still = still.select("id", "tag", (F.col("at") + F.col("k")).alias("at"), F.expr(f"substring(text, k + 1, {WIDTH})").alias("string"))
-    still = stage(still, "open-strings")
-    least = still.groupBy("string").agg(F.min("id").alias("least"))
-    closed = still.join(least, "string").where("least < id").select("id", "tag", "at", F.lit(1).alias("n"))
-    return found.where(F.col("kind") == WHOLE).select("id", "tag", "at", "n").unionByName(closed)
+    pieces = texts.mapInArrow(partial(_texts, buckets=buckets), PIECE)
+    dealt = pieces.repartitionById(len(buckets), F.col("bucket"))
+    found = stage(dealt.mapInArrow(partial(_compared, buckets=buckets), STRINGS), "compared-strings")
+    gone = found.where(F.col("kind") == WHOLE).select("id", "tag", "place")
+    if not len(buckets.hot):
+        return gone
+    # one row per hot string and bucket, of its smallest id there
+    k = F.explode(F.expr(f"sequence(0, cast(place & {(1 << BITS) - 1} as int) - 1)")).alias("k")
+    still = found.where(F.col("kind") == OPEN).select("id", "tag", "place", "text", k)
+    string = F.expr(f"substring(text, k + 1, {WIDTH})").alias("string")
+    own = F.expr(f"shiftleft(shiftright(place, {BITS}) + k, {BITS}) + 1").alias("place")
+    still = stage(still.select("id", "tag", own, string), "open-strings")
+    least = still.groupBy("string").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+    closed = still.join(least.drop("most"), "string").where("least < id")
+    return gone.unionByName(closed.select("id", "tag", "place"))
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id`` (null as the largest), ``tag`` of the text, and ``text``, beside the own ``doc_id``."""
     text = F.coalesce(col_of(text_col), F.lit(""))
     number: Column = F.coalesce(col_of(id_col).cast("long"), F.lit(LAST))
-    return docs.select(col_of(id_col).alias("doc_id"), number.alias("id"), F.xxhash64(text).alias("tag"), text.alias("text"))
+    return docs.select(col_of(id_col).alias("doc_id"), number.alias("id"), F.hash(text).alias("tag"), text.alias("text"))
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, tag`` of documents that lose bytes, with the strings (first, how many) that go."""
     rows = keyed(docs, id_col, text_col)
-    # the number of buckets steers the spread only
+    # sizes and samples steer the spread only
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(2 * docs.sparkSession.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
-    runs = judged_runs(rows, buckets)
-    strings = compared_strings(rows, runs, buckets)
-    gone = runs.where(F.col("kind") == WHOLE).select("id", "tag", "at", "n").unionByName(strings)
-    return gone.groupBy("id", "tag").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
-
-
-def _kept(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
-    """What is left of a text, the bytes removed, and the maximal runs they form."""
-    mark = np.zeros(len(text) + 1, np.int64)
-    for at, n in spans:
-        mark[at] += 1
-        mark[at + n + WIDTH - 1] -= 1
-    gone = np.cumsum(mark)[:-1] > 0
-    starts = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-    return np.frombuffer(text, np.uint8)[~gone].tobytes(), int(gone.sum()), starts
+    spread = 2 * docs.sparkSession.sparkContext.defaultParallelism
+    some = rows.sample(False, min(1.0, SAMPLE_BYTES / max(size, 1)), seed=1).select("id", "tag", "text")
+    grams = some.mapInArrow(partial(_runs, chunk=CHUNK, buckets=Buckets([])), RUNS)
+    runs = judged_runs(rows, sampled(grams, "gram", max(spread, -(-size // BUCKET_BYTES))))
+    strings = compared_strings(rows, runs, spread)
+    gone = runs.where(F.col("kind") == WHOLE).select("id", "tag", "place").unionByName(strings)
+    return gone.groupBy("id", "tag").agg(F.collect_list("place").alias("spans"))
+
+
+def _kept(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Sizes, removed bytes, the maximal runs they form, and what is left of every text."""
+    texts = [t.encode() for t in batch.column("text").to_pylist()]
+    lengths = np.array([len(t) for t in texts], np.int64)
+    # every text has one byte more, which is never removed and parts it from the next
+    begin = np.cumsum(lengths + 1) - lengths - 1
+    lists = batch.column("spans")
+    place = lists.flatten().to_numpy()
+    row = np.repeat(np.arange(len(texts)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+    first, last = place >> BITS, (place >> BITS) + (place & (1 << BITS) - 1) + WIDTH - 1
+    first, last = (np.minimum(x, lengths[row]) + begin[row] for x in (first, last))
+    total = int((lengths + 1).sum())
+    mark = np.bincount(first, minlength=total + 1) - np.bincount(last, minlength=total + 1)
+    gone = np.cumsum(mark)[:total] > 0
+    opens = gone & ~np.append(False, gone[:-1])
+    ends = begin + lengths + 1
+    before = np.concatenate([[0], np.cumsum(gone)])
+    runs = np.concatenate([[0], np.cumsum(opens)])
+    n = before[ends] - before[begin]
+    left = [
+        t if not k else np.frombuffer(t, np.uint8)[~gone[a : a + len(t)]].tobytes()
+        for t, k, a in zip(texts, n.tolist(), begin.tolist())
+    ]
+    columns = [
+        batch.column("doc_id"),
+        pa.array(lengths),
+        pa.array(n),
+        pa.array(runs[ends] - runs[begin]),
+        pa.array(left, pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
 def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document row its bytes, those removed, the runs they form, and the remaining bytes."""
     rows = keyed(docs, id_col, text_col)
     spans = stage(removed(docs, id_col, text_col), "removed-spans")
-    # only texts that lose something meet their spans, the others pass by
     both = rows.join(spans, ["id", "tag"], "left").select("doc_id", "text", "spans")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, size=SLICE):
-            texts = [t.encode() for t in batch.column("text").to_pylist()]
-            lists = batch.column("spans").to_pylist()
-            found = [
-                _kept(t, [(s["at"], s["n"]) for s in spans]) if spans else (t, 0, 0) for t, spans in zip(texts, lists)
-            ]
-            columns = [
-                batch.column("doc_id"),
-                pa.array([len(t) for t in texts], pa.int64()),
-                pa.array([f[1] for f in found], pa.int64()),
-                pa.array([f[2] for f in found], pa.int64()),
-                pa.array([f[0] for f in found], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+            yield _kept(batch)
 
     return both.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
 

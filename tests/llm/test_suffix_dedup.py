@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tabwright.llm import suffix_dedup
-from tabwright.llm.suffix_dedup import WIDTH, cut, digest, equal_strings, runs_of
+from tabwright.llm.suffix_dedup import WIDTH, Buckets, cut, digest, equal_strings, runs_of
 
 SCHEMA = "doc_id long, text string, id string, tag long, gram long"
 
@@ -62,23 +62,32 @@ def test_against_brute_force(spark):
     check(spark, copies())
 
 
-def test_every_gram_at_a_boundary(spark, monkeypatch):
-    # one gram for nearly all runs: all is open, and compared across boundaries
-    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 60)
+def test_many_small_buckets(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 500)
+    monkeypatch.setattr(suffix_dedup, "TEXT_BYTES", 2000)
+    monkeypatch.setattr(suffix_dedup, "SPLITTERS", 40)
     check(spark, copies(6))
 
 
-@pytest.mark.parametrize("limit", [1, 40])
-def test_hot_passage(spark, limit):
-    rng = random.Random(limit)
+@pytest.mark.parametrize("bucket", [2000, 16 << 20])
+def test_hot_passage(spark, monkeypatch, bucket):
+    # small buckets: its grams fill several, and are compared across their boundaries
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", bucket)
+    monkeypatch.setattr(suffix_dedup, "TEXT_BYTES", bucket)
+    rng = random.Random(bucket)
     hot = prose(rng, 30)
     docs = [(i, f"{prose(rng, 6)} {hot} {prose(rng, 6)}") for i in range(150)] + [(500 + i, hot) for i in range(50)]
-    old = suffix_dedup.GROUP
-    suffix_dedup.GROUP = limit * suffix_dedup.RUN
-    try:
-        check(spark, docs)
-    finally:
-        suffix_dedup.GROUP = old
+    check(spark, docs)
+
+
+def test_a_hot_gram_is_dealt_over_its_ranges():
+    buckets = Buckets([-5, 3, 3, 3, 9], fine=2)
+    gram = np.array([-9, -5, 0, 3, 3, 3, 3, 3, 3, 4, 10], np.int64)
+    found = buckets.of(gram, np.arange(11))
+    assert len(buckets) == 12 and buckets.hot.tolist() == [3]
+    ranges = found // 2
+    assert ranges[[0, 1, 2]].tolist() == [0, 0, 1] and ranges[[9, 10]].tolist() == [4, 5]
+    assert set(ranges[3:9]) <= {1, 2, 3} and len(set(ranges[3:9])) > 1
 
 
 def test_awkward_texts(spark):
