@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import tempfile
 from collections.abc import Iterator
 from functools import cache
 
@@ -35,10 +34,11 @@ from pyspark.sql import DataFrame
 from tabwright.llm.common import narrow, slices
 from tabwright.llm.pieces import cut, gather
 
-#: Bytes of words merged by one query, and words that a worker remembers.
-WORD_BYTES = 300_000
-MEMORY = 500_000
-SLICE = 6 << 20
+#: Bytes of words merged by one query.
+WORD_BYTES = 200_000
+#: Words that a worker remembers, in two generations of this size: at most about 25 MB each.
+MEMORY = 100_000
+SLICE = 3 << 20
 TOKENS = "doc_id {kind}, ids array<int>, decoded binary"
 
 MERGE = """
@@ -46,24 +46,25 @@ with recursive t(w, g, id, len, live) as (
     select w, g, id, 1, true from bytes_of_words
     union all (
         with p as materialized (
+            -- places leave a gap after every word, so that neighbours are of one word
             select a.w, a.g, a.len as l1, b.len as l2, m.merged
-            from t a join t b on b.g = a.g + a.len and b.w = a.w
-            join merges m on m.pair = a.id::bigint * 4294967296 + b.id
+            from t a join t b on b.g = a.g + a.len join merges m on m.pair = (a.id::bigint << 32) + b.id
             where a.live
         ),
         best as materialized (select w, min(merged) as merged from p group by w),
-        hit as (
-            select p.w, p.g, p.l1, p.l2, p.merged,
-                case when p.g = lag(p.g + p.l1) over (order by p.g) then 0 else 1 end as opens
-            from p join best on best.w = p.w and best.merged = p.merged
+        hit as materialized (
+            select p.w, p.g, p.l1, p.l2, p.merged from p join best on best.w = p.w and best.merged = p.merged
         ),
-        run as (select *, sum(opens) over (order by g) as r from hit),
-        -- overlapping pairs stand in one run: every other one is contracted
-        picked as materialized (
-            select w, g, l1, l2, merged
-            from (select *, row_number() over (partition by r order by g) as k from run)
-            where k % 2 = 1
+        -- pairs that overlap stand in one run, of which every other one is contracted; they are rare
+        tied as materialized (
+            select a.g as g, b.g as next from hit a join hit b on b.g = a.g + a.l1
         ),
+        ties as (select g, min(opens) as opens from (select g, 1 as opens from tied union all select next, 0 from tied) group by g),
+        run as (select g, sum(opens) over (order by g) as r from ties),
+        second as (
+            select g from (select g, row_number() over (partition by r order by g) as k from run) where k % 2 = 0
+        ),
+        picked as materialized (select * from hit where g not in (select g from second)),
         edits as materialized (
             select g, merged, l1 + l2 as len from picked union all select g + l1, -1, 0 from picked
         )
@@ -88,9 +89,8 @@ class Coder:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.find = regex.compile(pattern).findall
-        self.db = duckdb.connect(
-            config={"threads": 1, "memory_limit": "256MB", "temp_directory": tempfile.mkdtemp(prefix="bpe-")}
-        )
+        # a batch of words takes a few MB; only a single word of many MB needs more, and nothing is spilt
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "1GB", "temp_directory": ""})
         pairs, merged = [], []
         for token, rank in ranks.items():
             for k in range(1, len(token)):
@@ -106,6 +106,7 @@ class Coder:
         )
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _table(self, name: str, **columns: pa.Array) -> None:
         source = pa.table(columns)  # noqa: F841  read by name
@@ -115,7 +116,7 @@ class Coder:
         """Ids of every word by the recursive query, 32 bits each."""
         flat = np.frombuffer(b"".join(words), np.uint8)
         w = np.repeat(np.arange(len(words), dtype=np.int32), [len(x) for x in words])
-        place = np.arange(len(flat), dtype=np.int32)
+        place = np.arange(len(flat), dtype=np.int32) + w
         self._table("bytes_of_words", w=pa.array(w), g=pa.array(place), id=pa.array(self.byte[flat]))
         rows = self.db.sql(MERGE).fetchnumpy()
         at = (4 * np.searchsorted(rows["w"], np.arange(len(words) + 1))).tolist()
@@ -124,9 +125,9 @@ class Coder:
 
     def words(self, words: list[str]) -> None:
         """Learns the ids of words not met before."""
-        if len(self.known) + len(words) > MEMORY:
-            self.known.clear()
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
+        missing = [w for w in dict.fromkeys(words) if w not in self.known]
+        self.known.update((w, self.older[w]) for w in missing if w in self.older)
+        new = [w for w in missing if w not in self.known]
         batch, size = [], 0
         for k, w in enumerate(new):
             batch.append(w.encode())
@@ -136,21 +137,23 @@ class Coder:
                 self.known.update(zip(names, self.merge(batch)))
                 batch, size = [], 0
 
+    def forget(self, most: int = MEMORY) -> None:
+        """What has not been met since the last time goes, once there are ``most`` newer words."""
+        if len(self.known) > most:
+            self.known, self.older = {}, self.known
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts and where each text begins."""
         pieces, codes, offsets = cut(texts)
-        parts, open_at = [], []
+        names = pieces.to_pylist()
         # most pieces are one word, met before
-        for k, got in enumerate(map(self.known.get, pieces := pieces.to_pylist())):
-            parts.append(got)
-            if got is None:
-                open_at.append(k)
-        for lo in range(0, len(open_at), MEMORY // 8):
-            some = open_at[lo : lo + MEMORY // 8]
-            found = [self.find(pieces[k]) for k in some]
-            self.words([w for words in found for w in words])
-            for k, words in zip(some, found):
-                parts[k] = b"".join(map(self.known.__getitem__, words))
+        parts = list(map(self.known.get, names))
+        open_at = [k for k, got in enumerate(parts) if got is None]
+        found = [self.find(names[k]) for k in open_at]
+        self.words([w for words in found for w in words])
+        for k, words in zip(open_at, found):
+            parts[k] = b"".join(map(self.known.__getitem__, words))
+        self.forget()
         sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         flat = np.frombuffer(b"".join(parts), "<i4")
         starts = np.concatenate([[0], np.cumsum(sizes)])
@@ -181,8 +184,7 @@ def _slices(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Itera
         ids, at = run.encode(batch.column("text"))
         yield batch, ids, at, run.decode(ids, at)
     # workers live on for other stages, which need the memory
-    if len(run.known) > MEMORY // 2:
-        run.known.clear()
+    run.older = {}
     pa.default_memory_pool().release_unused()
 
 
