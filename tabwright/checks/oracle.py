@@ -614,6 +614,15 @@ ORACLE: dict[str, str] = {
       with {SCORED} select event_id, ts, user_id, event_type, {sig("value")} as value, props, label,
         {sig("p_one")} as p_one, prediction, rival_prediction from scored""",
     "x1_stream_score_model": "select event_id, true as same from events",
+    "x1_stream_follows_alias": f"""
+      select event_id, cast(case when {split("event_id", [0.5, 0.5], ["early", "late"])} = 'early'
+                                 then 1 else 2 end as integer) as model_version, true as same
+      from events""",
+    "j1_pit_stream": PIT,
+    "x2_stream_unanswered": f"""
+      with {SCORED} select s.event_id, s.prediction, l.true_label
+      from scored s left join {LATE_LABELS} l on s.event_id = l.event_id and s.event_id % 3 <> 0
+      where s.event_type = 'purchase'""",
     "x2_stream_late_labels": f"""
       with {SCORED} select s.event_id, s.ts, s.prediction, l.label_ts, l.true_label
       from scored s join {LATE_LABELS} l on s.event_id = l.event_id""",

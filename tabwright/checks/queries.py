@@ -23,6 +23,7 @@ from tabwright.sources.fixtures import (
     view_features,
 )
 from tabwright.spec import FeatureLookup, FeatureSpec
+from tabwright.streaming import lookup as stream_lookup
 from tabwright.streaming import scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -729,6 +730,108 @@ def x2_stream_late_labels(spark, sf_dir):
     )
 
 
+@query
+def x1_stream_follows_alias(spark, sf_dir):
+    """Events arrive in two parts, with a swap of the champion between them."""
+    spec = FeatureSpec(("value",), ("event_type",), "label", ("event_id",))
+    batch = stage_of(rule_scored_events(spark, sf_dir))
+    models = registry.ModelRegistry(spark, work_path(spark, "registry"), "events")
+    fitted = [
+        training.fit_classifier(batch.withColumn("label", label), spec, training.SEED_PARAMETERS, training.boosted_trees(trees=3))
+        for label in (F.col("label"), F.lit(1) - F.col("label"))
+    ]
+    versions = [models.register(m, registry.signature_of(batch)) for m in fitted]
+    folder, path, checkpoint = (work_path(spark, f"alias-{n}") for n in ("events", "scored", "checkpoint"))
+    events = table(spark, sf_dir, "events")
+    parts = split.hash_split(events, (0.5, 0.5), SEED, ["event_id"])
+    for version, part in zip(versions, parts):
+        models.set_alias("champion", version)
+        part.write.mode("append").parquet(folder)
+        stream = scoring.parquet_stream(spark, folder, events.schema)
+        scoring.score_stream_by_alias(stream, models, "champion", spec, path, checkpoint).awaitTermination()
+    in_batch = [
+        training.score(m, events, spec).select(
+            "event_id", F.lit(v).alias("model_version"), F.col("prediction").alias("batch_prediction")
+        )
+        for v, m in zip(versions, fitted)
+    ]
+    return (
+        spark.read.parquet(path)
+        .join(in_batch[0].unionByName(in_batch[1]), ["event_id", "model_version"], "left")
+        .select("event_id", "model_version", F.col("prediction").eqNullSafe(F.col("batch_prediction")).alias("same"))
+    )
+
+
+def micros(column: str) -> Column:
+    return F.unix_micros(F.col(column).cast("timestamp"))
+
+
+def events_in_parts(spark, sf_dir, parts: int = 3) -> DataFrame:
+    """Events as a stream of one file per span of time, and a last one that ends all waiting."""
+    events = table(spark, sf_dir, "events")
+    folder = work_path(spark, "event-parts")
+    first, last = events.agg(F.min(micros("ts")), F.max(micros("ts"))).first()
+    spans = events.withColumn("part", F.floor(parts * (micros("ts") - first) / (last - first + 1)))
+    spans = tables.stage(spans, "event-spans")
+    for k in range(parts):
+        spans.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(folder)
+    far = [F.lit(None).cast(events.schema[c].dataType).alias(c) for c in ("value", "props")]
+    last = events.agg((F.max("ts") + F.expr("INTERVAL 1000 DAYS")).alias("ts"))
+    last = last.select(
+        "ts",
+        F.lit(-1).cast("bigint").alias("event_id"),
+        F.explode(F.array(F.lit("purchase"), F.lit("view"))).alias("event_type"),
+        *far,
+    ).withColumn("user_id", F.when(F.col("event_type") == "view", -1).otherwise(-2).cast("bigint"))
+    last.select(*events.columns).coalesce(1).write.mode("append").parquet(folder)
+    return scoring.parquet_stream(spark, folder, events.schema, files_per_batch=1)
+
+
+@query
+def j1_pit_stream(spark, sf_dir):
+    """The point-in-time lookup between two streams, complete once all events are in."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    facts = events_in_parts(spark, sf_dir).where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    views = events_in_parts(spark, sf_dir).where("event_type = 'view'").select(
+        "user_id", "ts", F.col("value").alias("last_value"), F.col("props").alias("last_props")
+    )
+    wanted = FeatureLookup(views, ("last_value", "last_props"), "user_id", "ts")
+    found = stream_lookup.point_in_time_stream(facts, wanted, "1 hour", matched_ts="feature_ts")
+    path = work_path(spark, "stream-looked-up")
+    spark.conf.set(key, stream_lookup.PROVIDER)
+    try:
+        stream = scoring.write_available(found, path, work_path(spark, "stream-checkpoint"))
+        return finished(spark, stream, path).where("event_id >= 0")
+    finally:
+        spark.conf.set(key, before)
+
+
+@query
+def x2_stream_unanswered(spark, sf_dir):
+    """Two of three predictions get a label; the others come out once it can no longer come."""
+    purchases = scoring.as_instant(
+        events_in_parts(spark, sf_dir).filter(F.col("event_type") == "purchase"), "ts"
+    )
+    predictions = purchases.select(
+        "event_id", "ts", F.when(F.col("value") > 50, 1).otherwise(0).alias("prediction")
+    )
+    labels = scoring.as_instant(
+        events_in_parts(spark, sf_dir).filter(F.col("event_type") == "purchase"), "ts"
+    ).where("event_id < 0 or event_id % 3 != 0")
+    labels = labels.select(
+        "event_id",
+        (F.col("ts") + F.expr("INTERVAL 2 HOURS")).alias("label_ts"),
+        F.when(F.hour("ts") < 12, 0).otherwise(1).alias("true_label"),
+    )
+    joined = scoring.join_late_labels_stream(
+        predictions, labels, ["event_id"], "ts", "label_ts", "3 HOURS", unanswered=True
+    )
+    path = work_path(spark, "stream-unanswered")
+    stream = scoring.write_available(joined, path, work_path(spark, "stream-checkpoint"))
+    return finished(spark, stream, path).where("event_id >= 0").select("event_id", "prediction", "true_label")
+
+
 # --- profile -------------------------------------------------------------------------
 
 ALERT_NUMERIC = ["o_orderkey", *NUMERIC]

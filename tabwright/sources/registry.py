@@ -3,21 +3,21 @@
 from __future__ import annotations
 
 import json
-import time
 import uuid
+from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.operators.metrics import max_version
+from tabwright.sources.commits import CommitLog, latest
 from tabwright.sources.tables import load_model, save_model
 
-VERSIONS = "model string, path string, signature string, run_id string, ts timestamp"
-ALIASES = "model string, alias string, version int, ts timestamp, seq long"
+#: a commit without alias registers a version, one with an alias moves it
+COMMITS = "model string, version int, path string, signature string, run_id string, alias string, ts timestamp"
 
 
 def current_aliases(events: DataFrame, ts: str = "ts", seq: str = "seq") -> DataFrame:
@@ -75,30 +75,33 @@ def schema_differences(df: DataFrame, signature: str) -> DataFrame:
 class ModelRegistry:
     """Versions of one named model under a path that all executors share.
 
-    Both tables are append-only; the current alias is the last one set. A model is saved
-    under a path of its own and numbered when the table is read, by time and path, so
-    trainings that register at once never share a folder or a number.
+    Registering a model and moving an alias are commits of one log (:mod:`tabwright.sources.commits`).
+    A version's number is part of its commit, and an alias names the version and the folder of its
+    model, so both mean the same model for good, whatever the writers' clocks say.
     """
 
     def __init__(self, spark: SparkSession, path: str, model: str):
         self.spark, self.path, self.model = spark, path.rstrip("/"), model
+        self.log = CommitLog(spark, f"{self.path}/log/{model}", COMMITS)
 
-    def _table(self, name: str, schema: str) -> DataFrame:
-        try:
-            rows = self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
-        return rows.filter(F.col("model") == self.model)
+    def _commit(self, make: Callable[[DataFrame], dict]) -> dict:
+        now = datetime.now(timezone.utc).isoformat()
+        return self.log.append(lambda rows: {"model": self.model, "ts": now, **make(rows)})
 
     def versions(self) -> DataFrame:
         """Every registered model with its ``version``, from 1; a row per model trained."""
-        order = Window.partitionBy("model").orderBy("ts", "path")
-        return self._table("versions", VERSIONS).withColumn("version", F.row_number().over(order))
+        rows = self.log.rows().filter(F.col("alias").isNull())
+        return rows.select("model", "path", "signature", "run_id", "ts", "version")
 
     def alias_events(self) -> DataFrame:
-        return self._table("aliases", ALIASES)
+        """Every move of an alias; ``seq`` is its place in the log."""
+        rows = self.log.rows().filter(F.col("alias").isNotNull())
+        return rows.select("model", "alias", "version", "path", "ts", F.col("number").alias("seq"))
+
+    def aliases(self) -> DataFrame:
+        """``alias, version, path``: what each alias means now."""
+        rows = self.log.rows().filter(F.col("alias").isNotNull())
+        return latest(rows, "alias", "version", "path")
 
     def latest_version(self) -> int:
         """The highest version number, 0 if there is none."""
@@ -106,26 +109,27 @@ class ModelRegistry:
 
     def register(self, model: PipelineModel, signature: str, run_id: str = "") -> int:
         target = save_model(model, f"{self.path}/models/{self.model}/{uuid.uuid4().hex}")
-        row = (self.model, target, signature, run_id, datetime.now(timezone.utc))
-        self.spark.createDataFrame([row], VERSIONS).write.mode("append").parquet(
-            f"{self.path}/versions"
-        )
-        return self.versions().filter(F.col("path") == target).first()["version"]
+
+        def make(rows: DataFrame) -> dict:
+            last = max_version(rows, "version").first()["max_version"] or 0
+            return {"path": target, "signature": signature, "run_id": run_id, "version": last + 1}
+
+        return self._commit(make)["version"]
 
     def set_alias(self, alias: str, version: int) -> None:
-        seq = time.time_ns()
-        row = (self.model, alias, version, datetime.now(timezone.utc), seq)
-        self.spark.createDataFrame([row], ALIASES).write.mode("append").parquet(
-            f"{self.path}/aliases"
-        )
+        target = self._row(version)["path"]
+        self._commit(lambda rows: {"alias": alias, "version": version, "path": target})
 
-    def version_of(self, alias: str) -> int:
-        row = current_aliases(self.alias_events()).filter(F.col("alias") == alias).first()
+    def _alias(self, alias: str) -> Row:
+        row = self.aliases().filter(F.col("alias") == alias).first()
         if row is None:
             raise KeyError(f"no version of {self.model!r} has the alias {alias!r}")
-        return row["version"]
+        return row
 
-    def _row(self, version: int):
+    def version_of(self, alias: str) -> int:
+        return self._alias(alias)["version"]
+
+    def _row(self, version: int) -> Row:
         row = self.versions().filter(F.col("version") == version).first()
         if row is None:
             raise KeyError(f"{self.model!r} has no version {version}")
@@ -135,7 +139,12 @@ class ModelRegistry:
         return load_model(self._row(version)["path"])
 
     def load(self, alias: str) -> PipelineModel:
-        return self.load_version(self.version_of(alias))
+        return load_model(self._alias(alias)["path"])
+
+    def load_with_version(self, alias: str) -> tuple[int, PipelineModel]:
+        """The alias's version and its model, of one reading of the log."""
+        row = self._alias(alias)
+        return row["version"], load_model(row["path"])
 
     def signature(self, alias: str) -> str:
         return self._row(self.version_of(alias))["signature"]
