@@ -1,8 +1,9 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from tabwright.llm.toxicity import keep_clean, learn, remainder, score, windows
+from tabwright.llm.toxicity import keep_clean, learn, remainder, score, strings, stretches, windows
 
 
 def corpus(n, seed=3):
@@ -68,3 +69,47 @@ def test_awkward_rows(spark, awkward, no_docs):
         assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in got)
         assert keep_clean(awkward, model).columns == awkward.columns
         assert score(no_docs, model).collect() == []
+
+
+def held_out(spark, rows):
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    got = score(docs, learn(docs, labels)).withColumn("r", remainder(F.col("doc_id"))).collect()
+    return {r["doc_id"]: r["predicted"] for r in got if r["r"] == 0}
+
+
+def test_stems_in_compounds_that_were_never_seen(spark):
+    rng = random.Random(11)
+    syllables = "ka lo mi ne ru ta vo sen dar pol tis gra".split()
+    words = ["".join(rng.choices(syllables, k=rng.randint(2, 4))) for _ in range(2000)]
+    rows, used = [], set()
+    for i in range(1000):
+        text, toxic = rng.choices(words, k=rng.randint(40, 120)), i % 3 == 0
+        for _ in range(4 if toxic else 0):
+            # no compound occurs twice in the whole corpus
+            while (w := rng.choice(("dreck", "schurk")) + "".join(rng.choices(syllables, k=3))) in used:
+                pass
+            used.add(w)
+            text.insert(rng.randrange(len(text)), w)
+        rows.append((i, " ".join(text), int(toxic)))
+    found = held_out(spark, rows)
+    for y in (0, 1):
+        part = [i for i, _, label in rows if i in found and label == y]
+        assert len(part) > 30 and sum(found[i] == y for i in part) >= 0.95 * len(part)
+
+
+def test_equal_texts_with_opposite_labels_count_as_toxic(spark):
+    rows = corpus(400)
+    marked = [r for r in rows if r[2] == 1]
+    # every toxic text again, marked as ordinary
+    both = rows + [(1000 + i, t, 0) for i, t, _ in marked]
+    found = held_out(spark, both)
+    part = [i for i, _, y in rows if i in found and y == 1]
+    assert len(part) > 10 and sum(found[i] for i in part) >= 0.9 * len(part)
+
+
+def test_strings_and_stretches():
+    text = b" abc dreckskerl xyz "
+    marks = {5: np.sort(strings(b"dreck", 5))}
+    assert stretches(text, marks) == [b"dreck"]
+    assert len(strings(text, 5)) == len(text) - 4 and len(strings(b"abc", 5)) == 0
