@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -100,9 +101,10 @@ def test_stems_in_compounds_that_were_never_seen(spark):
 
 def test_equal_texts_with_opposite_labels_count_as_toxic(spark):
     rows = corpus(400)
-    marked = [r for r in rows if r[2] == 1]
-    # every toxic text again, marked as ordinary
-    both = rows + [(1000 + i, t, 0) for i, t, _ in marked]
+    learnt = [(i, t) for i, t, y in rows if y and zlib.crc32(str(i).encode()) % 5]
+    # every toxic text that is learnt from again, marked as ordinary, also where it is learnt from
+    ids = (i for i in range(1000, 9000) if zlib.crc32(str(i).encode()) % 5)
+    both = rows + [(next(ids), t, 0) for _, t in learnt]
     found = held_out(spark, both)
     part = [i for i, _, y in rows if i in found and y == 1]
     assert len(part) > 10 and sum(found[i] for i in part) >= 0.9 * len(part)
