@@ -58,3 +58,46 @@ def block_sums(x: np.ndarray, y: np.ndarray, rhos: np.ndarray) -> np.ndarray:
             cell = np.einsum("in,inj->ij", density, np.diff(below, axis=2))
         sums.append(float((cell * cell / expected).sum()))
     return np.array(sums)
+
+
+#: Terms of the expansion of a bivariate normal in Hermite functions. What is left out of the sum
+#: of P^2 / expected is below rho^(2 TERMS) / (1 - rho^2).
+TERMS = 96
+#: Correlations up to which the expansion is used.
+HIGHEST = 0.97
+
+
+def coefficients(spans: np.ndarray, terms: int = TERMS) -> np.ndarray:
+    """For each level, with its share's beginning and end, the integrals of the normalised Hermite
+    functions 0 to ``terms``: a cell's share under correlation rho is ``sum_k rho^k a_k b_k``."""
+
+    def edges(shares: np.ndarray) -> np.ndarray:
+        z = cut_points(shares)
+        inside = (shares > 0) & (shares < 1)
+        density = np.where(inside, np.exp(-z * z / 2) / sqrt(2 * pi), 0.0)
+        out = np.zeros((len(z), terms + 1))
+        before, now = np.zeros_like(z), np.ones_like(z)
+        for k in range(1, terms + 1):
+            out[:, k] = now * density / sqrt(k)
+            before, now = now, (z * now - sqrt(k - 1) * before) / sqrt(k)
+        return out
+
+    found = edges(spans[:, 0]) - edges(spans[:, 1])
+    found[:, 0] = spans[:, 1] - spans[:, 0]
+    return found
+
+
+def level_sums(spans: np.ndarray, terms: int = TERMS) -> np.ndarray:
+    """What levels of one column add to its pair: ``sum a_k a_l / p`` for all k, l, then ``sum a_k / p``."""
+    a = coefficients(spans, terms)
+    share = (spans[:, 1] - spans[:, 0])[:, None]
+    return np.append(((a / share).T @ a).ravel(), (a / share).sum(0))
+
+
+def expected_sums(x: np.ndarray, y: np.ndarray, rhos: np.ndarray, terms: int = TERMS) -> tuple[np.ndarray, np.ndarray]:
+    """Per correlation the sums over all cells of P^2 / expected and of P / expected, from both
+    columns' :func:`level_sums`."""
+    k = terms + 1
+    squares = (x[: k * k] * y[: k * k]).reshape(k, k)
+    powers = np.asarray(rhos)[:, None] ** np.arange(k)
+    return np.einsum("rk,kl,rl->r", powers, squares, powers), powers @ (x[k * k :] * y[k * k :])

@@ -365,6 +365,99 @@ def _levels(cells: DataFrame, side: str, block: int) -> DataFrame:
     )
 
 
+def _pooled(cells: DataFrame, numbers: dict[int, tuple[bool, bool]]) -> DataFrame:
+    """Cells whose bins of numbers are joined with their neighbours up to ``sqrt(n)`` rows.
+
+    An almost empty cell of two rare bins weighs more than all others together. ``numbers`` says
+    per pair which of its sides are bins; levels of a category have no neighbours and stay.
+    """
+    for side, at in (("x", 0), ("y", 1)):
+        binned = [pair for pair, sides in numbers.items() if sides[at]]
+        if not binned:
+            continue
+        totals = cells.where(F.col("pair").isin(binned)).groupBy("pair", side).agg(F.sum("n").alias("n"))
+        # a column's bins are few
+        rows = totals.groupBy("pair").agg(
+            F.sort_array(F.collect_list(F.struct(F.col(side).cast("int").alias("k"), "n", side))).alias("bins")
+        )
+
+        def pool(batches, side=side):
+            for batch in batches:
+                out = []
+                for pair, bins in zip(batch["pair"], batch["bins"]):
+                    counts = np.array([b["n"] for b in bins])
+                    least, group, held, left = np.sqrt(counts.sum()), 0, 0, counts.sum()
+                    for b, n in zip(bins, counts):
+                        out.append((pair, b[side], f"{group}"))
+                        held, left = held + n, left - n
+                        if held >= least and left >= least:
+                            group, held = group + 1, 0
+                yield pd.DataFrame(out, columns=["pair", side, "pool"])
+
+        pools = rows.mapInPandas(pool, f"pair int, {side} string, pool string")
+        joined = cells.join(pools, ["pair", side], "left").withColumn(side, F.coalesce("pool", side))
+        cells = joined.groupBy("pair", "x", "y").agg(F.sum("n").alias("n"))
+    return cells
+
+
+def _normal_sums(cells: DataFrame, block: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Per pair what the levels of either column add to a bivariate normal's chi-square.
+
+    Levels are added, never multiplied: a column is one array, however many levels it has.
+    """
+
+    def add(batches):
+        for batch in batches:
+            out = []
+            for pair, side, spans in zip(batch["pair"], batch["side"], batch["spans"]):
+                at = np.array([(s["begin"], s["end"]) for s in spans])
+                out.append((pair, side, bivariate.level_sums(at)))
+            yield pd.DataFrame(out, columns=["pair", "side", "s"])
+
+    sides = [
+        _levels(cells, side, block).select("pair", F.lit(side).alias("side"), F.col(f"{side}_spans").alias("spans"))
+        for side in ("x", "y")
+    ]
+    parts = sides[0].unionByName(sides[1]).mapInPandas(add, "pair int, side string, s array<double>")
+    places = parts.select("pair", "side", F.posexplode("s").alias("k", "v"))
+    whole = places.groupBy("pair", "side", "k").agg(F.sum("v").alias("v")).groupBy("pair", "side")
+    found: dict[tuple[int, str], np.ndarray] = {}
+    for r in whole.agg(F.sort_array(F.collect_list(F.struct("k", "v"))).alias("s")).collect():
+        found[r["pair"], r["side"]] = np.array([e["v"] for e in r["s"]])
+    return {pair: (s, found[pair, "y"]) for (pair, side), s in found.items() if side == "x"}
+
+
+def _highest_sums(cells: DataFrame) -> dict[int, tuple[float, float]]:
+    """Per pair the same sums at correlation 1, where both columns rise together: cells are the
+    overlaps of the levels' shares."""
+    order = Window.partitionBy("pair").orderBy(F.expr("try_cast(level as int)"), "level")
+    marks = None
+    for side in ("x", "y"):
+        totals = cells.groupBy("pair", F.col(side).alias("level")).agg(F.sum("n").alias("n"))
+        begin = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+        own = totals.select("pair", begin.alias("at"), F.col("n").alias(f"n_{side}"))
+        marks = own if marks is None else marks.unionByName(own, allowMissingColumns=True)
+    # both columns' levels begin at most once at each place
+    marks = marks.groupBy("pair", "at").agg(F.max("n_x").alias("n_x"), F.max("n_y").alias("n_y"))
+    along = Window.partitionBy("pair").orderBy("at")
+    upto = along.rowsBetween(Window.unboundedPreceding, 0)
+    total = cells.groupBy("pair").agg(F.sum("n").alias("n"))
+    steps = marks.join(total, "pair").select(
+        "pair",
+        F.col("n").cast("double").alias("n"),
+        (F.lead("at").over(along) - F.col("at")).alias("more"),
+        (F.col("n") - F.col("at")).alias("rest"),
+        F.last("n_x", True).over(upto).cast("double").alias("x"),
+        F.last("n_y", True).over(upto).cast("double").alias("y"),
+    )
+    o = F.coalesce("more", "rest").cast("double")
+    sums = steps.groupBy("pair").agg(
+        F.sum(o * o / (F.col("x") * F.col("y"))).alias("squares"),
+        F.sum(F.col("n") * o / (F.col("x") * F.col("y"))).alias("singles"),
+    )
+    return {r["pair"]: (r["squares"], r["singles"]) for r in sums.collect()}
+
+
 def phi_k(
     df: DataFrame,
     numeric: Sequence[str],
@@ -375,78 +468,50 @@ def phi_k(
     """phi_k of column pairs: the correlation of a bivariate normal whose cells, with the same
     marginal shares, are as far from independence as the table's.
 
-    Chi-square runs from the noise pedestal, the degrees of freedom, at correlation 0 to
-    that of the normal at 1, in proportion to the normal's. The published definition
-    stretches the upper end to the greatest chi-square any table of that size can have;
-    with equal-width bins, whose sparse tails cannot reach it, figures would then change
-    with the number of bins, so that is left out. A pair below the pedestal has 0; one
-    with a single row or column, or whose pedestal leaves no room, has null. The normal is summed over blocks of levels by levels, so that a column of
-    many levels is many tasks; a few rounds narrow the correlations of all pairs together.
+    A table of ``n`` rows drawn from a normal has on average a chi-square above the normal's own, by the
+    noise of its cells: the degrees of freedom at correlation 0, more where cells are sparse. That
+    pedestal is taken from the same normal, and sparse bins of numbers are joined with their
+    neighbours, so figures agree between numbers of bins. The published definition takes the degrees of
+    freedom everywhere and stretches the upper end to the greatest chi-square a table of that size can
+    have; both make figures depend on the bins and are left out. A pair below the
+    pedestal has 0; one with a single row or column, or whose pedestal leaves no room, has null.
+
+    The normal is expanded in Hermite functions, in which the levels of both columns separate: work
+    and memory grow with levels, not with levels by levels, in blocks of ``block``. Above
+    ``bivariate.HIGHEST`` figures are interpolated up to correlation 1, which is exact.
     """
     pairs = all_pairs([*numeric, *categorical])
     if not pairs:
         return _no_pairs(df, "phi_k")
     binned, levels = _binned(df, numeric, categorical, bins)
-    cells = stage(pair_counts(binned, levels, pairs), "phi-k-cells")
+    numbers = set(numeric)
+    sides = {k: (a in numbers, b in numbers) for k, (a, b) in enumerate(pairs)}
+    cells = stage(_pooled(pair_counts(binned, levels, pairs), sides), "phi-k-cells")
     # one row per pair
     figures = {r["pair"]: r for r in _table_figures(cells).collect()}
-    found: dict[int, float | None] = {}
-    wanted: dict[int, tuple[float, float]] = {}
-    for pair, f in figures.items():
-        if min(f["r"], f["c"]) < 2:
-            found[pair] = None
-        else:
-            wanted[pair] = f["share"] - 1, (f["r"] - 1) * (f["c"] - 1) / f["n"]
-    if wanted:
-        grid = _levels(cells, "x", block).join(_levels(cells, "y", block).withColumnRenamed("block", "y_block"), "pair")
-        grid = stage(grid.select("pair", "x_spans", "y_spans"), "phi-k-blocks")
-        found |= _solve(grid, wanted)
+    wide = {pair for pair, f in figures.items() if min(f["r"], f["c"]) >= 2}
+    found: dict[int, float | None] = {pair: None for pair in figures if pair not in wide}
+    if wide:
+        kept = cells.where(F.col("pair").isin(list(wide)))
+        sums, highest = _normal_sums(kept, block), _highest_sums(kept)
+        found |= {pair: _correlation(figures[pair], *sums[pair], *highest[pair]) for pair in wide}
     rows = df.sparkSession.createDataFrame(list(found.items()), "pair int, phi_k double")
     return _named(df, pairs, rows, "phi_k")
 
 
-def _solve(
-    grid: DataFrame, wanted: dict[int, tuple[float, float]], rounds: int = 4, steps: int = 16
-) -> dict[int, float | None]:
-    """The correlation of each pair's normal, from its table's chi-square per row and pedestal."""
-    ends = {pair: (0.0, 1.0) for pair in wanted}
-    goals: dict[int, float] = {}
-    answer: dict[int, float | None] = {}
-    for _ in range(rounds):
-        rhos = {pair: np.linspace(*ends[pair], steps + 1) for pair in ends}
-
-        def evaluate(batches, rhos=rhos):
-            for batch in batches:
-                rows = []
-                for pair, xs, ys in zip(batch["pair"], batch["x_spans"], batch["y_spans"]):
-                    if pair in rhos:
-                        x, y = (np.array([(s["begin"], s["end"]) for s in side]) for side in (xs, ys))
-                        sums = bivariate.block_sums(x, y, rhos[pair])
-                        rows += [(pair, k, v) for k, v in enumerate(sums.tolist())]
-                yield pd.DataFrame(rows, columns=["pair", "k", "s"])
-
-        sums = grid.mapInPandas(evaluate, "pair int, k int, s double").groupBy("pair", "k").agg(F.sum("s").alias("s"))
-        values = {pair: np.zeros(steps + 1) for pair in ends}
-        for r in sums.collect():
-            values[r["pair"]][r["k"]] = r["s"] - 1
-        for pair, v in values.items():
-            if pair not in goals:
-                (phi2, least), top = wanted[pair], v[-1]
-                if least >= top:
-                    answer[pair] = None
-                    del ends[pair]
-                    continue
-                goals[pair] = top * min(max((phi2 - least) / (top - least), 0.0), 1.0)
-                if goals[pair] in (0.0, top):
-                    answer[pair] = 1.0 if goals[pair] else 0.0
-                    del ends[pair]
-                    continue
-            goal = goals[pair]
-            k = int(np.clip(np.searchsorted(np.maximum.accumulate(v), goal), 1, steps))
-            low, high = v[k - 1], v[k]
-            share = min(max((goal - low) / (high - low), 0.0), 1.0) if high > low else 1.0
-            ends[pair] = (rhos[pair][k - 1], rhos[pair][k])
-            answer[pair] = float(ends[pair][0] + share * (ends[pair][1] - ends[pair][0]))
-        if not ends:
-            break
-    return answer
+def _correlation(figures, x: np.ndarray, y: np.ndarray, squares: float, singles: float) -> float | None:
+    """The correlation at which a normal is expected to give a table's sum of o^2 / (row x column total)."""
+    n, r, c = (float(figures[k]) for k in ("n", "r", "c"))
+    if (r - 1) * (c - 1) / n >= squares - 1:
+        return None
+    rhos = np.linspace(0, bivariate.HIGHEST, 971)
+    two, one = bivariate.expected_sums(x, y, rhos)
+    two, one = np.append(two, squares), np.append(one, singles)
+    values = np.maximum.accumulate(two * (1 - 1 / n) + (one - r - c + 1) / n)
+    share = figures["share"]
+    if share <= values[0]:
+        return 0.0
+    # a table of a function of the other column has no noise
+    if share >= min(values[-1], squares):
+        return 1.0
+    return float(np.interp(share, values, np.append(rhos, 1.0)))

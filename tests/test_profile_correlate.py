@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.functions.bivariate import block_sums, normal_cdf
+from tabwright.functions.bivariate import block_sums, expected_sums, level_sums, normal_cdf
 from tabwright.operators import correlate, profile
 
 
@@ -113,6 +113,39 @@ def test_phi_k_recovers_a_normal_correlation(spark, rho):
     assert found[0] == pytest.approx(rho, abs=0.04)
 
 
+@pytest.mark.parametrize("rho", [0.0, 0.3, 0.6, 0.9])
+def test_phi_k_does_not_depend_on_the_bins(spark, rho):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=20_000)
+    y = rho * x + math.sqrt(1 - rho * rho) * rng.normal(size=20_000)
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "y": y})).persist()
+    found = [by_pair(correlate.phi_k(df, ["x", "y"], [], bins), "phi_k")["x", "y"] for bins in (10, 20, 40)]
+    # chi-square rises with the square: of no correlation it tells little
+    assert found == pytest.approx([rho] * 3, abs=0.02 if rho else 0.06)
+
+
+def test_separable_sums_equal_the_direct_ones():
+    rng = np.random.default_rng(1)
+    x, y = (np.append(0, np.cumsum(w / w.sum())) for w in (rng.random(7), rng.random(12)))
+    x, y = (np.stack([e[:-1], e[1:]], axis=1) for e in (x, y))
+    rhos = np.array([0.0, 0.4, 0.8, 0.95])
+    two, one = expected_sums(level_sums(x[:3]) + level_sums(x[3:]), level_sums(y), rhos)
+    assert two == pytest.approx(block_sums(x, y, rhos), rel=2e-3)
+    assert one[0] == pytest.approx(7 * 12)
+
+
+def test_phi_k_of_columns_of_many_levels_ends(spark):
+    rows = spark.range(300_000)
+    df = rows.select(
+        F.format_string("a%06d", F.col("id") % 100_000).alias("a"),
+        F.format_string("b%06d", F.col("id") % 100_000).alias("b"),
+        F.format_string("c%06d", F.xxhash64("id") % 50_000).alias("c"),
+    )
+    found = by_pair(correlate.phi_k(df, [], ["a", "b", "c"]), "phi_k")
+    assert found["a", "b"] == pytest.approx(1)
+    assert found["a", "c"] is None or found["a", "c"] < 0.1
+
+
 def test_phi_k_keeps_every_column(spark):
     rows = [(float(i % 50), f"g{i % 3}", f"w{i % 101}", f"id{i}", "one", i % 7 == 0) for i in range(3000)]
     df = spark.createDataFrame(rows, "n double, g string, wide string, id string, one string, flag boolean")
