@@ -45,7 +45,7 @@ STAGES = [
 ]
 
 #: Compression lengths, a forest and recursive merges are beyond SQL; tests/llm compares each
-#: stage with a brute-force version.
+#: stage with its operator, which is tested by itself.
 ORACLE_SQL = None
 
 

@@ -78,7 +78,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabwright.llm.token_files import read_token_files, write_token_files
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    folder, parts = write_token_files(table(spark, sf_dir, "documents"), path, end_id=2)
+    folder, parts = write_token_files(table(spark, sf_dir, "documents"), path, end_id=2, special_as_text=False)
     return read_token_files(spark, folder, parts, path)
 
 

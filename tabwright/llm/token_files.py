@@ -54,12 +54,15 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 class Encoder:
     """Ids of texts by a byte-level tokenizer file; a pre-token is encoded once per worker."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special_as_text: bool) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        #: strings that the library gives a token of their own, wherever they stand
+        self.whole = [] if special_as_text else [t.content for t in added]
         self.model = self.tokenizer.model
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
@@ -84,7 +87,7 @@ class Encoder:
         got = known.get(piece)
         if got is not None:
             return got
-        if piece and max(piece) >= STABLE:
+        if piece and (max(piece) >= STABLE or any(t in piece for t in self.whole)):
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
             return array(self.kind.char, ids).tobytes()
         out = []
@@ -113,8 +116,8 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, special_as_text: bool = True) -> Encoder:
+    return Encoder(path, special_as_text)
 
 
 def _open(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -138,13 +141,18 @@ def write_token_files(
     id_col: str = "doc_id",
     text_col: str = "text",
     folder: str | None = None,
+    special_as_text: bool = True,
 ) -> tuple[str, list[dict]]:
-    """Writes the files and returns their folder and manifest, one entry per part with its base."""
+    """Writes the files and returns their folder and manifest, one entry per part with its base.
+
+    Strings of special tokens are ordinary text, or, without ``special_as_text``, get their tokens,
+    as the library does when it is left as it is.
+    """
     spark = docs.sparkSession
     folder = folder or work_path(spark, "token-files")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, coder, files = TaskContext.get().partitionId(), encoder(tokenizer), None
+        part, coder, files = TaskContext.get().partitionId(), encoder(tokenizer, special_as_text), None
         n = total = 0
         for batch in slices(batches):
             if files is None:

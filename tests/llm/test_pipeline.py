@@ -2,8 +2,9 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.llm import bpe, queries
+from tabwright.llm import bpe
 from tabwright.llm.decontaminate import contamination, digest
+from tabwright.llm.minmax import near_duplicates
 from tabwright.llm.toxicity import learn, score
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
@@ -20,7 +21,7 @@ def test_stages_against_their_operators(spark, tiny):
     assert one.columns == docs.columns
     assert ids(one) == ids(score(docs, learn(docs, labels)).where("predicted = 0"))
     two = stages["near_dedup"](spark, docs, tiny)
-    assert ids(two) == ids(queries.QUERIES["op6_minmax_dedup"](spark, tiny).where("kept"))
+    assert ids(two) == ids(near_duplicates(docs, percent=80).where("kept"))
     three = stages["decontamination"](spark, docs, tiny)
     assert ids(three) == ids(digest(contamination(docs, bench)).where("not contaminated"))
     four = stages["secrets"](spark, docs, tiny)

@@ -31,3 +31,15 @@ def test_files_hold_what_the_library_gives(spark, awkward, no_docs):
     assert size == 2 * at
     folder, parts = write_token_files(no_docs, PATH)
     assert parts == [] and read_token_files(spark, folder, parts, PATH).collect() == []
+
+
+def test_special_strings_as_the_untouched_library_has_them(spark):
+    library = Tokenizer.from_file(PATH)
+    texts = ["hi <|endoftext|> you", "<|endoftext|>", "a  <|endoftext|>b<|endoftext|> é 漢<|endoftext|>\n x", "<|endoftext", "plain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    folder, parts = write_token_files(docs, PATH, end_id=2, special_as_text=False)
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in read_token_files(spark, folder, parts, PATH).collect()}
+    for i, t in enumerate(texts):
+        ids = library.encode(t, add_special_tokens=False).ids + [2]
+        assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    assert 50256 in library.encode(texts[0], add_special_tokens=False).ids
