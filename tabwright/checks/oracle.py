@@ -13,6 +13,7 @@ from tabwright.checks.queries import (
     NUMERIC,
     THRESHOLDS,
 )
+from tabwright.plans.training import SEED_PARAMETERS
 
 FEATURES = ", ".join([*NUMERIC, *CATEGORICAL])
 
@@ -582,6 +583,28 @@ ORACLE: dict[str, str] = {
       with {ORDERS} select o_orderkey, ts, label, true as agrees, true as whole
       from feats where {split("o_orderkey", WEIGHTS, NAMES)} = 'test'""",
     "r1_random_split_parts": "select o_orderkey, 1::bigint as parts from orders",
+    "t3_trial_rows": f"""
+      select trial::integer as trial, case when trial = 0 then 'seed_parameters_trial'
+               else 'optuna_trial_' || lpad(trial::varchar, 3, '0') end as run_name,
+             {", ".join(f"{sig(f'case when trial = 0 then {v!r}::double else {k} end')} as {k}"
+                        for k, v in SEED_PARAMETERS.items())},
+             true as f1_follows, true as none_better, true as learnt
+      from (select o_orderkey as trial, {parameter("eta", 0.01, 0.3, "log")},
+                   {parameter("max_depth", 3, 12, "int")}, {parameter("min_child_weight", 1.0, 10.0)},
+                   {parameter("subsample", 0.5, 1.0)}, {parameter("colsample_bytree", 0.5, 1.0)}
+            from (select unnest(range(0, 5)) as o_orderkey))""",
+    "t4_refit_rows": f"""
+      with {ORDERS} select count(*) as rows, count(*) filter (where label = 0) as rows0, true as learnt
+      from feats where {split("o_orderkey", WEIGHTS, NAMES)} = 'test'""",
+    "t5_leaderboard_rows": """
+      select unnest(['logistic_regression', 'decision_tree', 'random_forest', 'boosted_trees']) as model,
+             true as f1_follows, true as in_order, true as exclusion_tells""",
+    "t6_importance_rows": f"""
+      select unnest({[*NUMERIC, *CATEGORICAL]!r}) as feature, true as in_order, true as whole, true as is_share""",
+    "f5_missing_numbers_median": f"""
+      with {ORDERS} select o_orderkey, {", ".join(
+          f"{sig(f'coalesce({c}::double, (select median({c}::double) from feats))')} as {c}_imp" for c in NUMERIC
+      )} from feats""",
     "t2_search_space": f"""
       select o_orderkey as trial, {parameter("eta", 0.01, 0.3, "log")},
              {parameter("max_depth", 3, 12, "int")}, {parameter("min_child_weight", 1.0, 10.0)},

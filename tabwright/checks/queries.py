@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -474,7 +474,7 @@ def f5_missing_numbers(spark, sf_dir):
 def f5_missing_numbers_median(spark, sf_dir):
     orders = staged_orders(spark, sf_dir).select("o_orderkey", *NUMERIC)
     stages = [prep.numbers_and_flags(NUMERIC), prep.number_imputer(NUMERIC, "median")]
-    return fitted(orders, stages).select("o_orderkey", *[f"{c}_imp" for c in NUMERIC])
+    return rounded(fitted(orders, stages).select("o_orderkey", *[f"{c}_imp" for c in NUMERIC]))
 
 
 @query
@@ -527,6 +527,26 @@ def t3_search(spark, sf_dir):
     return search.trials_table(train, trials)
 
 
+@query
+def t3_trial_rows(spark, sf_dir):
+    """The parameters of every trial, and whether its figures, and the choice among them, hang together."""
+    train, valid, _ = orders_splits(spark, sf_dir)
+    trials = search.search(train, valid, ORDERS_SPEC, TRIALS, training.SEED_PARAMETERS, training.boosted_trees(trees=3))
+    best = search.best_of(trials)
+    rows = search.trials_table(train, trials)
+    p, r, f1 = (F.col(f"validation_{m}0") for m in ("precision", "recall", "f1"))
+    return rounded(
+        rows.select(
+            "trial",
+            "run_name",
+            *[F.col("params")[x.name].alias(x.name) for x in search.SEARCH_SPACE],
+            (F.abs(f1 * (p + r) - 2 * p * r) < 1e-9).alias("f1_follows"),
+            (f1 <= best.f1).alias("none_better"),
+            (F.lit(best.f1) > 0.5).alias("learnt"),
+        )
+    )
+
+
 @query
 def t3_train_and_register(spark, sf_dir):
     """Lookup, split, search, refit, test and registration; the stored holdout scores."""
@@ -560,6 +580,59 @@ def t4_refit_best(spark, sf_dir):
     return metrics.class_metrics(scored, "label", "prediction")
 
 
+@query
+def t4_refit_rows(spark, sf_dir):
+    """Rows the refitted model scored, and whether it learnt anything."""
+    train, valid, test = orders_splits(spark, sf_dir)
+    learn = training.boosted_trees(trees=3)
+    _, scored = search.refit(train, valid, test, ORDERS_SPEC, training.SEED_PARAMETERS, learn)
+    scored = stage_of(scored.select("label", "prediction"))
+    f1 = metrics.class_metrics(scored, "label", "prediction").first()["f1"]
+    return scored.agg(
+        F.count("*").alias("rows"), F.count_if(F.col("label") == 0).alias("rows0"), F.lit(f1 > 0.5).alias("learnt")
+    )
+
+
+@query
+def t5_leaderboard_rows(spark, sf_dir):
+    """Every model kind in its place, without the columns that were excluded.
+
+    Without the quantity and the price, which the label is made of, no kind may do as well as with them.
+    """
+    train, valid, _ = orders_splits(spark, sf_dir)
+    never = float("inf")
+    whole = search.baseline_leaderboard(train, valid, ORDERS_SPEC, budget_seconds=never, trees=3)
+    part = search.baseline_leaderboard(
+        train, valid, ORDERS_SPEC, excluded=("sum_qty", "n_lines", "o_totalprice"), budget_seconds=never, trees=3
+    )
+    place = Window.orderBy(F.desc("f1"), "model")
+    top = part.agg(F.max("f1")).first()[0]
+    # four rows
+    ranked = stage_of(whole).select(
+        "model",
+        "f1",
+        (F.abs(F.col("f1") * (F.col("precision") + F.col("recall")) - 2 * F.col("precision") * F.col("recall")) < 1e-9).alias("f1_follows"),
+        (F.coalesce(F.lag("f1").over(place), F.lit(1.0)) >= F.col("f1")).alias("in_order"),
+    )
+    best = whole.first()["f1"]
+    return ranked.select("model", "f1_follows", "in_order", F.lit(top < best).alias("exclusion_tells"))
+
+
+@query
+def t6_importance_rows(spark, sf_dir):
+    """Every feature once, with whether the shares are ordered and sum to one."""
+    train, valid, _ = orders_splits(spark, sf_dir)
+    model = training.fit_classifier(train, ORDERS_SPEC, training.SEED_PARAMETERS, training.boosted_trees(trees=3))
+    found = training.feature_importances(model, training.score(model, valid, ORDERS_SPEC), ORDERS_SPEC)
+    shares = [r["importance"] for r in found.collect()]
+    return found.select(
+        "feature",
+        F.lit(shares == sorted(shares, reverse=True)).alias("in_order"),
+        F.lit(abs(sum(shares) - 1) < 1e-9).alias("whole"),
+        F.col("importance").between(0, 1).alias("is_share"),
+    )
+
+
 @query
 def t5_baseline_leaderboard(spark, sf_dir):
     train, valid, _ = orders_splits(spark, sf_dir)

@@ -192,8 +192,8 @@ def exact_lookup(facts: DataFrame, lookup: FeatureLookup, check_unique: bool = T
     off for tables already known to be keyed.
     """
     keys, added = lookup.keys, _added_names(facts, lookup)
-    narrow = lookup.features.filter(_present(keys)).groupBy(*keys).count()
-    if check_unique and not narrow.filter("count > 1").isEmpty():
+    narrow = lookup.features.filter(_present(keys)).groupBy(*keys).agg(F.count("*").alias("_copies"))
+    if check_unique and not narrow.filter("_copies > 1").isEmpty():
         raise ValueError(f"feature rows share the lookup key {keys}")
     named = [F.col(c).alias(name) for c, name in zip(lookup.feature_names, added)]
     return facts.join(lookup.features.select(*keys, *named), keys, "left").select(

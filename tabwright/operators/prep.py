@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.operators.impute import MedianImputer
 from tabwright.functions import as_number
 from tabwright.spec import FeatureSpec
 
@@ -55,7 +56,10 @@ def numbers_and_flags(columns: Sequence[str]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {', '.join(added)} FROM __THIS__")
 
 
-def number_imputer(columns: Sequence[str], strategy: str = "mean") -> Imputer:
+def number_imputer(columns: Sequence[str], strategy: str = "mean") -> Imputer | MedianImputer:
+    """``{c}_imp``: mean, most frequent value, or exact median where the number is missing."""
+    if strategy == "median":
+        return MedianImputer(inputCols=[f"{c}_num" for c in columns], outputCols=[f"{c}_imp" for c in columns])
     return Imputer(
         inputCols=[f"{c}_num" for c in columns],
         outputCols=[f"{c}_imp" for c in columns],

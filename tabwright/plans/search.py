@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -23,6 +25,7 @@ from tabwright.operators.metrics import class_metrics
 from tabwright.operators.prep import never_present, preprocessing_stages
 from tabwright.operators.split import union_by_name
 from tabwright.plans.training import SEED, Learner, boosted_trees, fit_classifier, score
+from tabwright.sources.commits import CommitLog
 from tabwright.sources.tables import stage
 from tabwright.spec import FeatureSpec
 
@@ -129,6 +132,26 @@ def _validate(model, valid: DataFrame, spec: FeatureSpec) -> tuple[float, float,
     return row["precision"], row["recall"], row["f1"]
 
 
+#: a trial's result, under the fingerprint of its data and its parameters
+JOURNAL = "data string, params string, precision double, recall double, f1 double"
+
+
+def trial_key(params: Mapping[str, float]) -> str:
+    return json.dumps({k: float(v) for k, v in sorted(params.items())})
+
+
+def _fingerprint(train: DataFrame, valid: DataFrame, spec: FeatureSpec) -> str:
+    """Rows and columns of both tables, whatever the order of their rows."""
+    parts = []
+    for df in (train, valid):
+        row = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in (*spec.features, spec.label)])
+        n, folded, total = df.select(row.alias("h")).agg(
+            F.count("*"), F.bit_xor("h"), F.sum(F.col("h").cast("decimal(38, 0)"))
+        ).first()
+        parts.append(f"{n}:{folded}:{total}")
+    return hashlib.md5(json.dumps([parts, spec.features, spec.label, spec.pos_label]).encode()).hexdigest()
+
+
 def search(
     train: DataFrame,
     valid: DataFrame,
@@ -138,11 +161,16 @@ def search(
     learner: Learner | None = None,
     parallel: int = 4,
     seed: int = SEED,
+    journal: str | None = None,
 ) -> list[Trial]:
     """Fits ``n_trials`` parameter sets and measures each on ``valid``.
 
     Trial 0 takes ``seed_params`` if given. The fits are Spark jobs started from
     ``parallel`` driver threads, so the cluster is kept busy between their stages.
+
+    ``journal`` is a folder that outlives the driver. Each trial is committed there as it ends, under
+    its parameters and a fingerprint of both tables, and a search that is started again fits only what is
+    missing. A journal is for one learner; other data, other columns or other parameters are other trials.
     """
     spark = train.sparkSession
     drawn = sample_parameters(spark.range(n_trials), "id", seed).collect()
@@ -150,11 +178,25 @@ def search(
     if seed_params and params:
         params[0] = dict(seed_params)
     learner = learner or boosted_trees(seed=seed)
-    _, ready_train, ready_valid = _prepare(train, valid, spec)
+    names = [trial_key(p) for p in params]
+    done: dict[str, tuple[float, float, float]] = {}
+    if journal:
+        log, data = CommitLog(spark, journal, JOURNAL), _fingerprint(train, valid, spec)
+        known = log.rows().filter(F.col("data") == data).collect()
+        done = {r["params"]: (r["precision"], r["recall"], r["f1"]) for r in known}
+    # nothing is prepared where nothing is left to fit
+    if not set(names) <= set(done):
+        _, ready_train, ready_valid = _prepare(train, valid, spec)
 
     def run(number: int) -> Trial:
-        model = learner(params[number], spec).fit(ready_train)
-        return Trial(number, params[number], *_validate(model, ready_valid, spec))
+        if names[number] not in done:
+            model = learner(params[number], spec).fit(ready_train)
+            found = _validate(model, ready_valid, spec)
+            if journal:
+                record = dict(zip(("precision", "recall", "f1"), found))
+                log.append(lambda _: {"data": data, "params": names[number], **record})
+            return Trial(number, params[number], *found)
+        return Trial(number, params[number], *done[names[number]])
 
     with ThreadPool(max(1, min(parallel, n_trials))) as pool:
         return pool.map(inheritable_thread_target(spark)(run), range(n_trials))

@@ -245,3 +245,51 @@ def test_fitting_on_a_staged_input_gives_the_same_model(model, parts):
     )
     here, there = predictions(model, parts[1]), predictions(again, parts[1])
     assert sum(here[k] == there[k] for k in here) >= 0.95 * len(here)
+
+
+def test_a_search_goes_on_where_it_ended(spark, parts):
+    train, valid = parts[0].limit(2000), parts[1].limit(500)
+    train, valid = tables.stage(train, "train"), tables.stage(valid, "valid")
+    fits = []
+
+    def learner(fail_after):
+        inner = training.boosted_trees(trees=1)
+
+        def make(params, spec):
+            if len(fits) >= fail_after:
+                raise RuntimeError("the driver is gone")
+            fits.append(params)
+            return inner(params, spec)
+
+        return make
+
+    journal = work_path(spark, "journal")
+    settings = {"n_trials": 4, "seed_params": PARAMS, "parallel": 1, "journal": journal}
+    with pytest.raises(RuntimeError):
+        search.search(train, valid, ORDERS_SPEC, learner=learner(2), **settings)
+    assert len(fits) == 2
+    again = search.search(train, valid, ORDERS_SPEC, learner=learner(99), **settings)
+    assert len(fits) == 4
+    settings.pop("journal")
+    assert again == search.search(train, valid, ORDERS_SPEC, learner=training.boosted_trees(trees=1), **settings)
+    # other data are other trials
+    fits.clear()
+    search.search(train.limit(1000), valid, ORDERS_SPEC, learner=learner(99), **settings, journal=journal)
+    assert len(fits) == 4
+
+
+def test_medians_are_exact_and_survive_storage(spark):
+    rows = [(float(i % 7) if i % 5 else None, float("nan") if i % 3 == 0 else float(i), None, i) for i in range(101)]
+    df = spark.createDataFrame(rows, "`a.b` double, b double, empty double, id int")
+    names = ["a.b", "b", "empty"]
+    from pyspark.ml import Pipeline
+
+    imputer = prep.MedianImputer(inputCols=names, outputCols=["x", "y", "z"])
+    model = Pipeline(stages=[imputer]).fit(df)
+    again = tables.load_model(tables.save_model(model, work_path(spark, "imputer")))
+    got = [tuple(r) for r in again.transform(df).orderBy("id").select("x", "y", "z").collect()]
+    import statistics
+
+    a = statistics.median(r[0] for r in rows if r[0] is not None)
+    b = statistics.median(r[1] for r in rows if r[1] == r[1])
+    assert got == [(r[0] if r[0] is not None else a, r[1] if r[1] == r[1] else b, 0.0) for r in rows]

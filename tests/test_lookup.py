@@ -126,3 +126,10 @@ def test_late_labels_keep_only_labelled_rows(spark):
     labels = spark.createDataFrame([(2, 1), (3, 0)], "id int, label int")
     rows = join_late_labels(predictions, labels, ["id"]).collect()
     assert [tuple(r) for r in rows] == [(2, 1.0, 1)]
+
+
+def test_a_key_column_may_be_called_count(spark):
+    facts = spark.createDataFrame([(1, "a"), (2, "b")], "count int, x string")
+    features = spark.createDataFrame([(1, 10.0), (3, 30.0)], "count int, v double")
+    got = exact_lookup(facts, FeatureLookup(features, ("v",), "count")).orderBy("count").collect()
+    assert [tuple(r) for r in got] == [(1, "a", 10.0), (2, "b", None)]
