@@ -51,7 +51,7 @@ WINDOW = 48
 #: errors, bytes of the toxic dictionary, and the trainer's segment and string lengths.
 CHOICES = (
     ((5,), 0.05, 5.0, 4096, 24, 6),
-    ((5, 8, 11), 0.05, 4.0, 8192, 24, 6),
+    ((5, 8, 12), 0.05, 4.0, 8192, 24, 6),
     ((8, 12, 16), 0.1, 4.0, 8192, 40, 8),
 )
 LEAST_DOCS = 4
@@ -232,10 +232,18 @@ def _counted(early: DataFrame, sizes: list[int]) -> dict[int, tuple[np.ndarray,
         for batch in slices(batches, size=SLICE):
             lines = [line(t) for t in batch.column("text").to_pylist()]
             for size in sizes:
-                here = np.concatenate([np.intersect1d(strings(x, size), wanted[size]) for x in lines])
-                codes, count = np.unique(here, return_counts=True)
+                codes = wanted[size]
+                count = np.zeros(len(codes) + 1, np.int64)
+                for x in lines:
+                    own = np.unique(strings(x, size))
+                    at = np.searchsorted(codes, own)
+                    known = at < len(codes)
+                    known[known] = codes[at[known]] == own[known]
+                    count[at[known]] += 1
+                some = np.flatnonzero(count)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(codes), size, np.int32)), pa.array(codes), pa.array(count)], ["size", "code", "n"]
+                    [pa.array(np.full(len(some), size, np.int32)), pa.array(codes[some]), pa.array(count[some])],
+                    ["size", "code", "n"],
                 )
 
     rows = early.where("y = 0").select("text").mapInArrow(plain, schema).groupBy("size", "code").agg(F.sum("n").alias("n"))
