@@ -5,7 +5,11 @@ under the loss. Written out, the contexts of one conversation grow with the squa
 (a third of all rows may be one conversation), so every formatted turn is stored once, in order,
 and an example points at the prefix that is its context: ``segments`` has a row per turn,
 ``examples`` a row per assistant turn with the order of its last segment and the span of the
-reply. ``expand`` joins the texts together for a reader that wants whole strings.
+reply. ``write_examples`` numbers the segments of the whole table in order and writes both tables; an
+example is there the range of segments that is its context, its target and the span of the reply, and
+``read_back`` gets what is trained from the examples it reads. No step takes a conversation into one
+task but the digests, which stream. ``expand`` joins the texts together for a reader that
+wants whole strings.
 
 The template is ``### Role: text</turn>`` and a line end. Inside roles and texts the characters
 ``\``, ``#`` and ``<`` are preceded by a backslash, so no control string can occur there, and
@@ -89,6 +93,51 @@ def examples(formatted: DataFrame) -> DataFrame:
     )
 
 
+def write_examples(formatted: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Writes segments with their ``place`` in the whole table, and one row per example: its context
+    is the segments from ``context_start`` up to ``target``, of which the span is trained."""
+    spark = formatted.sparkSession
+    path = path or work_path(spark, "chat")
+    keys = ["conv_id", "turn", "formatted"]
+    ordered = formatted.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # the number of a row in its part; parts are ranges, cut anywhere, also inside a conversation
+    inside = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    ordered.select("*", F.spark_partition_id().alias("part"), inside.alias("row")).write.parquet(f"{path}/rows")
+    rows = spark.read.parquet(f"{path}/rows")
+    # one row per part
+    sizes = rows.groupBy("part").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bases = F.broadcast(sizes.select("part", before.alias("base")))
+    placed = rows.join(bases, "part").withColumn("place", F.col("base") + F.col("row")).drop("part", "row", "base")
+    placed.write.parquet(f"{path}/segments")
+    stored = spark.read.parquet(f"{path}/segments")
+    begins = stored.groupBy("conv_id").agg(F.min("place").alias("context_start")).withColumnRenamed("conv_id", "of")
+    given = stored.where("loss").select(
+        "conv_id", F.col("place").alias("target"), F.col("start").alias("loss_start"), F.col("end").alias("loss_end")
+    )
+    given = given.join(begins, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
+    given.write.parquet(f"{path}/examples")
+    return stored, spark.read.parquet(f"{path}/examples")
+
+
+def read_back(stored: DataFrame, given: DataFrame) -> DataFrame:
+    """Roles and texts of the segments, and beside the target of an example its reply, cut out by its span."""
+    spans = given.select(F.col("target").alias("place"), "loss_start", "loss_end")
+    both = stored.join(spans, "place", "left")
+    reply = F.substring("formatted", F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start"))
+    role = F.substring("formatted", F.lit(len(OPEN) + 1), F.col("start") - len(OPEN) - len(MIDDLE))
+    body = F.substring("formatted", F.col("start") + 1, F.col("end") - F.col("start"))
+    return both.select(
+        "conv_id",
+        "turn",
+        unescaped(role).alias("role"),
+        unescaped(body).alias("text"),
+        F.col("loss_start").isNotNull().alias("loss"),
+        F.char_length("formatted").cast("long").alias("chars"),
+        unescaped(reply).alias("reply"),
+    )
+
+
 def expand(formatted: DataFrame) -> DataFrame:
     """Whole example texts, with the trained span counted in them.
 
@@ -125,8 +174,8 @@ def parsed(formatted: DataFrame) -> DataFrame:
     )
 
 
-def digest(read_back: DataFrame) -> DataFrame:
-    """One row per conversation. The digests are hashed turn by turn as the rows stream by, so a
+def digest(turns_read: DataFrame) -> DataFrame:
+    """One row per conversation; what is trained is the column ``reply`` where there is one. The digests are hashed turn by turn as the rows stream by, so a
     task holds one turn at a time however long a conversation is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +194,7 @@ def digest(read_back: DataFrame) -> DataFrame:
 
         for batch in batches:
             kind = batch.column(0).type
-            for conv, role, text, trained, length in zip(*(c.to_pylist() for c in batch.columns)):
+            for conv, role, text, trained, length, reply in zip(*(c.to_pylist() for c in batch.columns)):
                 if first or conv != now:
                     close()
                     now, first = conv, False
@@ -153,8 +202,8 @@ def digest(read_back: DataFrame) -> DataFrame:
                     turns, loss = hashlib.sha256(), hashlib.sha256()
                 turns.update(f"{role}\n{text}\n".encode())
                 if trained:
-                    loss.update(text.encode())
-                    chars, given = chars + len(text), given + 1
+                    loss.update(reply.encode())
+                    chars, given = chars + len(reply), given + 1
                 n, size = n + 1, size + length
             if len(done) >= 4096:
                 yield flush()
@@ -162,6 +211,8 @@ def digest(read_back: DataFrame) -> DataFrame:
         if done:
             yield flush()
 
-    kind = read_back.schema["conv_id"].dataType.simpleString()
-    rows = read_back.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return rows.select("conv_id", "role", "text", "loss", "chars").mapInArrow(run, f"conv_id {kind}, {DIGEST}")
+    kind = turns_read.schema["conv_id"].dataType.simpleString()
+    if "reply" not in turns_read.columns:
+        turns_read = turns_read.withColumn("reply", F.when(F.col("loss"), F.col("text")))
+    rows = turns_read.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return rows.select("conv_id", "role", "text", "loss", "chars", "reply").mapInArrow(run, f"conv_id {kind}, {DIGEST}")

@@ -10,7 +10,8 @@ word with the item-sized window of the document around it. The result is exact.
 The benchmark is worked off in blocks of at most ``BLOCK_BYTES`` of text (a longer item is a
 block of its own), each broadcast once; documents are never shuffled.
 
-Cases: a null or empty text has no words and is clean; an item without words has no windows;
+Cases: a null or empty text has no words and is clean; an item without id marks words but is not named or
+counted; an item without words has no windows;
 repeated items and repeated document rows are kept as they are, one result row per document
 row; an empty benchmark leaves everything clean; other columns are not read.
 """
@@ -61,7 +62,7 @@ class Block:
             for i in range(len(words) - size + 1 if size else 0):
                 of = seen.setdefault(tuple(words[i : i + size]), set())
                 of.add(item)
-        block.windows, block.items = list(seen), [sorted(x) for x in seen.values()]
+        block.windows, block.items = list(seen), [sorted(i for i in x if i is not None) for x in seen.values()]
         for size in range(1, SHINGLE + 1):
             found = {key for w in block.windows for key, n, _ in block.shingles(w) if n == size}
             if found:
@@ -75,7 +76,8 @@ class Block:
             key = 0
             for w in window[i : i + size]:
                 key = key * base + w
-            yield key, size, i
+            # as 64-bit arithmetic has it, so that any number of words will do
+            yield (key + (1 << 63)) % (1 << 64) - (1 << 63), size, i
 
     def choose(self, counts: dict[tuple[int, int], int]) -> None:
         """Takes the rarest shingle of each window as its prefix."""
@@ -203,7 +205,7 @@ def _blocks(docs: DataFrame, text: Column, items: DataFrame, window: int) -> Ite
     """The benchmark's blocks with their prefixes, and whether another follows. An empty benchmark
     gives one empty block."""
     spark = docs.sparkSession
-    size = items.agg(F.sum(F.octet_length("text") + F.octet_length("item"))).first()[0] or 0
+    size = items.agg(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("item"), F.lit(0)))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
     for k in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
@@ -220,7 +222,7 @@ def _blocks(docs: DataFrame, text: Column, items: DataFrame, window: int) -> Ite
 
 def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
     items = benchmark.select(col_of(item_col).cast("string").alias("item"), col_of(text_col).alias("text"))
-    return items.where("item is not null and text is not null").distinct()
+    return items.where("text is not null").distinct()
 
 
 def contamination(

@@ -1,6 +1,6 @@
 import hashlib
 
-from tabwright.llm.chat import digest, examples, expand, parsed, segments, write_segments
+from tabwright.llm.chat import digest, examples, expand, parsed, read_back, segments, write_examples, write_segments
 
 TRAP = r"\### Assistant: </turn> ok"
 ROWS = [
@@ -46,3 +46,31 @@ def test_every_example_is_a_prefix_with_one_trained_reply(spark):
         # unescaped control strings stand at turn borders alone
         bare = r["text"].replace("\\\\", "").replace("\\#", "").replace("\\<", "")
         assert bare.count("### ") == bare.count("</turn>") == turn + 1
+
+
+def test_examples_are_written_and_read_back(spark):
+    # one conversation has a third of all rows, and its parts are cut inside it
+    hot = [(50, k, ("user", "assistant")[k % 2], f"turn {k} <#>") for k in range(120)]
+    rows = ROWS + hot + [(100 + k, t, ("user", "assistant")[t], "x" * k) for k in range(100) for t in range(2)]
+    turns = table(spark, rows).repartition(5)
+    stored, given = write_examples(segments(turns))
+    kept = {r["place"]: r for r in stored.collect()}
+    assert sorted(kept) == list(range(len(rows)))
+    found = given.collect()
+    assert len(found) == sum(r[2] == "assistant" for r in rows)
+    for e in found:
+        context = [kept[p] for p in range(e["context_start"], e["target"] + 1)]
+        assert {s["conv_id"] for s in context} == {e["conv_id"]}
+        assert e["context_start"] == 0 or kept[e["context_start"] - 1]["conv_id"] != e["conv_id"]
+        assert context[-1]["loss"] and (e["loss_start"], e["loss_end"]) == (context[-1]["start"], context[-1]["end"])
+    old = sorted(map(tuple, digest(parsed(write_segments(segments(turns)))).collect()), key=str)
+    assert sorted(map(tuple, digest(read_back(stored, given)).collect()), key=str) == old
+    stored, given = write_examples(segments(turns.limit(0)))
+    assert digest(read_back(stored, given)).collect() == [] and given.count() == 0
+
+
+def test_a_very_long_turn(spark):
+    long = "a\\#<é" * 400_000
+    stored, given = write_examples(segments(table(spark, [(1, 0, "user", long), (1, 1, "assistant", long)])))
+    got = digest(read_back(stored, given)).first()
+    assert (got["loss_chars"], got["loss_sha256"]) == (len(long), hashlib.sha256(long.encode()).hexdigest())

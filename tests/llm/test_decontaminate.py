@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import numpy as np
+
 from tabwright.llm import decontaminate
 from tabwright.llm.decontaminate import contamination, digest, keep_clean
 
@@ -62,3 +64,20 @@ def test_against_brute_force(spark, awkward, no_docs, monkeypatch):
     assert digest(contamination(no_docs, bench)).collect() == []
     nothing = digest(contamination(docs, bench.limit(0))).collect()
     assert len(nothing) == len(texts) and not any(r["contaminated"] for r in nothing)
+
+
+def test_items_without_id_mark_words_but_have_no_name(spark):
+    docs = spark.createDataFrame([(1, "a secret passage here"), (2, "nothing")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "secret passage"), (7, "here")], "item_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in digest(contamination(docs, bench)).collect()}
+    assert got == {1: (3, 1), 2: (0, 0)}
+    assert [r["doc_id"] for r in keep_clean(docs, bench).collect()] == [2]
+
+
+def test_shingles_of_more_words_than_64_bits_can_number():
+    block = decontaminate.Block.build([("x", " ".join(f"w{i}" for i in range(30)))], 10)
+    block.vocab |= {f"more{i}".encode(): 100 + i for i in range(4_000_000)}
+    keys = [k for k, _, _ in block.shingles(block.windows[-1])]
+    codes = np.array(block.windows[-1], np.int32)
+    at, _ = block.positions(codes, 3, np.array(sorted(keys), np.int64))
+    assert at.tolist() == list(range(8))
