@@ -714,6 +714,14 @@ ORACLE: dict[str, str] = {
         for a, b in pairs_of(LINE_NUMBERS)
     ),
     "c3_kendall": union(kendall(a, b, "lineitem") for a, b in pairs_of(LINE_NUMBERS)),
+    "c3_kendall_binned": f"""
+      with cuts as (select {", ".join(
+          f"quantile_cont({c}::double, {[k / 16 for k in range(1, 16)]}) as q_{c}" for c in LINE_NUMBERS
+      )} from lineitem),
+      coded as (select {", ".join(
+          f"list_sum(list_transform(list_distinct(q_{c}), lambda q: ({c} > q)::int)) as {c}" for c in LINE_NUMBERS
+      )} from lineitem, cuts)
+      select *, true as binned from ({union(kendall(a, b, "coded") for a, b in pairs_of(LINE_NUMBERS))})""",
     "c3_kendall_sliced": f"""
       with {ORDERS} {union(kendall(a, b, "feats") for a, b in pairs_of(NUMERIC))}""",
     "c5_cramers_v": f"with {ORDERS} {union(cramers(a, b, 'feats') for a, b in pairs_of(CATEGORICAL))}",

@@ -1053,6 +1053,11 @@ def c3_kendall_sliced(spark, sf_dir):
     return rounded(correlate.kendall(staged_orders(spark, sf_dir), NUMERIC, slices=6))
 
 
+@query
+def c3_kendall_binned(spark, sf_dir):
+    return rounded(correlate.kendall_binned(table(spark, sf_dir, "lineitem"), LINE_NUMBERS, bins=16))
+
+
 @query
 def c4_phi_k(spark, sf_dir):
     return correlate.phi_k(staged_orders(spark, sf_dir), NUMERIC, CATEGORICAL)

@@ -24,7 +24,7 @@ from tabwright.operators.pairs import (
     pair_rows,
 )
 from tabwright.operators.slices import cut_points, running_totals
-from tabwright.operators.values import rank_table
+from tabwright.operators.values import NumberCounts, rank_table
 from tabwright.sources.tables import stage
 
 # Sent along with the tasks, so that executors need no copy of this package.
@@ -158,6 +158,49 @@ def spearman(df: DataFrame, columns: Sequence[str], slices: int | None = None) -
     return _corr_table(rows, own, "spearman")
 
 
+def kendall_binned(df: DataFrame, columns: Sequence[str], bins: int = 32) -> DataFrame:
+    """Kendall tau-b of every column pair over quantile bins, with the flag ``binned``.
+
+    Values between the same two of a column's quantiles count as equal, which is tau-b of the
+    binned columns, exactly. One pass over the rows counts the cells of all pairs, at most ``bins`` squared
+    each; running totals over a pair's grid tell how many rows lie below and to the left of each cell.
+    """
+    if len(columns) < 2:
+        return _no_pairs(df, "kendall").withColumn("binned", F.lit(True))
+    pairs = all_pairs(columns)
+    numbers = df.select(*[as_number(col_of(c)).alias(f"v{i}") for i, c in enumerate(columns)])
+    names = {f"q{k}": k / bins for k in range(1, bins)}
+    found = NumberCounts(numbers, {c: F.col(c) for c in numbers.columns}).quantiles(names)
+    # bins - 1 numbers per column
+    cuts = {r["column"]: sorted({r[q] for q in names}) for r in found.collect()}
+
+    def code(c: str) -> Column:
+        points = constants([float(x) for x in cuts.get(c, [])])
+        above = F.aggregate(points, F.lit(0), lambda n, x: n + (F.col(c) > x).cast("int"))
+        return F.when(F.col(c).isNotNull(), above)
+
+    coded = numbers.select(*[code(c).alias(c) for c in numbers.columns])
+    cells = pair_rows(coded, {c: F.col(c) for c in coded.columns}, all_pairs(coded.columns))
+    cells = cells.groupBy("pair", "x", "y").agg(F.count("*").alias("n"))
+
+    def tau(cell: pd.DataFrame) -> pd.DataFrame:
+        grid = np.zeros((bins, bins))
+        grid[cell["x"], cell["y"]] = cell["n"]
+        below = np.zeros((bins + 1, bins + 1))
+        below[1:, 1:] = grid.cumsum(0).cumsum(1)
+        # rows with a smaller x: those with a smaller y agree, those with a greater y do not
+        agree, smaller = below[:-1, :-1], below[:-1, -1:]
+        s = float((grid * (agree - (smaller - below[:-1, 1:]))).sum())
+        n, r, c = grid.sum(), grid.sum(1), grid.sum(0)
+        every, ties_x, ties_y = n * (n - 1) / 2, (r * (r - 1) / 2).sum(), (c * (c - 1) / 2).sum()
+        spread = np.sqrt(every - ties_x) * np.sqrt(every - ties_y)
+        value = s / spread if spread else None
+        return pd.DataFrame({"pair": [int(cell["pair"].iloc[0])], "kendall": [value]})
+
+    taus = cells.groupBy("pair").applyInPandas(tau, "pair int, kendall double")
+    return _named(df, pairs, taus, "kendall").withColumn("binned", F.lit(True))
+
+
 def kendall(df: DataFrame, columns: Sequence[str], slices: int | None = None) -> DataFrame:
     """Exact Kendall tau-b of every column pair, without comparing rows with rows.
 

@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pandas as pd
@@ -157,6 +158,18 @@ def test_phi_k_keeps_every_column(spark):
     assert by_pair(same, "phi_k")["g", "again"] == pytest.approx(1)
 
 
+def test_binned_kendall_is_exact_where_bins_hold_one_value_each(spark):
+    rng = random.Random(12)
+    rows = [(float(rng.randrange(6)), float(rng.randrange(5)), None if k % 9 == 0 else float(rng.randrange(4)), 1.0) for k in range(400)]
+    df = spark.createDataFrame(rows, "a double, `b.c` double, d double, one double")
+    names = ["a", "b.c", "d", "one"]
+    exact = by_pair(correlate.kendall(df, names), "kendall")
+    found = correlate.kendall_binned(df, names, bins=64)
+    assert found.where("binned").count() == 6
+    got = by_pair(found, "kendall")
+    assert got == {k: v if v is None else pytest.approx(v) for k, v in exact.items()}
+
+
 NAMES = ["all", "a", "b", "a_b", "count", "copies", "_n", "x.y", "pair", "slice", "value"]
 
 
