@@ -1,6 +1,6 @@
 """Sharding along a Hilbert curve: rows near in several metadata columns share a file.
 
-Each dimension is quantised to ``2 ** bits`` cells at its quantiles (text by its first six bytes),
+Each dimension is quantised to ``2 ** bits`` cells at its quantiles (text by whole values),
 the cells are numbered along a Hilbert curve, rows are ordered by that number and the order is
 cut into runs of equal row counts (law ``rows``: counts differ by one at most). Files then cover
 small boxes in every dimension, and readers that filter on any of them skip most files.
@@ -33,12 +33,11 @@ DIMENSIONS = ("source", "lang", "n_chars")
 
 
 def measure(df: DataFrame, name: str) -> Column:
-    """A dimension as a number whose order is the column's order."""
+    """A dimension as a number, or the bytes of a text, in the column's order."""
     kind = df.schema[name].dataType
     c = col_of(name)
     if isinstance(kind, (T.StringType, T.BinaryType)):
-        head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
+        return c.cast("binary")
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(c.cast("timestamp")).cast("double")
     return c.cast("double")
@@ -96,7 +95,7 @@ def curve_index(cells: Sequence[Column], bits: int) -> Column:
     return let(let(turned, gray), place)
 
 
-def above(points: Sequence[float]) -> Callable[[Column], Column]:
+def above(points: Sequence[float] | Sequence[bytearray]) -> Callable[[Column], Column]:
     """How many of the points a value is above."""
     return lambda x: sum((F.when(x > p, 1).otherwise(0) for p in points), F.lit(0))
 
@@ -106,19 +105,57 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType))
+
+
+def text_cuts(df: DataFrame, name: str, sides: int) -> list[bytearray]:
+    """The values of a text column at its quantiles, by counts of distinct values.
+
+    Values are counted before they are ordered; ranks are sums inside ranges of values plus
+    those of the ranges before, so no task sees the whole column. At most ``sides - 1`` come back.
+    """
+    spark = df.sparkSession
+    counts = df.select(measure(df, name).alias("value")).where("value is not null").groupBy("value").agg(
+        F.count("*").alias("n")
+    )
+    path = work_path(spark, "text-values")
+    counts.repartitionByRange("value").sortWithinPartitions("value").withColumn(
+        "part", F.spark_partition_id()
+    ).write.parquet(path)
+    values = spark.read.parquet(path)
+    sums = values.groupBy("part").agg(F.sum("n").alias("rows"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # a row per range
+    bases = sums.select(
+        "part",
+        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base"),
+        F.sum("rows").over(Window.partitionBy()).alias("total"),
+    )
+    upto = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ends = values.withColumn("end", F.sum("n").over(upto)).join(F.broadcast(bases), "part")
+    ends = ends.withColumn("end", F.col("end") + F.col("base"))
+    passed = F.expr(f"sequence(1, {sides - 1})")
+    crossed = F.filter(
+        passed, lambda k: (k * F.col("total") > (F.col("end") - F.col("n")) * sides) & (k * F.col("total") <= F.col("end") * sides)
+    )
+    found = ends.select("value", F.explode(crossed).alias("k")).collect()
+    return [r["value"] for r in sorted(found, key=lambda r: r["k"])]
+
+
 def quantised(df: DataFrame, dimensions: Sequence[str], bits: int) -> list[Column]:
     """The cell of every dimension, 0 for null, cut at quantiles of the whole table."""
     sides = 1 << bits
     parts = [k / sides for k in range(1, sides)]
-    cuts = df.select(
-        *(F.percentile_approx(measure(df, d), parts, 10_000).alias(f"d{k}") for k, d in enumerate(dimensions))
-    ).first()
-    cells = []
-    for k, d in enumerate(dimensions):
-        # equal cut points would leave empty cells between; the curve does not mind them
-        value, points = measure(df, d), cuts[k] or []
-        cells.append(F.coalesce(let(value, above(points)), F.lit(0)))
-    return cells
+    cuts: dict[str, list] = {d: text_cuts(df, d, sides) for d in dimensions if is_text(df, d)}
+    numbers = [d for d in dimensions if d not in cuts]
+    if numbers:
+        found = df.select(
+            *(F.percentile_approx(measure(df, d), parts, 10_000).alias(f"d{k}") for k, d in enumerate(numbers))
+        ).first()
+        cuts |= {d: found[k] or [] for k, d in enumerate(numbers)}
+    # equal cut points would leave empty cells between; the curve does not mind them
+    return [F.coalesce(let(measure(df, d), above(cuts[d])), F.lit(0)) for d in dimensions]
 
 
 def shard(
@@ -144,7 +181,8 @@ def shard(
     narrow.write.parquet(first)
     rows = spark.read.schema(narrow.schema).parquet(first)
 
-    keys = ["curve", "doc_id", "text_crc32", "n"]
+    # equal texts of a cell stand together
+    keys = ["curve", "text_crc32", "doc_id", "n"]
     placed = (
         rows.withColumn("n", F.monotonically_increasing_id())
         .repartitionByRange(*keys)

@@ -3,7 +3,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.llm.hilbert import curve_index, shard, write_shards
+from tabwright.llm.hilbert import curve_index, quantised, shard, write_shards
 
 
 @pytest.mark.parametrize("dims,bits", [(2, 3), (3, 2), (1, 3), (2, 1)])
@@ -40,3 +40,24 @@ def test_files_prune_every_dimension(spark, tmp_path):
     for c in ("a", "b"):
         spans = out.groupBy("shard").agg((F.max(c) - F.min(c)).alias("w")).agg(F.avg("w")).first()[0]
         assert spans < 32  # a cut by rows alone would span all 64 in one of the two
+
+
+def test_texts_with_a_common_beginning_keep_their_axis(spark):
+    rows = spark.range(3200).selectExpr(
+        "id as doc_id", "cast(id as string) as text", "concat('https://example.org/', lpad(cast(id * 37 % 64 as string), 2, '0')) as source"
+    )
+    one, = quantised(rows, ["source"], 4)
+    cells = rows.select("source", one.alias("cell"))
+    sizes = {r["cell"]: r["n"] for r in cells.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    assert len(sizes) == 16 and max(sizes.values()) <= 5 * 50
+    spans = cells.groupBy("source").agg(F.count_distinct("cell").alias("n")).agg(F.max("n")).first()[0]
+    assert spans == 1
+    order = cells.distinct().orderBy("source").collect()
+    assert [r["cell"] for r in order] == sorted(r["cell"] for r in order)
+
+
+def test_equal_texts_of_a_hot_cell_stay_together(spark):
+    rows = spark.range(1000).selectExpr("id as doc_id", "concat('text ', cast(id % 100 as string)) as text", "'hot' as source")
+    got = shard(rows, dimensions=["source"], shards=10).join(rows, "doc_id")
+    apart = got.groupBy("text").agg(F.count_distinct("shard").alias("n")).agg(F.sum("n")).first()[0]
+    assert apart <= 100 + 9  # a text is parted at a cut at most
