@@ -450,23 +450,33 @@ def _normal_sums(cells: DataFrame, block: int) -> dict[int, tuple[np.ndarray, np
     """
 
     def add(batches):
+        sums: dict[tuple[int, str], np.ndarray] = {}
         for batch in batches:
-            out = []
             for pair, side, spans in zip(batch["pair"], batch["side"], batch["spans"]):
                 at = np.array([(s["begin"], s["end"]) for s in spans])
-                out.append((pair, side, bivariate.level_sums(at)))
-            yield pd.DataFrame(out, columns=["pair", "side", "s"])
+                sums[pair, side] = sums.get((pair, side), 0) + bivariate.level_sums(at)
+        rows = [(*key, s) for key, s in sums.items()]
+        yield pd.DataFrame(rows, columns=["pair", "side", "s"])
+
+    def total(parts: pd.DataFrame) -> pd.DataFrame:
+        # one row per task
+        return parts[:1].assign(s=[np.sum(np.stack(parts["s"].to_list()), axis=0)])
 
     sides = [
         _levels(cells, side, block).select("pair", F.lit(side).alias("side"), F.col(f"{side}_spans").alias("spans"))
         for side in ("x", "y")
     ]
-    parts = sides[0].unionByName(sides[1]).mapInPandas(add, "pair int, side string, s array<double>")
-    places = parts.select("pair", "side", F.posexplode("s").alias("k", "v"))
-    whole = places.groupBy("pair", "side", "k").agg(F.sum("v").alias("v")).groupBy("pair", "side")
-    found: dict[tuple[int, str], np.ndarray] = {}
-    for r in whole.agg(F.sort_array(F.collect_list(F.struct("k", "v"))).alias("s")).collect():
-        found[r["pair"], r["side"]] = np.array([e["v"] for e in r["s"]])
+    schema = "pair int, side string, s array<double>"
+    parts = sides[0].unionByName(sides[1]).mapInPandas(add, schema)
+    whole = parts.groupBy("pair", "side").applyInPandas(total, schema).toArrow()
+    found = {
+        (r, side): np.asarray(s)
+        for r, side, s in zip(
+            whole.column("pair").to_pylist(),
+            whole.column("side").to_pylist(),
+            (v.values.to_numpy() for v in whole.column("s")),
+        )
+    }
     return {pair: (s, found[pair, "y"]) for (pair, side), s in found.items() if side == "x"}
 
 
