@@ -28,7 +28,6 @@ very long texts are worked off in chunks; an empty table gives no rows; other co
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from functools import partial
 
@@ -263,7 +262,7 @@ def _texts(batches: Iterator[pa.RecordBatch], buckets: Buckets) -> Iterator[pa.R
         parts = [texts[r][a : a + k + WIDTH - 1] for r, a, k in zip(row.tolist(), at.tolist(), n.tolist())]
         own = batch.column("id").take(pa.array(row))
         columns = [
-            pa.array(buckets.of(gram, own.to_numpy() + 0)),
+            pa.array(buckets.of(gram, own.to_numpy())),
             pa.array(gram),
             own,
             batch.column("tag").take(pa.array(row)),
