@@ -13,7 +13,9 @@ threshold of 0.85 share fewer than two of the 32 with probability 2e-7, at 0.8 w
    share one of their first ``n - ceil(t n) + 1`` shingles at a threshold ``t``, and the place of that shingle
    limits how much they can share at all. A changed copy begins with shingles that only it has,
    so it meets only texts that can reach the threshold, not its whole group. Shingles are met
-   across components only. These pairs are confirmed on the full sets too.
+   across components only. Where many texts share a shingle, all are compared with one of them, the
+   hub, and only what shares a shingle that the hub lacks is compared further: copies of one text that
+   are too far from it share none. These pairs are confirmed on the full sets too.
 
 So no group is written out as pairs, and within the buckets nothing is lost.
 
@@ -44,6 +46,8 @@ BANDS = 2 * PERMUTATIONS // ROWS
 #: Links need 100 * intersection >= percent * union.
 PERCENT = 85
 SLICE = 6 << 20
+#: Rows of a shingle that are met one by one; the others are first compared with one of them.
+LIGHT = 16
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SEED = np.random.Generator(np.random.PCG64(20240229))
@@ -181,20 +185,84 @@ def crossing_pairs(nodes: DataFrame, tokens: DataFrame, percent: int = PERCENT)
     rows = stage(rows, "prefix-shingles")
     # in each shingle's row the largest component is met by the others, never with itself
     most = rows.groupBy("shingle").agg(
-        F.max(F.struct("size", "component")).alias("m"), F.min("component").alias("a"), F.max("component").alias("b")
-    )
-    most = most.where("a != b").select("shingle", F.col("m.component").alias("main"))
-    rows = rows.join(most, "shingle")
-    few = rows.where("component != main").select(
-        "shingle", *(F.col(c).alias(f"{c}_") for c in ("node", "n", "component", "rank"))
+        F.max(F.struct("size", "component")).alias("m"),
+        F.min("component").alias("a"),
+        F.max("component").alias("b"),
+        F.count("*").alias("met"),
     )
+    most = most.where("a != b").select("shingle", F.col("m.component").alias("main"), "met")
+    rows = stage(rows.join(most, "shingle"), "mixed-shingles")
+    light = rows.where(f"met <= {LIGHT}")
+    few = _other(light.where("component != main"), "shingle", "node", "n", "component", "rank")
     # both first ranks known, at most one and what is left after them can be shared
     reach = "1 + least(n - rank, n_ - rank_)"
-    need = f"({percent} * (n + n_) + {99 + percent}) div {100 + percent}"
-    pairs = rows.join(few, "shingle").where(
-        f"component != component_ and (component = main or node < node_) and {near_size('n', 'n_', percent)} and {reach} >= {need}"
+    pairs = light.join(few, "shingle").where(
+        f"component != component_ and (component = main or node < node_) and {near_size('n', 'n_', percent)}"
+        f" and {reach} >= {_need(percent)}"
+    )
+    crowd = rows.where(f"met > {LIGHT}").select("main", "node", "n", "component").distinct()
+    pairs = _ordered(pairs).unionByName(_crowd_pairs(stage(crowd, "crowds"), stage(rare, "shared-shingles"), percent))
+    return pairs.distinct()
+
+
+def _need(percent: int, n: str = "n", other: str = "n_") -> str:
+    """How many shingles texts of two sizes must share to be linked."""
+    return f"({percent} * ({n} + {other}) + {99 + percent}) div {100 + percent}"
+
+
+def _other(rows: DataFrame, key: str, *columns: str) -> DataFrame:
+    return rows.select(key, *(F.col(c).alias(f"{c}_") for c in columns))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("node", "node_").alias("u"), F.least("node", "node_").alias("v"))
+
+
+def _crowd_pairs(crowd: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``u, v`` that can be linked, of nodes that met in a crowded row of the same ``main`` component.
+
+    Every node is compared with one, the hub: the shortest of the main component here. What is linked
+    with it needs no other link to that component. A pair that is not settled so has a node x that is
+    not linked with the hub, and if the other is no shorter than the hub, it needs more shingles than x
+    shares with the hub: the pair shares one that the hub lacks. These are met by the prefix join, among
+    shingles that the hub lacks only. Texts shorter than the hub, of other components, are met as a whole
+    where what both share with the hub may be enough.
+    """
+    hubs = crowd.where("component = main").groupBy("main").agg(F.min(F.struct("n", "node")).alias("hub"))
+    hubs = hubs.select("main", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
+    inside = hubs.join(shared.select(F.col("node").alias("hub"), "shingle"), "hub").select(
+        "main", "shingle", F.lit(True).alias("inside")
+    )
+    own = Window.partitionBy("main", "node")
+    rows = crowd.join(hubs, "main").where("node != hub").join(shared, "node").join(inside, ["main", "shingle"], "left")
+    rows = rows.withColumn("inside", F.coalesce("inside", F.lit(False)))
+    rows = rows.withColumn("common", F.count_if("inside").over(own)).withColumn("total", F.count("*").over(own))
+    # shingles that only this text has come first, then those that the hub lacks
+    rows = rows.withColumn("place", F.row_number().over(own.orderBy("inside", "df", "shingle")))
+    rows = rows.withColumn("linked", F.expr(f"100 * common >= {percent} * (n + hub_n - common)"))
+    rows = rows.withColumn("settled", F.expr("linked or component = main")).withColumn("rest", F.expr("n - common"))
+    rows = rows.withColumn("rank", F.expr("n - total + place"))
+    least = f"(n * {percent} + 99) div 100"
+    first = f"not inside and rank <= rest - greatest(1, {least} - common) + 1"
+    names = ("main", "node", "n", "component", "common")
+    rows = rows.where(f"place = 1 or ({first})").withColumn("met", F.expr(first))
+    rows = stage(rows.select(*names, "hub", "hub_n", "linked", "settled", "rest", "rank", "place", "shingle", "met"), "hub-shingles")
+    to_hub = rows.where("place = 1 and linked and component != main")
+    to_hub = to_hub.select(F.greatest("node", "hub").alias("u"), F.least("node", "hub").alias("v"))
+
+    met = rows.where("met")
+    open_rows = _other(met.where("not settled"), "main", "shingle", "node", "n", "component", "common", "rest", "rank")
+    different = f"component != component_ and {near_size('n', 'n_', percent)}"
+    by_shingle = met.join(open_rows, (met["main"] == open_rows["main"]) & (met["shingle"] == open_rows["shingle_"])).where(
+        f"{different} and (settled or node < node_)"
+        f" and least(common, common_) + 1 + least(rest - rank, rest_ - rank_) >= {_need(percent)}"
+    )
+    enough = rows.where(f"place = 1 and common >= {least}")
+    short = enough.where("component != main and n < hub_n")
+    whole = short.join(_other(enough.where("not settled"), "main", "node", "n", "component", "common"), "main").where(
+        f"{different} and least(common, common_) >= {_need(percent)}"
     )
-    return pairs.select(F.greatest("node", "node_").alias("u"), F.least("node", "node_").alias("v")).distinct()
+    return to_hub.unionByName(_ordered(by_shingle)).unionByName(_ordered(whole))
 
 
 def near_duplicates(

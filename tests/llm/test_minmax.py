@@ -3,7 +3,7 @@ import random
 import numpy as np
 
 from tabwright.llm.components import components
-from tabwright.llm.minmax import PERMUTATIONS, keep_one, near_duplicates, shingle_sets, signature
+from tabwright.llm.minmax import PERMUTATIONS, crossing_pairs, keep_one, near_duplicates, shingle_sets, signature
 
 
 def brute(rows):
@@ -104,3 +104,75 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in [*range(61), 500]}, **{i: 100 for i in range(100, 150)}, 200: 200, 201: 200}
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def linked_at(rows, percent):
+    """Shingle sets, and a test of two ids."""
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in rows)}
+
+    def linked(a, b):
+        common = len(sets[a] & sets[b])
+        return 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common)
+
+    return sets, linked
+
+
+def crossing(spark, sets, core, percent):
+    """Candidates where the first ``core`` ids are one component and every other text stands alone."""
+    code = {}
+    tokens = [(i, code.setdefault(s, len(code))) for i, found in sets.items() for s in found]
+    nodes = [(i, len(sets[i]), 0 if i < core else i, core if i < core else 1) for i in sets]
+    pairs = crossing_pairs(
+        spark.createDataFrame(nodes, "node long, n long, component long, size long"),
+        spark.createDataFrame(tokens, "node long, shingle long"),
+        percent,
+    )
+    return [(r["u"], r["v"]) for r in pairs.collect()]
+
+
+def spread(words, times):
+    """Words changed far from each other, so that every change costs five shingles."""
+    words = list(words)
+    for k in random.sample(range(len(words) // 8), times):
+        words[8 * k + 4] = f"new{random.random()}"
+    return " ".join(words)
+
+
+def test_a_crowd_is_not_met_in_pairs(spark):
+    """Two sizes of one crowd, of copies linked with the plain text only: candidates grow with the texts."""
+    random.seed(3)
+    base, met = [f"b{k}" for k in range(150)], []
+    for size in (40, 160):
+        rows = [(i, spread(base, min(i, 1))) for i in range(size)] + [(1000 + i, spread(base, 3)) for i in range(size)]
+        sets, linked = linked_at(rows, 80)
+        assert all(linked(0, i) for i in sets) and sum(linked(1, i) for i in sets if i >= 1000) < size / 2
+        met.append(len(crossing(spark, sets, size, 80)))
+    assert met[0] >= 40 and met[1] <= 2 * 160
+
+
+def test_links_of_a_crowd_are_found(spark):
+    """Copies of a text and of its variants, longer and shorter ones, against brute force."""
+    random.seed(8)
+    base = [f"b{k}" for k in range(150)]
+    sides = [spread(base, 2).split() for _ in range(4)]
+    core = 60
+    rows = [(i, spread(base, random.randint(0, 3))) for i in range(core)]
+    for i in range(100):
+        words = spread(random.choice(sides), random.randint(0, 3)).split()
+        rows.append((1000 + i, " ".join(words[: 150 - random.choice((0, 0, 4, 12))])))
+    sets, linked = linked_at(rows, 80)
+    found = []
+    for pairs in (crossing(spark, sets, core, 80), [(a, b) for a in sets for b in sets if a < b]):
+        parent = {i: 0 if i < core else i for i in sets}
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for u, v in pairs:
+            if linked(u, v):
+                a, b = find(u), find(v)
+                parent[max(a, b)] = min(a, b)
+        found.append({i: find(i) for i in sets})
+    assert found[0] == found[1] and 5 < len(set(found[0].values())) < 90
