@@ -16,7 +16,7 @@ from tabwright.plans.search import Trial, best_of, refit, search
 from tabwright.plans.training import SEED, SEED_PARAMETERS, Learner, score
 from tabwright.sources.registry import ModelRegistry, signature_of
 from tabwright.sources.runlog import RunLog
-from tabwright.sources.tables import stage, write_predictions
+from tabwright.sources.tables import ROWS_PER_FILE, stage, write_predictions
 from tabwright.spec import FeatureLookup, FeatureSpec
 
 
@@ -66,7 +66,7 @@ def train_and_register(
 
     The training set is written once to the shared folder; all later steps read it.
     """
-    table = stage(training_set(facts, lookups, spec.label), "training-set")
+    table = stage(training_set(facts, lookups, spec.label), "training-set", ROWS_PER_FILE)
     train, valid, test = hash_split(table, weights, seed, spec.keys)
     trials = search(train, valid, spec, n_trials, seed_params, learner, parallel, seed)
     log_search(log, trials, "parameter_search")

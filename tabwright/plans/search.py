@@ -26,7 +26,7 @@ from tabwright.operators.prep import never_present, preprocessing_stages
 from tabwright.operators.split import union_by_name
 from tabwright.plans.training import SEED, Learner, boosted_trees, fit_classifier, score
 from tabwright.sources.commits import CommitLog
-from tabwright.sources.tables import stage
+from tabwright.sources.tables import ROWS_PER_FILE, spread, stage
 from tabwright.spec import FeatureSpec
 
 
@@ -115,16 +115,16 @@ def _prepare(train: DataFrame, valid: DataFrame, spec: FeatureSpec) -> tuple[Pip
     """Preprocessing fitted once on ``train``, and both tables as label and vector.
 
     The prepared tables are written to the shared work folder: every fit reads them
-    again, and a lost executor costs no more than a re-read.
+    again, dealt over all cores, and a lost executor costs no more than a re-read.
     """
     known = F.col(spec.label).isNotNull()
     stages = preprocessing_stages(spec, empty=never_present(train, spec.numeric))
     prep = Pipeline(stages=stages).fit(train.select(*spec.features))
     ready = [
-        stage(prep.transform(df.filter(known)).select(spec.label, "features"), name)
+        stage(prep.transform(df.filter(known)).select(spec.label, "features"), name, ROWS_PER_FILE)
         for df, name in ((train, "search-train"), (valid, "search-valid"))
     ]
-    return prep, ready[0], ready[1]
+    return prep, spread(ready[0]), ready[1]
 
 
 def _validate(model, valid: DataFrame, spec: FeatureSpec) -> tuple[float, float, float]:

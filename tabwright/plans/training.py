@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.operators.prep import check_levels, helper_columns, never_present, preprocessing_stages
-from tabwright.sources.tables import stage
+from tabwright.sources.tables import ROWS_PER_FILE, spread, stage
 from tabwright.spec import FeatureSpec
 
 Learner = Callable[[Mapping[str, float], FeatureSpec], Estimator]
@@ -72,17 +72,20 @@ def fit_classifier(
 
     Fitting passes over its input several times. ``stage_input`` writes the columns it
     needs to the shared folder first: worth it where ``train`` is a join, such as a
-    training set with lookups, and not where it is a plain table. ``max_levels`` refuses
+    training set with lookups, and not where it is a plain table. The learner gets the rows
+    dealt over all cores, however few files they come from. ``max_levels`` refuses
     category columns of more values, whose index would be too large for one model.
     """
     learner = learner or boosted_trees()
     needed = train.select(*spec.features, spec.label).filter(F.col(spec.label).isNotNull())
     if stage_input:
-        needed = stage(needed, "training-set")
+        needed = stage(needed, "training-set", ROWS_PER_FILE)
     check_levels(needed, spec, max_levels)
     empty = never_present(needed, spec.numeric) if impute else []
     stages = preprocessing_stages(spec, impute, empty=empty)
-    return Pipeline(stages=[*stages, learner(params, spec)]).fit(needed)
+    prep = Pipeline(stages=stages).fit(needed)
+    ready = prep.transform(spread(needed)).select(spec.label, "features")
+    return PipelineModel([*prep.stages, learner(params, spec).fit(ready)])
 
 
 def score(model: PipelineModel, df: DataFrame, spec: FeatureSpec) -> DataFrame:

@@ -53,17 +53,33 @@ def write_predictions(
     return df.sparkSession.table(table)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+#: Rows of a file, and of a task, of tables that learners and other work on single rows read.
+ROWS_PER_FILE, ROWS_PER_TASK, LEAST_ROWS_PER_TASK = 25_000, 250_000, 2_500
+
+
+def stage(df: DataFrame, name: str, rows_per_file: int | None = None) -> DataFrame:
     """Writes ``df`` to the shared work folder and returns the written table.
 
     For tables that several passes read: later passes read only the columns they need,
-    and what executors computed outlives them.
+    and what executors computed outlives them. ``rows_per_file`` bounds the files, so that
+    small rows that cost much work later are read by more than one task.
     """
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write.option("maxRecordsPerFile", rows_per_file) if rows_per_file else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in partitions of at most about ``ROWS_PER_TASK`` rows, as many as fill all cores.
+
+    Bytes on disk say little about the work that a row makes for a learner.
+    """
+    rows, cores = df.count(), max(1, df.sparkSession.sparkContext.defaultParallelism)
+    full = cores * -(-rows // (ROWS_PER_TASK * cores))
+    return df.repartition(max(1, min(full, rows // LEAST_ROWS_PER_TASK)))
+
+
 def preview(df: DataFrame, keys: Sequence[str], n: int = 10) -> DataFrame:
     """The first ``n`` rows by key; a limit without an order would pick any rows."""
     return df.orderBy(*keys).limit(n)

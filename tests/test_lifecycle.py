@@ -293,3 +293,26 @@ def test_medians_are_exact_and_survive_storage(spark):
     a = statistics.median(r[0] for r in rows if r[0] is not None)
     b = statistics.median(r[1] for r in rows if r[1] == r[1])
     assert got == [(r[0] if r[0] is not None else a, r[1] if r[1] == r[1] else b, 0.0) for r in rows]
+
+
+def test_learners_get_rows_dealt_over_all_cores(spark, monkeypatch):
+    """Whatever the files: a table of one partition is fitted by many tasks of a bounded number of rows."""
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 1_000)
+    spec = FeatureSpec(("x",), (), "label", ("id",))
+    rows = spark.range(0, 40_000, 1, 1).selectExpr("id", "id % 7 as x", "int(id % 2) as label")
+    seen = []
+
+    class Learner:
+        def fit(self, df):
+            seen.append(df.rdd.glom().map(len).collect())
+            raise RuntimeError("seen")
+
+    for run in (
+        lambda: training.fit_classifier(rows, spec, {}, lambda params, spec: Learner()),
+        lambda: search.search(rows, rows, spec, 1, None, lambda params, spec: Learner()),
+    ):
+        with pytest.raises(RuntimeError, match="seen"):
+            run()
+    assert len(seen) == 2
+    for sizes in seen:
+        assert sum(sizes) == 40_000 and len(sizes) >= 8 and max(sizes) <= 6_000
