@@ -7,9 +7,9 @@ candidates that it takes for secrets. ``labelled`` findings can be given; withou
 labels what is beyond doubt (issuer formats and assignments to credential words on one side,
 plain numbers, ordinary words, placeholders and digests named as such on the other).
 
-The dictionary and the usual letter pairs come from at most ``WORD_DOCS`` documents and the
-forest from at most ``PER_CLASS`` findings of each label, both chosen by smallest hash. All texts
-are scanned whole. Positions count characters from 0.
+The dictionary and the usual letter pairs come from exact counts over all texts: the most frequent
+words, at most ``WORDS``, of at least one occurrence in ``WORD_TEXTS`` texts. The forest learns from all
+labelled findings. All texts are scanned whole. Positions count characters from 0.
 
 Cases: a null or empty text has no findings; if one label has no finding there is no forest, and
 seeds decide alone; equal rows give equal findings; an empty table gives no rows; columns other
@@ -27,8 +27,7 @@ from pyspark.sql import functions as F
 from tabwright.llm.common import col_of, fresh
 from tabwright.sources.tables import stage
 
-WORD_DOCS, WORD_CHARS, WORDS = 2_000, 20_000, 20_000
-PER_CLASS = 20_000
+WORD_TEXTS, WORDS = 1_000, 20_000
 TREES, DEPTH = 20, 6
 NEAR = 96
 
@@ -78,13 +77,14 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def lexicon(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Frequent words and letter pairs of a bounded sample of texts."""
-    ids = docs.where(F.char_length("text").between(1, WORD_CHARS)).select("row")
-    ids = ids.orderBy(F.xxhash64("row"), "row").limit(WORD_DOCS)
-    # at most WORD_DOCS numbers
-    some = docs.join(F.broadcast(ids), "row")
-    words = some.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{4,}"), 0)).alias("word"))
-    words = words.groupBy("word").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(WORDS)
+    """Frequent words and letter pairs, counted over all texts.
+
+    A run of random letters repeats by chance in a large corpus; a word's least count grows with the texts.
+    """
+    found = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{4,}"), 0)).alias("word"))
+    least = max(2, docs.count() // WORD_TEXTS)
+    words = found.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    words = words.orderBy(F.desc("n"), "word").limit(WORDS)
     words = stage(words, "secret-words")
     letters = F.regexp_replace("word", r"[^a-z]", "")
     pairs = words.select(
@@ -153,19 +153,15 @@ def seeds(described_rows: DataFrame) -> Column:
 
 
 def learn(rows: DataFrame, label: str = "label") -> RandomForestClassificationModel | None:
-    """A forest from labelled, described findings; equal runs count once. None if a label is missing."""
-    known = rows.where(F.col(label).isNotNull()).select(*FEATURES, F.col(label).cast("double").alias("label"), "run")
-    known = known.dropDuplicates(["run", "label"])
-    drawn = None
-    for y in (0.0, 1.0):
-        part = known.where(F.col("label") == y).orderBy(F.xxhash64("run"), "run").limit(PER_CLASS)
-        drawn = part if drawn is None else drawn.unionByName(part)
-    drawn = stage(drawn, "labelled-findings")
-    if drawn.select("label").distinct().count() < 2:
+    """A forest from all labelled, described findings; equal runs count once. None if a label is missing."""
+    known = rows.where(F.col(label).isNotNull()).select(F.col(label).cast("double").alias("label"), "run", *FEATURES)
+    known = known.groupBy("run", "label").agg(F.min(F.struct(*FEATURES)).alias("f")).select("run", "label", "f.*")
+    known = stage(known, "labelled-findings")
+    if known.select("label").distinct().count() < 2:
         return None
-    sample = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(drawn)
+    known = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(known)
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=7, labelCol="label", featuresCol="features")
-    return forest.fit(sample)
+    return forest.fit(known)
 
 
 def scan(

@@ -1,7 +1,7 @@
 import random
 import re
 
-from tabwright.llm.secrets import RUN, redact, scan
+from tabwright.llm.secrets import RUN, lexicon, redact, scan
 
 
 def hexes(n):
@@ -77,3 +77,15 @@ def test_awkward_rows(spark, awkward, no_docs):
         assert i is None or by[i] == want
     assert by[0] is None and by[1] == ""
     assert scan(no_docs).collect() == [] and redact(no_docs).collect() == []
+
+
+def test_words_are_counted_over_all_texts(spark):
+    """Texts of any length and any number of them, and no word that is rare beside their number."""
+    rows = [(0, "zebrafish " * 3_000), (1, None)] + [(i, "ordinary words") for i in range(2, 2_900)]
+    rows[5] = (5, "rareword rareword ordinary")
+    words, pairs = lexicon(spark.createDataFrame(rows, "row long, text string").repartition(4))
+    assert {r["word"] for r in words.collect()} == {"zebrafish", "ordinary", "words", "rareword"}
+    more = [(i, "ordinary words") for i in range(2_900, 6_000)]
+    words, _ = lexicon(spark.createDataFrame(rows + more, "row long, text string").repartition(4))
+    assert {r["word"] for r in words.collect()} == {"zebrafish", "ordinary", "words"}
+    assert "eb" in pairs
