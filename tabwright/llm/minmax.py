@@ -221,15 +221,21 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def _crowd_pairs(crowd: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
     """Pairs ``u, v`` that can be linked, of nodes that met in a crowded row of the same ``main`` component.
 
-    Every node is compared with one, the hub: the shortest of the main component here. What is linked
-    with it needs no other link to that component. A pair that is not settled so has a node x that is
-    not linked with the hub, and if the other is no shorter than the hub, it needs more shingles than x
-    shares with the hub: the pair shares one that the hub lacks. These are met by the prefix join, among
-    shingles that the hub lacks only. Texts shorter than the hub, of other components, are met as a whole
-    where what both share with the hub may be enough.
+    Every node is compared with one, the hub: the text of the main component that shares most with the
+    crowd for its length, so that what it lacks few others have. What is linked with it needs no other link
+    to that component. A pair that is not settled so has a node x that is not linked with the hub, and if
+    the other is no shorter than the hub, it needs more shingles than x shares with the hub: the pair
+    shares one that the hub lacks. These are met by the prefix join, among shingles that the hub lacks
+    only. Texts shorter than the hub are met as a whole where what both share with the hub may be enough.
     """
-    hubs = crowd.where("component = main").groupBy("main").agg(F.min(F.struct("n", "node")).alias("hub"))
-    hubs = hubs.select("main", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
+    inner = crowd.join(shared, "node").select("main", "node", "n", "component", "shingle")
+    held = inner.groupBy("main", "shingle").agg(F.count("*").alias("held"))
+    sizes = crowd.groupBy("main").agg(F.min("n").alias("shortest"), F.avg("n").alias("usual"))
+    central = inner.where("component = main").join(held, ["main", "shingle"])
+    central = central.groupBy("main", "node", "n").agg(F.sum("held").alias("held")).join(sizes, "main")
+    hubs = central.groupBy("main", "shortest").agg(F.min(F.expr("struct(-held / (n + usual) as far, node, n)")).alias("hub"))
+    hubs = hubs.select("main", "shortest", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
+    hubs = stage(hubs, "hubs")
     inside = hubs.join(shared.select(F.col("node").alias("hub"), "shingle"), "hub").select(
         "main", "shingle", F.lit(True).alias("inside")
     )
@@ -244,7 +250,7 @@ def _crowd_pairs(crowd: DataFrame, shared: DataFrame, percent: int) -> DataFrame
     rows = rows.withColumn("rank", F.expr("n - total + place"))
     least = f"(n * {percent} + 99) div 100"
     first = f"not inside and rank <= rest - greatest(1, {least} - common) + 1"
-    names = ("main", "node", "n", "component", "common")
+    names = ("main", "node", "n", "component", "common", "shortest")
     rows = rows.where(f"place = 1 or ({first})").withColumn("met", F.expr(first))
     rows = stage(rows.select(*names, "hub", "hub_n", "linked", "settled", "rest", "rank", "place", "shingle", "met"), "hub-shingles")
     to_hub = rows.where("place = 1 and linked and component != main")
@@ -257,8 +263,9 @@ def _crowd_pairs(crowd: DataFrame, shared: DataFrame, percent: int) -> DataFrame
         f"{different} and (settled or node < node_)"
         f" and least(common, common_) + 1 + least(rest - rank, rest_ - rank_) >= {_need(percent)}"
     )
-    enough = rows.where(f"place = 1 and common >= {least}")
-    short = enough.where("component != main and n < hub_n")
+    # no text of the crowd needs less than its shortest one does
+    enough = rows.where(f"place = 1 and common >= greatest({least}, {_need(percent, 'n', 'shortest')})")
+    short = enough.where("n < hub_n")
     whole = short.join(_other(enough.where("not settled"), "main", "node", "n", "component", "common"), "main").where(
         f"{different} and least(common, common_) >= {_need(percent)}"
     )

@@ -150,6 +150,20 @@ def test_a_crowd_is_not_met_in_pairs(spark):
     assert met[0] >= 40 and met[1] <= 2 * 160
 
 
+def test_a_changed_copy_is_no_hub(spark):
+    """The shortest text of the crowd is itself a changed copy: all others share what it lacks."""
+    random.seed(5)
+    base, met = [f"b{k}" for k in range(150)], []
+    for size in (40, 160):
+        rows = [(i, spread(base, min(i, 1))) for i in range(size - 1)]
+        rows.append((size - 1, spread(base[:148], 3)))
+        rows += [(1000 + i, spread(base, 3)) for i in range(size)]
+        sets, linked = linked_at(rows, 80)
+        assert all(linked(0, i) for i in sets) and sum(linked(size - 1, i) for i in sets if i >= 1000) < size / 2
+        met.append(len(crossing(spark, sets, size, 80)))
+    assert met[0] >= 40 and met[1] <= 2 * 160
+
+
 def test_links_of_a_crowd_are_found(spark):
     """Copies of a text and of its variants, longer and shorter ones, against brute force."""
     random.seed(8)
