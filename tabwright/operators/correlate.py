@@ -10,11 +10,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.functions import as_number, bivariate, col_of, is_missing
+from tabwright.functions import as_number, bivariate, col_of, concordance, is_missing
 from tabwright.operators.pairs import (
     all_pairs,
     constants,
@@ -23,16 +25,17 @@ from tabwright.operators.pairs import (
     pair_name,
     pair_rows,
 )
-from tabwright.operators.slices import cut_points, running_totals
+from tabwright.operators.slices import add_slices, cut_points, slice_count
 from tabwright.operators.values import NumberCounts, rank_table
 from tabwright.sources.tables import stage
 
 # Sent along with the tasks, so that executors need no copy of this package.
 cloudpickle.register_pickle_by_value(bivariate)
+cloudpickle.register_pickle_by_value(concordance)
 
 BINS = 10
-DIGIT_BITS = 4
-DIGITS = 2**DIGIT_BITS
+#: Rows of a slice of Kendall; and as slices are counted against slices, no more of them.
+ROWS_PER_KENDALL_SLICE, MOST_KENDALL_SLICES = 250_000, 256
 
 
 def _no_pairs(df: DataFrame, name: str) -> DataFrame:
@@ -186,11 +189,7 @@ def kendall_binned(df: DataFrame, columns: Sequence[str], bins: int = 32) -> Dat
     def tau(cell: pd.DataFrame) -> pd.DataFrame:
         grid = np.zeros((bins, bins))
         grid[cell["x"], cell["y"]] = cell["n"]
-        below = np.zeros((bins + 1, bins + 1))
-        below[1:, 1:] = grid.cumsum(0).cumsum(1)
-        # rows with a smaller x: those with a smaller y agree, those with a greater y do not
-        agree, smaller = below[:-1, :-1], below[:-1, -1:]
-        s = float((grid * (agree - (smaller - below[:-1, 1:]))).sum())
+        s = concordance.grid_balance(grid)
         n, r, c = grid.sum(), grid.sum(1), grid.sum(0)
         every, ties_x, ties_y = n * (n - 1) / 2, (r * (r - 1) / 2).sum(), (c * (c - 1) / 2).sum()
         spread = np.sqrt(every - ties_x) * np.sqrt(every - ties_y)
@@ -204,102 +203,86 @@ def kendall_binned(df: DataFrame, columns: Sequence[str], bins: int = 32) -> Dat
 def kendall(df: DataFrame, columns: Sequence[str], slices: int | None = None) -> DataFrame:
     """Exact Kendall tau-b of every column pair, without comparing rows with rows.
 
-    The values of the second column of a pair are coded 0, 1, 2, ... and read as digits
-    of base 16. Two rows differ first at one digit place, inside the group that shares
-    the digits above it; so for every place and group, running counts per digit along
-    the first column tell how many earlier rows have a smaller and how many a greater
-    digit. Each row is used once per place: the work is rows x log(distinct values).
+    Every column is cut in slices at quantiles, at least ``slices``; a cut point is a slice of its own, as one
+    value may fill many rows. Two rows that differ in the slices of both columns of a pair are settled by the
+    counts of these. Rows of one slice meet in one task per column, with all their values: in the first
+    column's task the pair is settled by the values of both, in the second's by its values and the first's
+    slices, so that no two rows are counted twice. A slice of one value settles nothing and is not sent.
+    Every row is so sent at most once per column, and the work is rows x columns^2 x log(rows of a slice).
     """
     if len(columns) < 2:
         return _no_pairs(df, "kendall")
+    slices = max(slices or 1, min(MOST_KENDALL_SLICES, slice_count(df.count(), ROWS_PER_KENDALL_SLICE)))
     own = all_pairs(columns)
     numbers, cuts = _numbers_with_cuts(df, columns, slices)
     columns = numbers.columns
-    sliced = any(cuts.values())
-    coded = numbers
-    for c in columns:
-        table = rank_table(numbers, c, [], cuts[c]).select(
-            F.col("value").alias(f"_value_{c}"),
-            F.col("code").alias(f"_code_{c}"),
-            F.col("slice").alias(f"_slice_{c}"),
-        )
-        coded = coded.join(table, F.col(c) == F.col(f"_value_{c}"), "left").drop(f"_value_{c}")
     pairs = all_pairs(columns)
-    sizes = numbers.agg(*[F.count_distinct(c).alias(c) for c in columns]).first()
-
-    # One entry per pair and digit place: which columns, and which digit of the second.
-    place_of = {c: i for i, c in enumerate(columns)}
-    entries, widths = [], []
-    for i, pair in enumerate(pairs):
-        # Fewer distinct values mean fewer digit places; tau-b is symmetric.
-        x, y = sorted(pair, key=lambda c: -sizes[c])
-        width, reach = 1, DIGITS
-        while reach < sizes[y]:
-            width, reach = width + 1, reach * DIGITS
-        widths.append(width)
-        entries += [(i, place, place_of[x], place_of[y]) for place in range(width)]
-    pair_at, place_at, x_at, y_at = (
-        F.get(constants(side), F.col("entry")) for side in zip(*entries)
-    )
-    by_digit = [f"d{d}" for d in range(DIGITS)]
-    group = ["pair", "place", "above"]
-    per_x = (
-        coded.select(
-            F.array(*[f"_code_{c}" for c in columns]).alias("codes"),
-            F.array(*[f"_slice_{c}" for c in columns]).alias("slices"),
-        )
-        .select("codes", "slices", F.explode(constants(range(len(entries)))).alias("entry"))
-        .select(
-            pair_at.alias("pair"),
-            place_at.alias("place"),
-            F.get("slices", x_at).alias("slice"),
-            F.get("codes", x_at).alias("x"),
-            F.call_function("shiftright", F.get("codes", y_at), place_at * DIGIT_BITS).alias("rest"),
-        )
-        .filter(F.col("x").isNotNull() & F.col("rest").isNotNull())
-        .groupBy("pair", "place", F.shiftright("rest", DIGIT_BITS).alias("above"), "slice", "x")
-        .agg(
-            *[
-                F.count_if(F.col("rest").bitwiseAND(F.lit(DIGITS - 1)) == d).alias(name)
-                for d, name in enumerate(by_digit)
-            ]
-        )
-    )
-    here = [F.col(d).cast("double") for d in by_digit]
-    before = [F.col(f"{d}_before").cast("double") for d in by_digit]
-    balance = sum(
-        (
-            here[d] * (sum(before[:d], F.lit(0.0)) - sum(before[d + 1 :], F.lit(0.0)))
-            for d in range(DIGITS)
-        ),
-        F.lit(0.0),
-    )
-    all_here = sum(here, F.lit(0.0))
-    top = F.get(constants([w - 1 for w in widths]), F.col("pair"))
-    on_top = F.when(F.col("place") == top, all_here)
-    along = (
-        running_totals(per_x, group, "x", by_digit, sliced)
-        .groupBy("pair")
-        .agg(
-            F.sum(balance).alias("s"),
-            F.sum(on_top).alias("n"),
-            F.sum(on_top * (on_top - 1) / 2).alias("ties_x"),
-        )
-    )
-    # At the lowest place a group and a digit are one value of the second column.
-    ties_y = (
-        per_x.groupBy(*group)
-        .agg(*[F.sum(d).alias(d) for d in by_digit])
-        .groupBy("pair")
-        .agg(
-            F.sum(
-                F.when(F.col("place") == 0, sum((h * (h - 1) / 2 for h in here), F.lit(0.0)))
-            ).alias("ties_y")
+    pair_of = {(columns.index(a), columns.index(b)): i for i, (a, b) in enumerate(pairs)}
+    edges = [np.array(cuts[c]) for c in columns]
+
+    def code(c: str) -> Column:
+        """Odd for a cut point, even between two."""
+        if not cuts[c]:
+            return F.when(F.col(c).isNotNull(), 0)
+        low = F.get(constants([float(x) for x in cuts[c]]), F.col(f"_slice_{c}") - 1)
+        at = F.when(low == F.col(c), 1).otherwise(0)
+        return F.when(F.col(c).isNotNull(), 2 * F.col(f"_slice_{c}") - at)
+
+    sliced = add_slices(numbers, {c: cuts[c] for c in columns}, "_slice_")
+    coded = sliced.select(*columns, *[code(c).cast("int").alias(f"_code_{c}") for c in columns])
+    cells = pair_rows(coded, {c: F.col(f"_code_{c}") for c in columns}, pairs)
+    cells = cells.groupBy("pair", "x", "y").agg(F.count("*").alias("n"))
+
+    def between(cell: pd.DataFrame) -> pd.DataFrame:
+        x, y = cell["x"].to_numpy(), cell["y"].to_numpy()
+        grid = np.zeros((x.max() + 1, y.max() + 1))
+        grid[x, y] = cell["n"]
+        r, c = grid.sum(1)[1::2], grid.sum(0)[1::2]
+        ties = (r * (r - 1) / 2).sum(), (c * (c - 1) / 2).sum()
+        found = (int(cell["pair"].iloc[0]), concordance.grid_balance(grid), *map(float, ties), float(grid.sum()))
+        return pd.DataFrame([found], columns=["pair", "s", "ties_x", "ties_y", "n"])
+
+    def inside(table: pa.Table) -> pa.Table:
+        here = table.column("place")[0].as_py()
+        flat = pc.list_flatten(table.column("row")).to_numpy()
+        rows = flat.reshape(len(table), len(edges))
+        x, xs = concordance.ranked(rows[:, here])
+        out = []
+        for other, cut in enumerate(edges):
+            if other == here:
+                continue
+            y = rows[:, other]
+            there = ~np.isnan(y)
+            if other < here:
+                y = y[there]
+                y, ys = np.searchsorted(cut, y, "left") + np.searchsorted(cut, y, "right"), 2 * len(cut) + 1
+            else:
+                y, ys = concordance.ranked(y[there])
+            s, tied = concordance.balance(x[there], y, xs, ys)
+            first = here < other
+            out.append((pair_of[min(here, other), max(here, other)], s, tied if first else 0, 0 if first else tied, 0))
+        names = ["pair", "s", "ties_x", "ties_y", "n"]
+        return pa.table({k: pa.array(v, pa.int32() if k == "pair" else pa.float64()) for k, v in zip(names, zip(*out))})
+
+    schema = "pair int, s double, ties_x double, ties_y double, n double"
+    entries = [
+        F.when(
+            F.col(f"_code_{c}") % 2 == 0,
+            F.struct(F.lit(i).alias("place"), F.col(f"_code_{c}").alias("slice")),
         )
-    )
+        for i, c in enumerate(columns)
+    ]
+    # missing values as NaN; no present one is
+    row = F.array(*[F.coalesce(c, F.lit(float("nan"))) for c in columns]).alias("row")
+    sent = coded.select(row, F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("to"))
+    groups = len(columns) * max(len(cut) + 1 for cut in edges)
+    sent = sent.select("to.place", "to.slice", "row").repartition(groups, "place", "slice")
+    settled = sent.groupBy("place", "slice").applyInArrow(inside, schema)
+    found = cells.groupBy("pair").applyInPandas(between, schema).unionByName(settled)
+    found = found.groupBy("pair").agg(*[F.sum(c).alias(c) for c in ("s", "ties_x", "ties_y", "n")])
     every = F.col("n") * (F.col("n") - 1) / 2
     spread = F.sqrt(every - F.col("ties_x")) * F.sqrt(every - F.col("ties_y"))
-    found = along.join(ties_y, "pair").select("pair", F.try_divide(F.col("s"), spread).alias("kendall"))
+    found = found.select("pair", F.try_divide(F.col("s"), spread).alias("kendall"))
     return _named(df, own, found, "kendall")
 
 

@@ -55,6 +55,29 @@ def test_rank_correlations_over_complete_pairs(spark, numbers, slices):
     assert len(tau) == len(rho) == len(r) == 6
 
 
+@pytest.mark.parametrize("slices", [None, 2, 9, 60])
+def test_kendall_sends_every_row_once_per_column(spark, slices, monkeypatch):
+    """Few values, one that fills most of a column, gaps and infinite numbers, in many slices; no row is
+    laid out more often than there are pairs."""
+    asked = []
+    constants = correlate.constants
+    monkeypatch.setattr(correlate, "constants", lambda v: asked.append(v) or constants(v))
+    rng = np.random.default_rng(5)
+    n = 300
+    values = np.stack(
+        [rng.normal(size=n), rng.integers(0, 4, n), np.where(rng.random(n) < 0.7, 0, rng.normal(size=n)), rng.integers(0, 40, n)]
+    ).T
+    values[rng.random(values.shape) < 0.1] = np.nan
+    values[:3, 0], values[3:6, 0] = np.inf, -np.inf
+    df = spark.createDataFrame(pd.DataFrame(values, columns=list("abcd")))
+    got = by_pair(correlate.kendall(df, list("abcd"), slices), "kendall")
+    assert len(got) == 6 and all(len(v) <= 6 for v in asked if isinstance(v, range))
+    for (a, b), value in got.items():
+        # ranks, as infinite numbers have no difference
+        x, y = (pd.Series(values[:, "abcd".index(c)]).rank().to_numpy() for c in (a, b))
+        assert value == pytest.approx(tau_b(x, y))
+
+
 def test_a_column_agrees_with_itself_and_its_reverse(spark):
     df = spark.createDataFrame([(float(i % 50), -float(i % 50)) for i in range(400)], "x double, y double")
     df = df.selectExpr("x", "x as same", "y")
