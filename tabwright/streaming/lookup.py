@@ -21,6 +21,8 @@ _JSON = {
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 MATCHED = "fact string, feature string, feature_ts long"
 _WHOLE = ("tinyint", "smallint", "int", "bigint")
+#: Rows that are written to a list of the state at once.
+ROWS_PER_MESSAGE = 10_000
 _TIED = "feature rows share key and time; name a tie_break column"
 
 
@@ -28,7 +30,9 @@ class AsOf(StatefulProcessor):
     """The state of one key: features that a fact to come may still need, and facts that wait.
 
     A fact waits until the watermark has passed its time, as features up to then may still arrive.
-    After that only the last feature before the watermark, and later ones, are kept.
+    After that only the last feature before the watermark, and later ones, are kept. Both are lists that
+    are added to as rows arrive and read and written as a whole when the watermark passes some: every
+    call of the state is a message to the executor, so there is none per row.
     """
 
     def __init__(self, tie: str | None):
@@ -36,35 +40,48 @@ class AsOf(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.history = handle.getMapState("history", "at long", f"tie {self.tie or 'long'}, feature string")
-        self.waiting = handle.getMapState("waiting", "at long, place long", "fact string")
-        self.places = handle.getValueState("places", "place long")
+        self.history = handle.getListState("history", f"at long, tie {self.tie or 'long'}, feature string")
+        self.waiting = handle.getListState("waiting", "at long, fact string")
 
     @staticmethod
     def _wins(tie: Any, old: Any) -> bool:
         return tie is not None and (old is None or tie > old)
 
+    def _settle(self, rows: Iterator[tuple]) -> dict[int, tuple]:
+        """The feature row of every time, out of rows in the order of their arrival."""
+        known: dict[int, tuple] = {}
+        for row in rows:
+            old = known.get(row[0])
+            if old is not None and self.tie is None:
+                raise ValueError(_TIED)
+            if old is None or self._wins(row[1], old[1]):
+                known[row[0]] = tuple(row)
+        return known
+
+    @staticmethod
+    def _write(state: Any, rows: list[tuple]) -> None:
+        state.clear()
+        for k in range(0, len(rows), ROWS_PER_MESSAGE):
+            state.appendList(rows[k : k + ROWS_PER_MESSAGE])
+
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        place = self.places.get()[0] if self.places.exists() else 0
         earliest = None
         for batch in rows:
+            facts, features = [], []
             for at, fact, tie, row in zip(
                 batch["at"].tolist(), batch["fact"].tolist(), batch["tie"].tolist(), batch["row"].tolist()
             ):
+                earliest = at if earliest is None else min(earliest, at)
                 if fact:
-                    self.waiting.updateValue((at, place), (row,))
-                    place += 1
-                    earliest = at if earliest is None else min(earliest, at)
+                    facts.append((at, row))
                     continue
                 # pandas widens whole numbers beside missing ones
                 tie = None if tie is None or tie != tie else int(tie) if self.tie in _WHOLE else tie
-                if not self.history.containsKey((at,)):
-                    self.history.updateValue((at,), (tie, row))
-                elif self.tie is None:
-                    raise ValueError(_TIED)
-                elif self._wins(tie, self.history.getValue((at,))[0]):
-                    self.history.updateValue((at,), (tie, row))
-        self.places.update((place,))
+                features.append((at, tie, row))
+            if facts:
+                self.waiting.appendList(facts)
+            if features:
+                self.history.appendList(features)
         if earliest is not None:
             # rows of a time are late once the watermark, in whole milliseconds, has reached it
             self.handle.registerTimer(earliest // 1000 + 1)
@@ -72,22 +89,27 @@ class AsOf(StatefulProcessor):
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        due = sorted(k for k in self.waiting.keys() if k[0] < passed)
-        later = [k[0] for k in self.waiting.keys() if k[0] >= passed]
-        if later:
-            self.handle.registerTimer(min(later) // 1000 + 1)
-        known = sorted(k[0] for k in self.history.keys())
+        waiting = [tuple(row) for row in self.waiting.get()] if self.waiting.exists() else []
+        history = list(self.history.get()) if self.history.exists() else []
+        due = sorted((row for row in waiting if row[0] < passed), key=lambda row: row[0])
+        later = [row for row in waiting if row[0] >= passed]
+        found = self._settle(history)
+        known = sorted(found)
         out, i = [], 0
-        for at, place in due:
+        for at, fact in due:
             while i < len(known) and known[i] <= at:
                 i += 1
-            fact = self.waiting.getValue((at, place))[0]
             match = known[i - 1] if i else None
-            out.append((fact, self.history.getValue((match,))[1] if i else None, match))
-            self.waiting.removeKey((at, place))
+            out.append((fact, found[match][2] if i else None, match))
         old = [at for at in known if at < passed]
-        for at in old[:-1]:
-            self.history.removeKey((at,))
+        kept = [found[at] for at in known[max(0, len(old) - 1) :]]
+        if due:
+            self._write(self.waiting, later)
+        if len(kept) < len(history):
+            self._write(self.history, kept)
+        ahead = [row[0] for row in later] + known[len(old) :]
+        if ahead:
+            self.handle.registerTimer(min(ahead) // 1000 + 1)
         if out:
             table = pd.DataFrame(out, columns=["fact", "feature", "feature_ts"])
             yield table.astype({"feature_ts": "Int64"})

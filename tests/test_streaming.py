@@ -227,3 +227,46 @@ def test_the_stream_gives_what_the_batch_gives(spark, rocks):
     got = spark.read.parquet(out)
     assert got.columns == batch.columns
     assert sorted(map(tuple, got.where("id != 9999").collect()), key=str) == sorted(map(tuple, batch.collect()), key=str)
+
+
+def test_state_of_a_key_is_called_per_batch_and_stays_small():
+    """Features of a key without facts are thinned out too, and no state call is made per row."""
+    import pandas as pd
+
+    from tabwright.streaming.lookup import AsOf
+
+    class State(list):
+        calls = 0
+
+        def __getattribute__(self, name):
+            if name in ("exists", "get", "appendList", "clear"):
+                State.calls += 1
+            return super().__getattribute__(name)
+
+        exists, get, appendList = list.__len__, list.__iter__, list.extend
+
+    class Handle:
+        timers = []
+
+        def getListState(self, name, schema):
+            return State()
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    class Times:
+        def getCurrentWatermarkInMs(self):
+            return 900
+
+    one = AsOf("int")
+    one.init(Handle())
+    rows = [(1000 * k, False, float(k), f"f{k}") for k in range(1000)]
+    rows.append((5000, False, 3.0, "loses"))
+    one.handleInputRows(None, iter([pd.DataFrame(rows, columns=["at", "fact", "tie", "row"])]), None)
+    assert Handle.timers == [1] and list(one.handleExpiredTimer(None, Times(), None)) == []
+    assert [r[0] for r in one.history] == [1000 * k for k in range(899, 1000)] and Handle.timers == [1, 901]
+    rows = [(1000 * k + 500, True, None, f"n{k}") for k in (898, 899, 950)]
+    one.handleInputRows(None, iter([pd.DataFrame(rows, columns=["at", "fact", "tie", "row"])]), None)
+    found = [tuple(r) for part in one.handleExpiredTimer(None, Times(), None) for r in part.itertuples(index=False)]
+    assert found[1] == ("n899", "f899", 899_000) and len(found) == 2 and len(one.waiting) == 1
+    assert State.calls < 20
