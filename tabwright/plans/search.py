@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -26,6 +26,7 @@ from tabwright.operators.prep import never_present, preprocessing_stages
 from tabwright.operators.split import union_by_name
 from tabwright.plans.training import SEED, Learner, boosted_trees, fit_classifier, score
 from tabwright.sources.commits import CommitLog
+from tabwright.sources import tables
 from tabwright.sources.tables import ROWS_PER_FILE, spread, stage
 from tabwright.spec import FeatureSpec
 
@@ -114,8 +115,9 @@ def best_trial(log: DataFrame, trial: str, metric: str, columns: Sequence[str])
 def _prepare(train: DataFrame, valid: DataFrame, spec: FeatureSpec) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Preprocessing fitted once on ``train``, and both tables as label and vector.
 
-    The prepared tables are written to the shared work folder: every fit reads them
-    again, dealt over all cores, and a lost executor costs no more than a re-read.
+    The prepared tables are written to the shared work folder, so a lost executor costs no more
+    than a re-read. Rows to learn from are dealt over all cores once and kept on the executors'
+    disks, where every fit reads them; the caller unpersists them.
     """
     known = F.col(spec.label).isNotNull()
     stages = preprocessing_stages(spec, empty=never_present(train, spec.numeric))
@@ -124,7 +126,17 @@ def _prepare(train: DataFrame, valid: DataFrame, spec: FeatureSpec) -> tuple[Pip
         stage(prep.transform(df.filter(known)).select(spec.label, "features"), name, ROWS_PER_FILE)
         for df, name in ((train, "search-train"), (valid, "search-valid"))
     ]
-    return prep, spread(ready[0]), ready[1]
+    return prep, spread(ready[0]).persist(StorageLevel.DISK_ONLY), ready[1]
+
+
+def _fits_at_once(train: DataFrame, parallel: int) -> int:
+    """How many fits may run side by side, each with a copy of ``train`` in the executors' caches.
+
+    Small fits leave cores idle between their stages and share them. One that has ``ROWS_PER_TASK``
+    rows for every core keeps them busy by itself, and copies for more would only push each other to disk.
+    """
+    room = tables.ROWS_PER_TASK * max(1, train.sparkSession.sparkContext.defaultParallelism)
+    return max(1, min(parallel, room // max(1, train.count())))
 
 
 def _validate(model, valid: DataFrame, spec: FeatureSpec) -> tuple[float, float, float]:
@@ -165,8 +177,9 @@ def search(
 ) -> list[Trial]:
     """Fits ``n_trials`` parameter sets and measures each on ``valid``.
 
-    Trial 0 takes ``seed_params`` if given. The fits are Spark jobs started from
-    ``parallel`` driver threads, so the cluster is kept busy between their stages.
+    Trial 0 takes ``seed_params`` if given. The fits are Spark jobs started from up to
+    ``parallel`` driver threads, so the cluster is kept busy between their stages; where one fit
+    does that by itself, they run one after the other.
 
     ``journal`` is a folder that outlives the driver. Each trial is committed there as it ends, under
     its parameters and a fingerprint of both tables, and a search that is started again fits only what is
@@ -184,9 +197,11 @@ def search(
         log, data = CommitLog(spark, journal, JOURNAL), _fingerprint(train, valid, spec)
         known = log.rows().filter(F.col("data") == data).collect()
         done = {r["params"]: (r["precision"], r["recall"], r["f1"]) for r in known}
+    at_once, ready_train = 1, None
     # nothing is prepared where nothing is left to fit
     if not set(names) <= set(done):
         _, ready_train, ready_valid = _prepare(train, valid, spec)
+        at_once = _fits_at_once(ready_train, min(parallel, n_trials))
 
     def run(number: int) -> Trial:
         if names[number] not in done:
@@ -198,8 +213,12 @@ def search(
             return Trial(number, params[number], *found)
         return Trial(number, params[number], *done[names[number]])
 
-    with ThreadPool(max(1, min(parallel, n_trials))) as pool:
-        return pool.map(inheritable_thread_target(spark)(run), range(n_trials))
+    try:
+        with ThreadPool(at_once) as pool:
+            return pool.map(inheritable_thread_target(spark)(run), range(n_trials))
+    finally:
+        if ready_train is not None:
+            ready_train.unpersist()
 
 
 def best_of(trials: Sequence[Trial]) -> Trial:
@@ -253,11 +272,14 @@ def baseline_leaderboard(
     end = time.monotonic() + budget_seconds
     _, ready_train, ready_valid = _prepare(train, valid, spec)
     rows = []
-    for name, estimator in baseline_learners(spec, trees).items():
-        if time.monotonic() >= end:
-            rows.append((name, None, None, None))
-            continue
-        rows.append((name, *_validate(estimator.fit(ready_train), ready_valid, spec)))
+    try:
+        for name, estimator in baseline_learners(spec, trees).items():
+            if time.monotonic() >= end:
+                rows.append((name, None, None, None))
+                continue
+            rows.append((name, *_validate(estimator.fit(ready_train), ready_valid, spec)))
+    finally:
+        ready_train.unpersist()
     return train.sparkSession.createDataFrame(
         rows, "model string, precision double, recall double, f1 double"
     ).orderBy(F.desc_nulls_last("f1"), "model")

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -316,3 +318,33 @@ def test_learners_get_rows_dealt_over_all_cores(spark, monkeypatch):
     assert len(seen) == 2
     for sizes in seen:
         assert sum(sizes) == 40_000 and len(sizes) >= 8 and max(sizes) <= 6_000
+
+
+def test_large_fits_run_one_after_the_other_on_rows_dealt_once(spark, monkeypatch):
+    """Small fits share the cores; of large ones only one copy of the rows is in the caches at a time."""
+    spec = FeatureSpec(("x",), (), "label", ("id",))
+    rows = spark.range(0, 40_000, 1, 1).selectExpr("id", "id % 7 as x", "int(id % 2) as label")
+    running, most, dealt = [], [], []
+
+    class Learner:
+        def fit(self, df):
+            running.append(1)
+            most.append(len(running))
+            dealt.append((df.storageLevel.useDisk, df))
+            time.sleep(0.5)
+            running.pop()
+            return self
+
+        def transform(self, df):
+            return df.withColumn("prediction", F.col("label").cast("double"))
+
+    def widest(rows_per_task):
+        monkeypatch.setattr(tables, "ROWS_PER_TASK", rows_per_task)
+        most.clear()
+        search.search(rows, rows, spec, 4, None, lambda params, spec: Learner())
+        return max(most)
+
+    assert widest(1_000) == 1
+    assert widest(250_000) > 1
+    assert len(dealt) == 8 and all(kept for kept, _ in dealt)
+    assert not any(df.storageLevel.useDisk for _, df in dealt)
