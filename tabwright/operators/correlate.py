@@ -6,7 +6,7 @@ Pearson, Spearman and Kendall use the rows where both columns of the pair are pr
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -22,6 +22,7 @@ from tabwright.operators.pairs import (
     constants,
     equal_width_bins_beside,
     pair_counts,
+    pair_moments,
     pair_name,
     pair_rows,
 )
@@ -43,23 +44,23 @@ def _no_pairs(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.createDataFrame([], schema)
 
 
-def _corr_table(rows: DataFrame, pairs: Sequence[tuple[str, str]], name: str) -> DataFrame:
-    """Pearson of ``x`` and ``y`` per ``pair``; null when either does not vary.
+def _corr_table(
+    df: DataFrame, columns: Mapping[str, Column], sides: Sequence[tuple[str, str]], pairs: Sequence[tuple[str, str]], name: str
+) -> DataFrame:
+    """Pearson of two of the ``columns`` per pair; null when either does not vary.
 
-    A few moments in a group per pair compile to tight code; hundreds side by side in
-    one aggregate row do not.
+    ``sides`` tells which columns stand for the pairs that the rows are named by.
     """
-    spread = F.stddev_pop("x") * F.stddev_pop("y")
-    found = rows.groupBy("pair").agg(F.try_divide(F.covar_pop("x", "y"), spread).alias(name))
-    return _named(rows, pairs, found, name)
+    spread = F.sqrt("xx") * F.sqrt("yy")
+    found = pair_moments(df, columns, sides).select("pair", F.try_divide(F.col("xy"), spread).alias(name))
+    return _named(df, pairs, found, name)
 
 
 def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = all_pairs(columns)
     if not pairs:
         return _no_pairs(df, "pearson")
-    rows = pair_rows(df, {c: as_number(col_of(c)) for c in columns}, pairs)
-    return _corr_table(rows, pairs, "pearson")
+    return _corr_table(df, {c: as_number(col_of(c)) for c in columns}, pairs, pairs, "pearson")
 
 
 def missing_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -157,8 +158,7 @@ def spearman(df: DataFrame, columns: Sequence[str], slices: int | None = None) -
     pairs = all_pairs(columns)
     sides = [(rank_of[a, b], rank_of[b, a]) for a, b in pairs]
     every = dict.fromkeys(name for side in sides for name in side)
-    rows = pair_rows(ranked, {name: F.col(name) for name in every}, sides)
-    return _corr_table(rows, own, "spearman")
+    return _corr_table(ranked, {name: F.col(name) for name in every}, sides, own, "spearman")
 
 
 def kendall_binned(df: DataFrame, columns: Sequence[str], bins: int = 32) -> DataFrame:
@@ -317,7 +317,7 @@ def cramers_v(
     if not pairs:
         return _no_pairs(df, "cramers_v")
     binned, levels = _binned(df, numeric, categorical, bins)
-    found = _table_figures(pair_counts(binned, levels, pairs))
+    found = _table_figures(stage(pair_counts(binned, levels, pairs), "pair-cells"))
     phi2 = F.greatest(F.col("share") - 1, F.lit(0.0))
     r, c, n = (F.col(k).cast("double") for k in ("r", "c", "n"))
     if bias_correction:
@@ -333,14 +333,16 @@ def contingency(
     """``n, chi2, r, c`` of the contingency table of every pair: rows, chi-square, and levels."""
     pairs = all_pairs([*numeric, *categorical])
     binned, levels = _binned(df, numeric, categorical, bins)
-    found = _table_figures(pair_counts(binned, levels, pairs))
+    found = _table_figures(stage(pair_counts(binned, levels, pairs), "pair-cells"))
     chi2 = F.greatest((F.col("share") - 1) * F.col("n"), F.lit(0.0)).alias("chi2")
     out = _named(df, pairs, found.select("pair", F.struct("n", chi2, "r", "c").alias("f")), "f")
     return out.select("left_col", "right_col", "f.n", "f.chi2", "f.r", "f.c")
 
 
 def _table_figures(cells: DataFrame) -> DataFrame:
-    """``pair, share, n, r, c`` from cells: the sum of o^2 / (row x column total), and sizes."""
+    """``pair, share, n, r, c`` from cells: the sum of o^2 / (row x column total), and sizes.
+
+    Cells are read several times and should be stored."""
     rows = cells.groupBy("pair", "x").agg(F.sum("n").alias("in_row"))
     columns = cells.groupBy("pair", "y").agg(F.sum("n").alias("in_column"))
     o, r, c = (F.col(k).cast("double") for k in ("n", "in_row", "in_column"))

@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.functions import as_number, col_of
+from tabwright.functions import as_number, blocks, col_of
+
+# Sent along with the tasks, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(blocks)
 
 
 def equal_width_bins(
@@ -90,7 +94,51 @@ def pair_counts(
 ) -> DataFrame:
     """``pair, x, y, n``: the non-empty cells of each pair of columns.
 
-    Every row meets every pair once, and is counted before the shuffle.
+    Every row meets every pair once, in blocks of rows that are counted before the shuffle.
     """
-    texts = {name: c.cast("string") for name, c in levels.items()}
-    return pair_rows(df, texts, pairs).groupBy("pair", "x", "y").agg(F.count("*").alias("n"))
+    place = {name: i for i, name in enumerate(levels)}
+    sides = [(place[a], place[b]) for a, b in pairs]
+    texts = df.select(*[c.cast("string").alias(f"c{i}") for i, c in enumerate(levels.values())])
+
+    def count(batches):
+        for block in blocks.gather(batches):
+            yield from blocks.cells(block, sides)
+
+    counted = texts.mapInArrow(count, "pair int, x string, y string, n bigint")
+    return counted.groupBy("pair", "x", "y").agg(F.sum("n").alias("n"))
+
+
+def pair_moments(
+    df: DataFrame, columns: Mapping[str, Column], pairs: Sequence[tuple[str, str]]
+) -> DataFrame:
+    """``pair, n, xx, yy, xy``: rows where both numbers of a pair are present, and the sums of
+    squares and products about the means of these rows.
+
+    Blocks of rows are summed up about their own means, which are then moved to the common one.
+    """
+    place = {name: i for i, name in enumerate(columns)}
+    sides = [(place[a], place[b]) for a, b in pairs]
+    numbers = df.select(*[c.cast("double").alias(f"c{i}") for i, c in enumerate(columns.values())])
+
+    def sums(batches):
+        for block in blocks.gather(batches):
+            yield blocks.moments(block, sides)
+
+    schema = "pair int, n bigint, x double, y double, xx double, yy double, xy double"
+    # one row per block and pair; means are taken above the least one, so that equal ones stay equal
+    parts, all_of = numbers.mapInArrow(sums, schema), Window.partitionBy("pair")
+    n, dx, dy = F.col("n"), F.col("dx"), F.col("dy")
+    low = parts.select("*", *[(F.col(c) - F.min(c).over(all_of)).alias(f"a{c}") for c in ("x", "y")])
+    moved = low.select(
+        "*",
+        *[
+            (F.col(f"a{c}") - F.sum(F.col(f"a{c}") * n).over(all_of) / F.sum(n).over(all_of)).alias(f"d{c}")
+            for c in ("x", "y")
+        ],
+    )
+    return moved.groupBy("pair").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.col("xx") + n * dx * dx).alias("xx"),
+        F.sum(F.col("yy") + n * dy * dy).alias("yy"),
+        F.sum(F.col("xy") + n * dx * dy).alias("xy"),
+    )

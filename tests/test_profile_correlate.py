@@ -324,3 +324,27 @@ def test_a_report_of_one_column(spark):
     assert {tuple(r) for r in sections["alerts"].collect()} == set()
     for name in ("auto", "pearson", "spearman", "kendall", "cramers", "phi_k", "missing_correlation"):
         assert sections[name].count() == 0
+
+
+def test_pairs_are_counted_and_correlated_in_blocks_of_rows(spark, monkeypatch):
+    """Far fewer rows than rows times pairs leave the tasks, and blocks add up to the whole."""
+    from tabwright.functions import blocks
+    from tabwright.operators import pairs as pairs_of
+
+    monkeypatch.setattr(blocks, "ROWS", 7_000)
+    df = spark.range(0, 30_000, 1, 2).selectExpr(
+        "if(id % 11 = 0, null, cast(id % 5 as string)) as a",
+        "concat('v', id % 3) as b",
+        "cast(1e9 + (id * 7919) % 10007 as double) as x",
+        "if(id % 4 = 0, null, cast(id as double)) as y",
+        "cast(0.1 as double) as z",
+    )
+    rows = df.toPandas()
+    cells = pairs_of.pair_counts(df, {c: F.col(c) for c in ("a", "b")}, [("a", "b")])
+    expected = rows.dropna(subset=["a"]).groupby(["a", "b"]).size().to_dict()
+    assert {(r["x"], r["y"]): r["n"] for r in cells.collect()} == expected
+    assert "Generate" not in cells._jdf.queryExecution().executedPlan().toString()
+    found = {(r["left_col"], r["right_col"]): r["pearson"] for r in correlate.pearson(df, ["x", "y", "z"]).collect()}
+    both = rows.dropna(subset=["y"])
+    assert abs(found["x", "y"] - np.corrcoef(both["x"], both["y"])[0, 1]) < 1e-9
+    assert found["x", "z"] is None and found["y", "z"] is None
