@@ -524,7 +524,7 @@ def phi_k(
     binned, levels = _binned(df, numeric, categorical, bins)
     numbers = set(numeric)
     sides = {k: (a in numbers, b in numbers) for k, (a, b) in enumerate(pairs)}
-    cells = stage(_pooled(pair_counts(binned, levels, pairs), sides), "phi-k-cells")
+    cells = stage(_pooled(stage(pair_counts(binned, levels, pairs), "pair-cells"), sides), "phi-k-cells")
     # one row per pair
     figures = {r["pair"]: r for r in _table_figures(cells).collect()}
     wide = {pair for pair, f in figures.items() if min(f["r"], f["c"]) >= 2}
