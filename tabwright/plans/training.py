@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import DataFrame
@@ -72,20 +73,28 @@ def fit_classifier(
 
     Fitting passes over its input several times. ``stage_input`` writes the columns it
     needs to the shared folder first: worth it where ``train`` is a join, such as a
-    training set with lookups, and not where it is a plain table. The learner gets the rows
-    dealt over all cores, however few files they come from. ``max_levels`` refuses
-    category columns of more values, whose index would be too large for one model.
+    training set with lookups, and not where it is a plain table. The rows are dealt over all
+    cores once, however few files they come from, and kept on the executors' disks, as are the
+    label and vector made of them: preprocessing and learner pass over these, not over ``train``.
+    ``max_levels`` refuses category columns of more values, whose index would be too large for
+    one model.
     """
     learner = learner or boosted_trees()
     needed = train.select(*spec.features, spec.label).filter(F.col(spec.label).isNotNull())
     if stage_input:
         needed = stage(needed, "training-set", ROWS_PER_FILE)
-    check_levels(needed, spec, max_levels)
-    empty = never_present(needed, spec.numeric) if impute else []
-    stages = preprocessing_stages(spec, impute, empty=empty)
-    prep = Pipeline(stages=stages).fit(needed)
-    ready = prep.transform(spread(needed)).select(spec.label, "features")
-    return PipelineModel([*prep.stages, learner(params, spec).fit(ready)])
+    dealt = spread(needed).persist(StorageLevel.DISK_ONLY)
+    try:
+        check_levels(dealt, spec, max_levels)
+        empty = never_present(dealt, spec.numeric) if impute else []
+        prep = Pipeline(stages=preprocessing_stages(spec, impute, empty=empty)).fit(dealt)
+        ready = prep.transform(dealt).select(spec.label, "features").persist(StorageLevel.DISK_ONLY)
+        try:
+            return PipelineModel([*prep.stages, learner(params, spec).fit(ready)])
+        finally:
+            ready.unpersist()
+    finally:
+        dealt.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame, spec: FeatureSpec) -> DataFrame:

@@ -348,3 +348,32 @@ def test_large_fits_run_one_after_the_other_on_rows_dealt_once(spark, monkeypatc
     assert widest(250_000) > 1
     assert len(dealt) == 8 and all(kept for kept, _ in dealt)
     assert not any(df.storageLevel.useDisk for _, df in dealt)
+
+
+def test_a_fit_reads_its_rows_once(spark):
+    """Preprocessing and learner pass over kept rows; what ``train`` is made of is not worked out again."""
+    worked_out, kept = spark.sparkContext.accumulator(0), []
+
+    @F.udf("double")
+    def costly(value):
+        worked_out.add(1)
+        return float(value % 7)
+
+    rows = spark.range(0, 20_000, 1, 4).select(
+        "id", costly.asNondeterministic()("id").alias("x"), (F.col("id") % 5).cast("string").alias("c"), F.expr("int(id % 2) as label")
+    )
+    inner = training.boosted_trees(trees=2)
+
+    class Learner:
+        def __init__(self, params, spec):
+            self.trees = inner(params, spec)
+
+        def fit(self, df):
+            kept.append((df.storageLevel.useDisk, df))
+            return self.trees.fit(df)
+
+    model = training.fit_classifier(rows, FeatureSpec(("x",), ("c",), "label", ("id",)), {"max_depth": 3}, Learner)
+    assert len(model.stages[-1].trees) == 2
+    # at most once to be counted and once to be dealt
+    assert worked_out.value <= 40_000
+    assert kept[0][0] and not kept[0][1].storageLevel.useDisk
