@@ -377,3 +377,11 @@ def test_a_fit_reads_its_rows_once(spark):
     # at most once to be counted and once to be dealt
     assert worked_out.value <= 40_000
     assert kept[0][0] and not kept[0][1].storageLevel.useDisk
+
+
+def test_an_orders_lines_meet_before_they_are_summed(spark, small):
+    """No sort and sum of lines ahead of the shuffle by order, which a text among the sums would ask for twice."""
+    lines = orders_features(spark, small)._jdf.queryExecution().executedPlan().toString().splitlines()
+    sums = [i for i, line in enumerate(lines) if "Aggregate(key=[l_orderkey" in line]
+    shuffle = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(l_orderkey" in line]
+    assert len(shuffle) == 1 and sums and max(sums) < shuffle[0]
