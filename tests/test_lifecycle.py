@@ -121,6 +121,16 @@ def test_leaderboard_stops_at_its_budget(parts):
     assert len(rows) == 4 and all(r["f1"] is None for r in rows)
 
 
+def test_leaderboard_fits_every_kind_unless_a_budget_is_given(spark, monkeypatch):
+    """However long the fits take: here the clock goes on by an hour whenever it is read."""
+    hours = iter(range(10**6))
+    monkeypatch.setattr(search.time, "monotonic", lambda: 3600.0 * next(hours))
+    rows = spark.range(200).selectExpr("id", "id % 7 as x", "int(id % 7 > 3) as label")
+    spec = FeatureSpec(("x",), (), "label", ("id",))
+    found = search.baseline_leaderboard(rows, rows, spec, trees=1).collect()
+    assert len(found) == 4 and all(r["f1"] is not None for r in found)
+
+
 def test_a_duel_swaps_aliases_only_for_a_better_challenger(spark, model, parts, orders):
     models = registry.ModelRegistry(spark, work_path(spark, "registry"), "orders")
     with pytest.raises(KeyError):
