@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.operators.prep import check_levels, helper_columns, never_present, preprocessing_stages
+from tabwright.plans.boosting import BoostedTrees
 from tabwright.sources.tables import ROWS_PER_FILE, spread, stage
 from tabwright.spec import FeatureSpec
 
@@ -43,7 +44,7 @@ def boosted_trees(trees: int = 20, bins: int = 32, seed: int = SEED) -> Learner:
     """
 
     def learner(params: Mapping[str, float], spec: FeatureSpec) -> GBTClassifier:
-        return GBTClassifier(
+        trees_of = BoostedTrees(
             labelCol=spec.label,
             featuresCol="features",
             lossType="logistic",
@@ -56,6 +57,8 @@ def boosted_trees(trees: int = 20, bins: int = 32, seed: int = SEED) -> Learner:
             subsamplingRate=float(params.get("subsample", 1.0)),
             featureSubsetStrategy=str(float(params.get("colsample_bytree", 1.0))),
         )
+        trees_of.one_hot = tuple(f"{c}_ohe_" for c in spec.categorical)
+        return trees_of
 
     return learner
 

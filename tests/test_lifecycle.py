@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tabwright import FeatureLookup, FeatureSpec
 from tabwright.operators import metrics, prep, split
-from tabwright.plans import duel, lifecycle, search, training
+from tabwright.plans import boosting, duel, lifecycle, search, training
 from tabwright.session import work_path
 from tabwright.sources import registry, runlog, tables
 from tabwright.sources.fixtures import ORDERS_SPEC, orders_features, rule_scored, table
@@ -395,3 +395,80 @@ def test_an_orders_lines_meet_before_they_are_summed(spark, small):
     sums = [i for i, line in enumerate(lines) if "Aggregate(key=[l_orderkey" in line]
     shuffle = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(l_orderkey" in line]
     assert len(shuffle) == 1 and sums and max(sums) < shuffle[0]
+
+
+def ready_rows(spark, n=6_000, parts=3):
+    """Numbers with zeros and equal values, two one-hot columns, one of them nearly the other, and noise in the label."""
+    rows = spark.range(0, n, 1, parts).selectExpr(
+        "id", "(id * 7919) % 1000 / 10.0 as x", "if(id % 3 = 0, 0.0, (id * 31) % 17) as y", "if(id % 11 = 0, null, id % 5) as z",
+        "concat('k', (id * 13) % 6) as c", "concat('k', if(id % 50 = 0, 9, (id * 13) % 6)) as d",
+    )
+    rows = rows.selectExpr("*", "int(x + 3 * y + if(c = 'k2', 25, 0) + (id * 104729) % 40 > 75) as label")
+    spec = FeatureSpec(("x", "y", "z"), ("c", "d"), "label", ("id",))
+    from pyspark.ml import Pipeline
+
+    prepared = Pipeline(stages=prep.preprocessing_stages(spec)).fit(rows).transform(rows).select("label", "features")
+    return tables.stage(prepared, "ready").repartition(parts).persist(), spec
+
+
+def spark_fit(learner, ready):
+    """The same parameters given to Spark's own classifier."""
+    from pyspark.ml.classification import GBTClassifier
+
+    own = GBTClassifier()
+    for p, value in learner._paramMap.items():
+        own._set(**{p.name: value})
+    return own.fit(ready)
+
+
+def tree_lines(model):
+    """The trees as text, without the last digits, which depend on the order of sums."""
+    import re
+
+    text = model.toDebugString.split("\n", 1)[1]
+    return [re.sub(r"-?\d+\.\d+(E-?\d+)?", lambda m: f"{float(m[0]):.9g}", line) for line in text.split("\n")]
+
+
+def test_trees_from_codes_are_those_of_spark(spark):
+    """Thresholds, draws, splits, leaves and importances of Spark's own classifier, whatever is drawn."""
+    ready, spec = ready_rows(spark)
+    for depth, subsample, columns in ((4, 0.7, 0.6), (7, 1.0, 0.8), (3, 0.5, 1.0)):
+        params = {"eta": 0.2, "max_depth": depth, "min_child_weight": 3.0, "subsample": subsample, "colsample_bytree": columns}
+        learner = training.boosted_trees(trees=4)(params, spec)
+        assert isinstance(learner, boosting.BoostedTrees)
+        ours, theirs = learner.fit(ready), spark_fit(learner, ready)
+        assert tree_lines(ours) == tree_lines(theirs)
+        assert ours.treeWeights == theirs.treeWeights and ours.numFeatures == theirs.numFeatures
+        assert ours.featureImportances.toArray() == pytest.approx(theirs.featureImportances.toArray())
+        assert ours.getOrDefault("maxDepth") == depth and ours.uid == learner.uid
+    ready.unpersist()
+
+
+def test_large_fits_grow_the_same_trees_over_all_cores(spark, monkeypatch):
+    """Blocks within partitions, sums that meet node by node, and fewer nodes at once than a level has."""
+    ready, spec = ready_rows(spark)
+    learner = training.boosted_trees(trees=3)({"eta": 0.2, "max_depth": 6, "subsample": 0.7, "colsample_bytree": 0.7}, spec)
+    here = learner.fit(ready)
+    kept = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 700)
+    monkeypatch.setattr(boosting, "NODES_PER_TASK", 5)
+    spread = learner.fit(ready)
+    before, after = (m.transform(ready).select("prediction").collect() for m in (here, spread))
+    assert sum(a == b for a, b in zip(before, after)) >= 0.99 * len(before)
+    assert spread.featureImportances.toArray() == pytest.approx(here.featureImportances.toArray(), abs=0.01)
+    assert tree_lines(spread)[: len(tree_lines(here)) // 3] == tree_lines(here)[: len(tree_lines(here)) // 3]
+    # nothing of the fit stays in the caches: only the rows it was given
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == kept
+    ready.unpersist()
+
+
+def test_a_row_of_a_large_fit_is_kept_in_a_byte_for_each_column(spark):
+    """Spark keeps four for each slot of the vector, which is what made large fits read from disk."""
+    ready, spec = ready_rows(spark)
+    learner = training.boosted_trees(trees=1)({}, spec)
+    settings, rows = learner._settings(ready)
+    assert rows == 6_000
+    held = boosting.blocks(ready, "label", "features", settings.layout).collect()
+    slots = len(settings.layout.code)
+    columns = len(settings.layout.sizes)
+    assert sum(block[2].nbytes for block in held) == rows * columns and columns < slots
