@@ -40,6 +40,8 @@ cloudpickle.register_pickle_by_value(tree_functions)
 
 #: nodes of which one task settles the splits
 NODES_PER_TASK = 64
+#: bytes of histograms that the driver adds up itself; more meet in tasks
+TO_DRIVER = 2**25
 
 
 def blocks(ready: DataFrame, label: str, features: str, layout: Layout) -> RDD:
@@ -108,8 +110,8 @@ def boost_spread(rows: RDD, settings: Settings) -> list[Tree]:
                         figures = subsets[part], stats[:, part], impurity[part], settings.least, settings.least_gain
                         yield i, best_splits(hist, *figures, layout, root)
 
-                found = drawn.mapPartitions(histograms)
-                if len(ranges) > 1:
+                found, size = drawn.mapPartitions(histograms), 24 * len(group) * layout.offsets[-1]
+                if len(ranges) > 1 or size * cores > TO_DRIVER:
                     found = dict(found.partitionBy(min(cores, len(ranges)), lambda i: i).mapPartitions(settled).collect())
                 else:
                     found = dict(settled(found.collect()))
